@@ -26,7 +26,7 @@ def arg_max(scores: Column) -> Column:
 
 def multi_hot(labels: Column, catalogue: Sequence[str]) -> Column:
     """One 0/1 per catalogue entry, in catalogue order."""
-    return F.transform(text_array(catalogue), lambda c: F.array_contains(labels, c).cast("int"))
+    return F.array(*[F.array_contains(labels, F.lit(c)).cast("int") for c in catalogue])
 
 
 def known_labels(labels: Column, catalogue: Sequence[str]) -> Column:
