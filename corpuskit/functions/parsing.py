@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuskit.functions.binding import let
 from corpuskit.functions.text import strip
 
 SENTINEL = "__whole"
@@ -31,11 +32,17 @@ def bare_json(c: Column) -> Column:
 
 def whole_variant(json: Column) -> Column:
     """Variant of a text that is exactly one JSON object, else null."""
-    wrapped = F.concat(F.lit('{"v":'), json, F.lit(f',"{SENTINEL}":1}}'))
-    parsed = F.try_parse_json(wrapped)
-    complete = F.try_variant_get(parsed, f"$.{SENTINEL}", "int") == 1
-    sound = F.startswith(json, F.lit("{")) & ~F.contains(json, F.lit(SENTINEL)) & complete
-    return F.when(sound, F.try_variant_get(parsed, "$.v", "variant"))
+
+    def read(text: Column) -> Column:
+        wrapped = F.concat(F.lit('{"v":'), text, F.lit(f',"{SENTINEL}":1}}'))
+        plausible = F.startswith(text, F.lit("{")) & ~F.contains(text, F.lit(SENTINEL))
+        parsed = F.when(plausible, F.try_parse_json(wrapped))
+        return let(
+            parsed,
+            lambda p: F.when(F.try_variant_get(p, f"$.{SENTINEL}", "int") == 1, F.try_variant_get(p, "$.v", "variant")),
+        )
+
+    return let(json, read)
 
 
 def list_after_think(c: Column) -> Column:
@@ -79,50 +86,68 @@ class Field:
     hi: float | None = None
 
 
-def _field(record: Column, field: Field) -> tuple[Column, Column]:
-    """Value, and the error text or null."""
-    raw = F.try_variant_get(record, f"$.{field.name}", "variant")
+def _field(raw: Column, field: Field) -> Column:
+    """Struct of the value and the error text, one of them null."""
     present = raw.isNotNull() & ~F.is_variant_null(raw)
     kind = F.schema_of_variant(raw)
     text_kind, list_kind = kind == "STRING", kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
-    as_text = F.try_variant_get(record, f"$.{field.name}", "string")
-    as_list = F.try_variant_get(record, f"$.{field.name}", "array<string>")
+    as_text, as_list = F.try_variant_get(raw, "$", "string"), F.try_variant_get(raw, "$", "array<string>")
     if field.kind == "text":
-        value, right = as_text, text_kind
+        value = F.when(text_kind, as_text)
     elif field.kind == "list":
-        value, right = as_list, list_kind
+        value = F.when(list_kind, as_list)
     elif field.kind == "text_or_list":
-        value, right = F.when(text_kind, F.array(as_text)).otherwise(as_list), text_kind | list_kind
+        value = F.when(text_kind, F.array(as_text)).when(list_kind, as_list)
     elif field.kind == "number":
-        value = F.try_variant_get(record, f"$.{field.name}", "double")
-        right = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
+        numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
+        value = F.when(numeric, F.try_variant_get(raw, "$", "double"))
     else:
         raise ValueError(f"unknown kind {field.kind}")
-    checks: list[tuple[Column, str]] = [(~present, "missing" if field.required else ""), (~right, "wrong type")]
-    if field.choices is not None:
-        known = F.array(*[F.lit(c) for c in field.choices])
-        strange = F.exists(value, lambda x: ~F.array_contains(known, x)) if field.kind != "text" else ~value.isin(*field.choices)
-        checks.append((strange, "not a choice"))
-    if field.lo is not None:
-        checks.append((value < field.lo, "too small"))
-    if field.hi is not None:
-        checks.append((value > field.hi, "too large"))
-    error = reduce(
-        lambda rest, check: F.when(check[0], F.lit(f"{field.name}: {check[1]}" if check[1] else None)).otherwise(rest),
-        reversed(checks),
-        F.lit(None).cast("string"),
-    )
-    return F.when(present & right, value), error
+    absent = F.lit(f"{field.name}: missing") if field.required else F.lit(None).cast("string")
+
+    def checked(v: Column) -> Column:
+        checks: list[tuple[Column, str]] = [(v.isNull(), "wrong type")]
+        if field.choices is not None:
+            known = F.array(*[F.lit(c) for c in field.choices])
+            named = F.array(v) if field.kind == "text" else v
+            checks.append((F.exists(named, lambda x: ~F.array_contains(known, x)), "not a choice"))
+        if field.lo is not None:
+            checks.append((v < field.lo, "too small"))
+        if field.hi is not None:
+            checks.append((v > field.hi, "too large"))
+        error = reduce(
+            lambda rest, check: F.when(check[0], F.lit(f"{field.name}: {check[1]}")).otherwise(rest),
+            reversed(checks),
+            F.lit(None).cast("string"),
+        )
+        return F.struct(v.alias("value"), F.when(present, error).otherwise(absent).alias("error"))
+
+    return let(value, checked)
 
 
 def typed_record(c: Column, fields: Sequence[Field]) -> Column:
     """Struct of `valid`, `errors` and one value per field. Fences and lead-in text before a fence are allowed."""
-    record = whole_variant(bare_json(c))
-    read = {f.name: _field(record, f) for f in fields}
-    errors = F.array_compact(F.array(*[error for _, error in read.values()]))
-    all_errors = F.when(record.isNull(), F.array(F.lit("not one JSON object"))).otherwise(errors)
-    return F.struct(
-        (F.size(all_errors) == 0).alias("valid"),
-        all_errors.alias("errors"),
-        *[value.alias(name) for name, (value, _) in read.items()],
-    )
+
+    def assemble(read: Column) -> Column:
+        errors = F.array_compact(F.array(*[read[f.name]["error"] for f in fields]))
+        return F.struct(
+            (F.size(errors) == 0).alias("valid"),
+            errors.alias("errors"),
+            *[read[f.name]["value"].alias(f.name) for f in fields],
+        )
+
+    def part(record: Column, f: Field) -> Column:
+        return let(F.try_variant_get(record, f"$.{f.name}", "variant"), lambda raw: _field(raw, f)).alias(f.name)
+
+    def from_record(record: Column) -> Column:
+        good = let(F.struct(*[part(record, f) for f in fields]), assemble)
+        return let(
+            good,
+            lambda g: F.struct(
+                (g["valid"] & record.isNotNull()).alias("valid"),
+                F.when(record.isNull(), F.array(F.lit("not one JSON object"))).otherwise(g["errors"]).alias("errors"),
+                *[g[f.name].alias(f.name) for f in fields],
+            ),
+        )
+
+    return let(whole_variant(bare_json(c)), from_record)
