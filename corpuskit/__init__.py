@@ -1 +1,8 @@
 """Spark jobs over text corpora, embeddings and entity pairs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to Python workers by value, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

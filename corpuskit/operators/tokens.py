@@ -49,11 +49,12 @@ def extended_vocabulary(known: DataFrame, tokens: DataFrame, name: str = "token"
     return known.select(name, "id").unionByName(numbered)
 
 
-def token_ids(df: DataFrame, keys: Sequence[str], tokens: Column, vocab: DataFrame, name: str = "token") -> DataFrame:
+def token_ids(df: DataFrame, keys: Sequence[str], tokens: Column, vocab: DataFrame, name: str = "token", unknown: int = 0) -> DataFrame:
     """Long form (keys, pos, id): one row per token, so that no text has to be gathered for the lookup.
 
     A hot token is a hot join key: Catalyst broadcasts a vocabulary below its size limit, and above it adaptive
     skew handling splits the hot partition.
     """
     exploded = df.select(*keys, F.posexplode(tokens).alias("pos", name))
-    return exploded.join(vocab, name).select(*keys, "pos", "id")
+    found = exploded.join(vocab, name, "left")
+    return found.select(*keys, "pos", F.coalesce("id", F.lit(unknown)).alias("id"))
