@@ -249,7 +249,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     chunks = retrieval.word_chunks(table(spark, sf, "documents"), "doc_id", tx.words(F.col("text")), 100)
-    passages = chunks.select(F.concat_ws("/", "doc_id", "chunk").alias("doc"), "words", F.array_join("words", " ").alias("text"))
+    named = chunks.select(F.concat_ws("/", "doc_id", "chunk").alias("doc"), "words", F.array_join("words", " ").alias("text"))
+    passages = cut_lineage(named, "passages")
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), "text")
     documents, idf = retrieval.weighted_documents(passages, "doc", F.col("words"))
     found = retrieval.tfidf_top(retrieval.weighted_queries(items, "query", tx.words(F.col("text")), idf), documents, 3)
