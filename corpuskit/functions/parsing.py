@@ -58,10 +58,12 @@ def first_list(c: Column) -> Column:
 def text_list(c: Column) -> Column:
     """A list literal with single or double quotes as an array; empty unless its first item is quoted. Nothing is evaluated."""
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-    tidy = F.regexp_replace(c, r",\s*\]\z", "]")
-    parsed = F.from_json(tidy, "array<string>", options)
-    quoted_first = c.rlike(r"""(?s)\A\[\s*['"].*\]\z""")
-    return F.coalesce(F.when(quoted_first, parsed), F.array().cast("array<string>"))
+
+    def read(text: Column) -> Column:
+        quoted_first = text.rlike(r"""(?s)\A\[\s*['"].*\]\z""")
+        return F.when(quoted_first, F.from_json(F.regexp_replace(text, r",\s*\]\z", "]"), "array<string>", options))
+
+    return F.coalesce(let(c, read), F.array().cast("array<string>"))
 
 
 def lon_lat(response: Column) -> Column:

@@ -85,6 +85,11 @@ def has_character_in(c: Column, first: int = 0x4E00, last: int = 0x9FFF) -> Colu
     return c.rlike(rf"[\x{{{first:x}}}-\x{{{last:x}}}]")
 
 
+def characters_in(c: Column, first: int, last: int) -> Column:
+    """All characters of the range, in text order."""
+    return F.regexp_extract_all(c, F.lit(rf"[\x{{{first:x}}}-\x{{{last:x}}}]"), F.lit(0))
+
+
 def contains_text(c: Column, part: str) -> Column:
     """A null text holds nothing."""
     return F.coalesce(F.contains(c, F.lit(part)), F.lit(False))

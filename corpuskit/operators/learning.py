@@ -10,6 +10,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.session import cut_lineage
+
 
 def logistic_predictions(train: DataFrame, test: DataFrame, iterations: int = 100) -> DataFrame:
     """(id, label, predicted) for `test`. Both have (id, vector, label)."""
@@ -27,14 +29,24 @@ def kmeans_clusters(vectors: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 
 def text_clusters(texts: DataFrame, text: str, k: int, features: int = 1 << 14, seed: int = 42) -> DataFrame:
-    """Cluster texts by TF-IDF of hashed words; keeps the other columns."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="__words", outputCol="__tf", numFeatures=features),
-        IDF(inputCol="__tf", outputCol="features"),
-        KMeans(k=k, seed=seed, predictionCol="cluster"),
-    ]
-    return Pipeline(stages=stages).fit(texts).transform(texts).drop("__words", "__tf", "features", text)
+    """Cluster texts by TF-IDF of hashed words; keeps the other columns.
+
+    The hashed counts are written once, since the fits and the final assignment all read them.
+    """
+    counted = Pipeline(
+        stages=[
+            RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[^\p{L}\p{N}]+"),
+            HashingTF(inputCol="__words", outputCol="__tf", numFeatures=features),
+        ]
+    ).fit(texts)
+    stored = cut_lineage(counted.transform(texts).drop("__words", text), "tf")
+    fitted = Pipeline(
+        stages=[
+            IDF(inputCol="__tf", outputCol="features"),
+            KMeans(k=k, seed=seed, predictionCol="cluster"),
+        ]
+    ).fit(stored)
+    return fitted.transform(stored).drop("__tf", "features")
 
 
 def plane_projection(points: DataFrame, centroids: DataFrame) -> DataFrame:

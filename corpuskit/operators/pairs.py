@@ -23,28 +23,34 @@ def unordered_pairs(df: DataFrame, group: str, member: str, block_members: int =
         .select(group, F.ceil(F.col("count") / block_members).cast("int").alias("__n"))
     )
     sized = members.join(hot, group, "left").withColumn("__n", F.coalesce("__n", F.lit(1)))
+    return _pairs_by_cell(sized, [group], member)
+
+
+def all_pairs(df: DataFrame, member: str, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """Every pair of a table's keys once; the cells of blocks stand in for a Cartesian product."""
+    members = df.select(member).where(F.col(member).isNotNull()).distinct()
+    blocks = members.agg(F.ceil(F.count(F.lit(1)) / block_members).cast("int").alias("n")).scalar()
+    return _pairs_by_cell(members.withColumn("__n", F.greatest(blocks, F.lit(1))), [], member)
+
+
+def _pairs_by_cell(sized: DataFrame, groups: list[str], member: str) -> DataFrame:
+    """`sized` has the distinct members with the number of blocks `__n` of their group."""
     placed = sized.withColumn("__m", F.pmod(F.xxhash64(member), F.col("__n")).cast("int"))
     left = placed.select(
-        group,
+        *groups,
         F.col("__m").alias("__i"),
         F.explode(F.sequence("__m", F.col("__n") - 1)).alias("__j"),
         F.col(member).alias("__l"),
     )
     right = placed.select(
-        group,
+        *groups,
         F.explode(F.sequence(F.lit(0), "__m")).alias("__i"),
         F.col("__m").alias("__j"),
         F.col(member).alias("__r"),
     )
-    joined = left.join(right, [group, "__i", "__j"])
+    joined = left.join(right, [*groups, "__i", "__j"])
     once = joined.where((F.col("__i") < F.col("__j")) | (F.col("__l") < F.col("__r")))
-    return once.select(group, F.least("__l", "__r").alias("a"), F.greatest("__l", "__r").alias("b"))
-
-
-def all_pairs(df: DataFrame, member: str, block_members: int = BLOCK_MEMBERS) -> DataFrame:
-    """Every pair of a table's keys once; the blocks stand in for a Cartesian product."""
-    pairs = unordered_pairs(df.select(F.lit(0).alias("__all"), member), "__all", member, block_members)
-    return pairs.select("a", "b")
+    return once.select(*groups, F.least("__l", "__r").alias("a"), F.greatest("__l", "__r").alias("b"))
 
 
 def pair_counts(df: DataFrame, group: str, member: str, block_members: int = BLOCK_MEMBERS) -> DataFrame:

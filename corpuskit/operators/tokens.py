@@ -31,7 +31,8 @@ def padded_to(df: DataFrame, ids: str, length: int, pad_id: int = 0) -> DataFram
 
 
 def distinct_tokens(df: DataFrame, tokens: Column, name: str = "token") -> DataFrame:
-    return df.select(F.explode(tokens).alias(name)).distinct()
+    """Each token once; repeats inside a text go before the shuffle sees them."""
+    return df.select(F.explode(F.array_distinct(tokens)).alias(name)).distinct()
 
 
 def vocabulary(tokens: DataFrame, name: str = "token", first_id: int = 0) -> DataFrame:

@@ -202,7 +202,7 @@ def _(spark, sf):
     WHERE regexp_matches(token, '[\x{c0}-\x{24f}]')""",
 )
 def _(spark, sf):
-    characters = F.filter(F.split("text", "", -1), lambda c: tx.has_character_in(c, 0xC0, 0x24F))
+    characters = tx.characters_in(F.col("text"), 0xC0, 0x24F)
     return tokens.distinct_tokens(table(spark, sf, "documents"), characters)
 
 
