@@ -5,23 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.session import cut_lineage
+
 BLOCK_MEMBERS = 2000
+BROADCAST_GROUPS = 100_000  # hot groups up to this number are a few megabytes
 
 
 def unordered_pairs(df: DataFrame, group: str, member: str, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """All pairs `a < b` of the distinct members of a group.
 
-    A group larger than `block_members` is cut into n blocks by member hash, and its pairs into the n(n+1)/2 cells of
-    blocks (i, j), so a hot group is spread over many tasks and no join key matches more than a block on either side.
-    Ordinary groups are one cell and are not copied.
+    A group with more than `block_members` rows is cut into n blocks by member hash, and its pairs into the n(n+1)/2
+    cells of blocks (i, j): a hot group is spread over many tasks, and no join key matches more than about a block on
+    either side. The hot groups are counted first; where there are none, a plain join on the group is enough.
     """
     members = df.select(group, member).where(F.col(member).isNotNull()).distinct()
-    hot = (
-        members.groupBy(group)
-        .count()
-        .where(F.col("count") > block_members)
-        .select(group, F.ceil(F.col("count") / block_members).cast("int").alias("__n"))
-    )
+    sizes = df.groupBy(group).agg(F.count(member).alias("__n")).where(F.col("__n") > block_members)
+    hot = cut_lineage(sizes.select(group, F.ceil(F.col("__n") / block_members).cast("int").alias("__n")), "hot")
+    n_hot = hot.count()
+    if n_hot == 0:
+        right = members.withColumnRenamed(member, "__r")
+        joined = members.withColumnRenamed(member, "__l").join(right, group).where(F.col("__l") < F.col("__r"))
+        return joined.select(group, F.col("__l").alias("a"), F.col("__r").alias("b"))
+    if n_hot <= BROADCAST_GROUPS:
+        hot = F.broadcast(hot)
     sized = members.join(hot, group, "left").withColumn("__n", F.coalesce("__n", F.lit(1)))
     return _pairs_by_cell(sized, [group], member)
 

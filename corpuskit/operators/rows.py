@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions.hashing import draw_hex, draw_int
 
-SLICE = "__slice"
+SLICE, GROUP = "__slice", "__group"
 GROUP_LIMIT = 1000  # up to this rank Spark drops rows of a ranked group before the shuffle
 
 
@@ -49,21 +49,19 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
 
     `df` carries a slice column that never decreases along `order`, and `order` is unique within a group.
     """
-    by = list(by)
-    sized = df.groupBy(*by, SLICE).agg(F.sum(value).alias("__part"))
-    before = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sized.select(*by, SLICE, F.coalesce(F.sum("__part").over(before), F.lit(0)).alias("__offset"))
-    here = Window.partitionBy(*by, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.withColumn("__local", F.coalesce(F.sum(value).over(here), F.lit(0)))
-    keys = [*by, SLICE]
-    renamed = offsets.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], "__offset")
+    # One struct holds the group, so that null groups match by plain equality and all steps share one partitioning.
+    group = [F.struct(*by).alias(GROUP)] if by else []
+    keys = [GROUP, SLICE] if by else [SLICE]
+    grouped = df.select("*", *group)
+    sized = grouped.groupBy(*keys).agg(F.sum(value).alias("__part"))
+    before = Window.partitionBy(*keys[:-1]).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sized.select(*keys, F.coalesce(F.sum("__part").over(before), F.lit(0)).alias("__offset"))
     if not by:
-        renamed = F.broadcast(renamed)  # one row per slice, so at most the number of slices
-    same = [F.col(k).eqNullSafe(F.col(f"__o{i}")) for i, k in enumerate(keys)]
-    joined = local.join(renamed, same)
-    return joined.withColumn(name, F.col("__local") + F.col("__offset")).drop(
-        SLICE, "__local", "__offset", *[f"__o{i}" for i in range(len(keys))]
-    )
+        offsets = F.broadcast(offsets)  # one row per slice, so at most the number of slices
+    here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = grouped.withColumn("__local", F.coalesce(F.sum(value).over(here), F.lit(0)))
+    joined = local.join(offsets, keys).withColumn(name, F.col("__local") + F.col("__offset"))
+    return joined.select(*df.drop(SLICE).columns, name)
 
 
 def index_by_key(
