@@ -82,7 +82,7 @@ def _(spark, sf):
 @query(
     "d3_unknown_class_rows",
     f"""WITH t AS (SELECT doc_id, {SPANS_SQL} AS spans FROM documents)
-    SELECT doc_id, len(spans) AS n FROM t WHERE len(list_filter(spans, lambda s: s.label = 'other')) > 0""",
+    SELECT doc_id, CAST(len(spans) AS INTEGER) AS n FROM t WHERE len(list_filter(spans, lambda s: s.label = 'other')) > 0""",
 )
 def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", _spans(F.col("text")).alias("spans"))

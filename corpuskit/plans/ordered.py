@@ -91,7 +91,7 @@ def _(spark, sf):
 @query(
     "w10_top_per_key",
     """SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey
-      ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 3""",
+      ORDER BY o_totalprice DESC, o_orderkey)::INTEGER AS rank FROM orders QUALIFY rank <= 3""",
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
@@ -207,7 +207,7 @@ def _(spark, sf):
     "u3_intersection_size",
     f"""WITH h AS (SELECT doc_id, {WORDS.replace('text', "substring(text, 1, length(text) // 2)")} AS a,
         {WORDS.replace('text', "substring(text, length(text) // 2 + 1)")} AS b FROM documents)
-    SELECT doc_id, len(list_intersect(list_distinct(a), list_distinct(b))) AS shared FROM h""",
+    SELECT doc_id, CAST(len(list_intersect(list_distinct(a), list_distinct(b))) AS INTEGER) AS shared FROM h""",
 )
 def _(spark, sf):
     half = F.floor(F.length("text") / 2).cast("int")

@@ -98,15 +98,15 @@ def _(spark, sf):
 
 @query(
     "f19_lon_lat",
-    """SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal / 100 END AS lon,
-      CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_nationkey AS DOUBLE) END AS lat FROM customer""",
+    """SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal / 100 ELSE -999 END AS lon,
+      CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_nationkey AS DOUBLE) ELSE -999 END AS lat FROM customer""",
 )
 def _(spark, sf):
     place = F.concat((F.col("c_acctbal") / 100).cast("string"), F.lit(","), F.col("c_nationkey").cast("string"))
     found = F.concat(F.lit('{"status":"1","geocodes":[{"location":"'), place, F.lit('"},{"location":"0,0"}]}'))
     response = F.when(F.col("c_custkey") % 5 != 0, found).otherwise(F.lit('{"status":"1","geocodes":[]}'))
     read = table(spark, sf, "customer").select("c_custkey", parsing.lon_lat(response).alias("p"))
-    return read.select("c_custkey", "p.lon", "p.lat")
+    return read.select("c_custkey", "p.lon", "p.lat").fillna(-999.0, ["lon", "lat"])
 
 
 RECORDS_SQL = r"""(SELECT event_id, event_type, CASE event_id % 7

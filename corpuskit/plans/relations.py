@@ -152,7 +152,7 @@ def _(spark, sf):
     return votes.group_sizes(table(spark, sf, "documents"), ["lang", "source"])
 
 
-@query("a2_size_histogram", f"SELECT len({WORDS}) AS size, count(*) AS n FROM documents GROUP BY 1")
+@query("a2_size_histogram", f"SELECT CAST(len({WORDS}) AS INTEGER) AS size, count(*) AS n FROM documents GROUP BY 1")
 def _(spark, sf):
     return votes.size_histogram(table(spark, sf, "documents"), tx.words(F.col("text")))
 
@@ -215,12 +215,12 @@ def _(spark, sf):
 
 @query(
     "a9_largest_suffix",
-    r"""SELECT regexp_extract(url, '^(.*)/', 1) AS folder, max(TRY_CAST(regexp_extract(url, '/(\d+)[^/]*$', 1) AS BIGINT)) AS largest
+    r"""SELECT regexp_extract(url, '^(.*)/', 1) AS folder, coalesce(max(TRY_CAST(regexp_extract(url, '/(\d+)[^/]*$', 1) AS BIGINT)), -1) AS largest
     FROM pages GROUP BY 1""",
 )
 def _(spark, sf):
     folder, suffix = F.regexp_extract("url", r"^(.*)/", 1), F.regexp_extract("url", r"/(\d+)[^/]*$", 1)
-    return votes.largest_suffix(table(spark, sf, "pages"), folder, suffix)
+    return votes.largest_suffix(table(spark, sf, "pages"), folder, suffix).fillna(-1, ["largest"])
 
 
 DAYS = {1: "sun", 2: "mon", 3: "tue", 4: "wed", 5: "thu", 6: "fri", 7: "sat"}
@@ -265,7 +265,7 @@ def _(spark, sf):
 
 @query(
     "a14_mean_vectors",
-    """WITH e AS (SELECT label, unnest(range(64)) AS pos, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings)
+    """WITH e AS (SELECT label, CAST(unnest(range(64)) AS INTEGER) AS pos, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings)
     SELECT label, pos, round(avg(x), 6) AS x FROM e GROUP BY label, pos""",
 )
 def _(spark, sf):

@@ -17,7 +17,7 @@ def strip_sql(c: str) -> str:
     return rf"regexp_replace({c}, '\A{BLANK}+|{BLANK}+\z', '', 'g')"
 
 
-SENTENCES = """(SELECT doc_id, lang, unnest(l) AS sentence, unnest(range(len(l))) AS pos
+SENTENCES = """(SELECT doc_id, lang, unnest(l) AS sentence, CAST(unnest(range(len(l))) AS INTEGER) AS pos
   FROM (SELECT doc_id, lang, string_split(translate(text, '!?', '..'), '.') AS l FROM documents))"""
 WORDS = r"regexp_extract_all(lower(text), '([\p{L}\p{N}]+)', 1)"
 
@@ -288,8 +288,8 @@ def _(spark, sf):
 
 @query(
     "f9_find_text",
-    """SELECT doc_id, strpos(text, lang) - 1 AS start,
-        CASE WHEN strpos(text, lang) = 0 THEN -1 ELSE strpos(text, lang) - 1 + length(lang) END AS end FROM documents""",
+    """SELECT doc_id, CAST(strpos(text, lang) - 1 AS INTEGER) AS start,
+        CAST(CASE WHEN strpos(text, lang) = 0 THEN -1 ELSE strpos(text, lang) - 1 + length(lang) END AS INTEGER) AS end FROM documents""",
 )
 def _(spark, sf):
     found = table(spark, sf, "documents").select("doc_id", tx.find_text(F.col("text"), F.col("lang")).alias("hit"))
@@ -367,7 +367,7 @@ def _(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", arrays.probability_flag(F.col("c_acctbal") / 1000).alias("flag"))
 
 
-@query("f22_arg_max", "SELECT vec_id, list_position(embedding, list_max(embedding)) - 1 AS best FROM embeddings")
+@query("f22_arg_max", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS best FROM embeddings")
 def _(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", arrays.arg_max(F.col("embedding")).alias("best"))
 
@@ -452,7 +452,7 @@ def _(spark, sf):
     f"""WITH t AS (SELECT doc_id, list_transform({WORDS}, lambda w: length(w)) AS ids,
         CAST((row_number() OVER (ORDER BY doc_id) - 1) // 8 AS BIGINT) AS batch FROM documents),
     m AS (SELECT *, CAST(ceil(max(len(ids)) OVER (PARTITION BY batch) / 8.0) * 8 AS INTEGER) AS width FROM t)
-    SELECT doc_id, batch, width, width - len(ids) AS padding,
+    SELECT doc_id, batch, width, CAST(width - len(ids) AS INTEGER) AS padding,
       array_to_string(list_concat(ids, list_transform(range(width - len(ids)), lambda i: CAST(0 AS BIGINT))), ',') AS input_ids,
       array_to_string(list_concat(ids, list_transform(range(width - len(ids)), lambda i: CAST(-100 AS BIGINT))), ',') AS labels FROM m""",
 )
@@ -475,7 +475,7 @@ EMB = "CAST(embedding AS DOUBLE[])"
     "f30_unit_vector",
     f"""WITH t AS (SELECT vec_id, {EMB} AS v FROM embeddings),
     u AS (SELECT vec_id, v, greatest(sqrt(list_inner_product(v, v)), 1e-12) AS n FROM t)
-    SELECT vec_id, unnest(range(len(v))) AS pos, round(unnest(v) / n, 6) AS x FROM u""",
+    SELECT vec_id, CAST(unnest(range(len(v))) AS INTEGER) AS pos, round(unnest(v) / n, 6) AS x FROM u""",
 )
 def _(spark, sf):
     unit = table(spark, sf, "embeddings").select("vec_id", vec.unit(F.col("embedding")).alias("v"))

@@ -23,7 +23,7 @@ DISTANCE = "list_distance(a.v, b.v)"
 
 def top_sql(score: str, k: int, queries: str = V, corpus: str = V, on: str = "true") -> str:
     return f"""(SELECT a.id AS query, b.id AS id, a.label AS qlabel, b.label AS label, round({score}, 9) AS score,
-      row_number() OVER (PARTITION BY a.id ORDER BY round({score}, 9) DESC, b.id) AS rank
+      row_number() OVER (PARTITION BY a.id ORDER BY round({score}, 9) DESC, b.id)::INTEGER AS rank
       FROM {queries} a JOIN {corpus} b ON {on} QUALIFY rank <= {k})"""
 
 
@@ -46,7 +46,7 @@ def _centroids(spark, sf):
 
 @query(
     "v1_similarity_matrix",
-    f"SELECT a.id AS query, b.id AS id, round({DOT}, 9) AS score FROM {CENTROIDS} a, {V} b",
+    f"SELECT a.id::BIGINT AS query, b.id AS id, round({DOT}, 9) AS score FROM {CENTROIDS} a, {V} b",
 )
 def _(spark, sf):
     return nearest.similarity(_as_queries(_centroids(spark, sf)), _vectors(spark, sf))
@@ -131,7 +131,7 @@ def _(spark, sf):
     "v8_lloyd_step",
     f"""WITH n AS (SELECT query, id AS cluster FROM {top_sql('-' + DISTANCE, 1, V, CENTROIDS)}),
     e AS (SELECT cluster, unnest(range(64)) AS pos, unnest(v) AS x FROM n JOIN {V} t ON t.id = n.query)
-    SELECT cluster AS id, pos, round(avg(x), 6) AS x FROM e GROUP BY cluster, pos""",
+    SELECT cluster AS id, pos::INTEGER AS pos, round(avg(x), 6) AS x FROM e GROUP BY cluster, pos""",
 )
 def _(spark, sf):
     moved = nearest.lloyd_step(_vectors(spark, sf).select("id", "vector"), cut_lineage(_centroids(spark, sf), "centroids"))
@@ -159,7 +159,7 @@ def _(spark, sf):
     """WITH t AS (SELECT vec_id // 8 AS text_id, CAST(vec_id % 3 > 0 AS INTEGER) AS mask, unnest(range(64)) AS pos, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
     m AS (SELECT text_id, pos, sum(x * mask) / sum(mask) AS x FROM t GROUP BY text_id, pos),
     n AS (SELECT text_id, sqrt(sum(x * x)) AS n FROM m GROUP BY text_id)
-    SELECT text_id, pos, round(x / n, 6) AS x FROM m JOIN n USING (text_id)""",
+    SELECT text_id, pos::INTEGER AS pos, round(x / n, 6) AS x FROM m JOIN n USING (text_id)""",
 )
 def _(spark, sf):
     tokens = table(spark, sf, "embeddings").withColumn("text_id", F.floor(F.col("vec_id") / 8))
@@ -171,7 +171,7 @@ def _(spark, sf):
 
 @query(
     "v11_first_pooling",
-    "SELECT vec_id // 8 AS text_id, round(arg_min(embedding, vec_id)[1], 6) AS x, len(arg_min(embedding, vec_id)) AS dim FROM embeddings GROUP BY 1",
+    "SELECT vec_id // 8 AS text_id, round(arg_min(embedding, vec_id)[1]::DOUBLE, 6) AS x, len(arg_min(embedding, vec_id))::INTEGER AS dim FROM embeddings GROUP BY 1",
 )
 def _(spark, sf):
     tokens = table(spark, sf, "embeddings").withColumn("text_id", F.floor(F.col("vec_id") / 8))
@@ -187,7 +187,7 @@ def tfidf_sql(documents: str, queries: str, k: int) -> str:
     dn AS (SELECT doc, sqrt(sum(w * w)) AS n FROM dr GROUP BY doc), dw AS (SELECT doc, term, w / n AS w FROM dr JOIN dn USING (doc)),
     qr AS (SELECT query, term, count(*) * any_value(idf) AS w FROM (SELECT query, unnest(words) AS term FROM {queries}) JOIN idf USING (term) GROUP BY query, term),
     qn AS (SELECT query, sqrt(sum(w * w)) AS n FROM qr GROUP BY query), qw AS (SELECT query, term, w / n AS w FROM qr JOIN qn USING (query)),
-    found AS (SELECT query, doc, round(sum(dw.w * qw.w), 9) AS score, row_number() OVER (PARTITION BY query ORDER BY round(sum(dw.w * qw.w), 9) DESC, doc) AS rank
+    found AS (SELECT query, doc, round(sum(dw.w * qw.w), 9) AS score, row_number() OVER (PARTITION BY query ORDER BY round(sum(dw.w * qw.w), 9) DESC, doc)::INTEGER AS rank
       FROM dw JOIN qw USING (term) GROUP BY query, doc QUALIFY rank <= {k})"""
 
 
@@ -210,7 +210,7 @@ def _(spark, sf):
 @query(
     "v12_tfidf_unvisited",
     f"""WITH {DOCS_SQL}, {tfidf_sql('d', 'q', 8)}
-    SELECT query, doc, score, rank - 3 AS rank FROM found WHERE rank > 3""",
+    SELECT query, doc, score, (rank - 3)::INTEGER AS rank FROM found WHERE rank > 3""",
 )
 def _(spark, sf):
     documents, queries = _index(spark, sf)
