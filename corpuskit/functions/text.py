@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 from pyspark.sql import Column
@@ -10,6 +11,25 @@ from pyspark.sql import functions as F
 # The blanks that Python's str.strip() removes, as a Java character class.
 BLANK_CLASS = r"[\s\x0b\p{Z}\x1c-\x1f\x{85}]"
 
+
+
+def _ranges(test) -> str:
+    """Character-class ranges of all code points that pass the test."""
+    out: list[str] = []
+    start = None
+    for point in range(sys.maxunicode + 2):
+        inside = point <= sys.maxunicode and test(chr(point))
+        if inside and start is None:
+            start = point
+        elif not inside and start is not None:
+            out.append(rf"\x{{{start:x}}}-\x{{{point - 1:x}}}")
+            start = None
+    return "".join(out)
+
+
+# Every character that Python's str.isdigit() accepts: decimal digits of all scripts, superscripts, circled digits.
+DIGIT_CLASS = f"[{_ranges(str.isdigit)}]"
+
 # Page-number lines, removed in this order together with both newlines.
 PAGE_NUMBER_LINES = [
     r"\n- \p{Nd}+ - *\n",
@@ -59,8 +79,8 @@ def remove_parenthesised(c: Column, opening: str = "（", closing: str = "）")
 
 
 def has_digit(c: Column) -> Column:
-    """True for any character with a digit value: decimal digits, superscripts, circled digits."""
-    return c.rlike(r"[\p{Nd}²³¹\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}]")
+    """True for any character with a digit value, in any script."""
+    return c.rlike(DIGIT_CLASS)
 
 
 def length_within(c: Column, lo: int = SENTENCE_LENGTHS[0], hi: int = SENTENCE_LENGTHS[1]) -> Column:

@@ -7,11 +7,13 @@ sizes come from a partially aggregated count, and only (groups x slices) of them
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpuskit.functions.hashing import draw_hex, draw_int
 
@@ -24,10 +26,20 @@ def slice_count(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def _as_number(df: DataFrame, key: str) -> Column:
+    """A double that never falls as the key rises. Of texts, the six bytes after the prefix that all of them share."""
+    if not isinstance(df.schema[key].dataType, StringType):
+        return F.col(key).cast("double")
+    least, greatest = df.agg(F.min(key), F.max(key)).first()
+    shared = len(os.path.commonprefix([(least or "").encode(), (greatest or "").encode()]))
+    code = F.hex(F.substring(F.encode(F.col(key), "UTF-8"), shared + 1, 6))
+    return F.conv(F.rpad(code, 12, "0"), 16, 10).cast("double")
+
+
 def sliced_by_value(df: DataFrame, key: str, slices: int | None = None) -> DataFrame:
-    """Add the slice of a numeric key. The cut points are quantiles: at most `slices` numbers reach the driver."""
+    """Add the slice of a number, time or text key. The cut points are quantiles: at most `slices` numbers reach the driver."""
     n = slices or slice_count(df)
-    as_double = df.withColumn("__key", F.col(key).cast("double"))
+    as_double = df.withColumn("__key", _as_number(df, key))
     cuts = as_double.stat.approxQuantile("__key", [i / n for i in range(1, n)], 0.25 / n)
     inner = sorted(set(cuts))
     if not inner:
@@ -67,7 +79,7 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
 def index_by_key(
     df: DataFrame, key: str, by: Sequence[str] = (), name: str = "idx", slices: int | None = None
 ) -> DataFrame:
-    """0-based position in the order of a unique numeric key, within the group."""
+    """0-based position in the order of a unique key, within the group."""
     return running_total(sliced_by_value(df, key, slices), by, [key], F.lit(1).cast("bigint"), name)
 
 
@@ -137,6 +149,14 @@ def shuffled_head(df: DataFrame, seed: str, key: str, n: int) -> DataFrame:
     return df.orderBy(draw_hex(seed, key), key).limit(n)
 
 
+def nested_samples(df: DataFrame, seed: str, key: str, sizes: Sequence[int]) -> DataFrame:
+    """Samples of several sizes from one shuffle, as (size, row): each holds the smaller ones."""
+    head = shuffled_head(df, seed, key, max(sizes)).withColumn("__draw", draw_hex(seed, key))
+    ranked = head.withColumn("__n", F.row_number().over(Window.orderBy("__draw", key)))  # as many rows as the largest size
+    wanted = F.filter(F.array(*[F.lit(s) for s in sorted(sizes)]), lambda s: F.col("__n") <= s)
+    return ranked.withColumn("size", F.explode(wanted)).drop("__draw", "__n")
+
+
 def split_by_ratio(df: DataFrame, seed: str, key: str, test_percent: int) -> DataFrame:
     """Row-wise split: no shuffle, and a row keeps its side when others come or go."""
     side = F.when(draw_int(seed, key) % 100 < test_percent, "test").otherwise("train")

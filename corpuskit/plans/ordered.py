@@ -133,6 +133,21 @@ def _(spark, sf):
     return rows.shuffled_head(table(spark, sf, "documents"), "take", "doc_id", 100).select("doc_id", "lang")
 
 
+@query(
+    "k2_nested_samples",
+    """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5(concat_ws(':', 'take', doc_id)), doc_id) AS n FROM documents)
+    SELECT CAST(size AS INTEGER) AS size, doc_id FROM r, (SELECT unnest([50, 100, 500]) AS size) WHERE n <= size""",
+)
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id")
+    return rows.nested_samples(docs, "take", "doc_id", [50, 100, 500]).select("size", "doc_id")
+
+
+@query("p5_text_key_ids", "SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS VARCHAR) AS id FROM customer")
+def _(spark, sf):
+    return rows.string_ids(table(spark, sf, "customer").select("c_name"), "c_name")
+
+
 DRAW = "CAST('0x' || substr(md5(concat_ws(':', '{seed}', {key})), 1, 8) AS BIGINT)"
 
 

@@ -78,7 +78,7 @@ def _(spark, sf):
 @query(
     "p8_contains_digit",
     rf"""SELECT doc_id, pos, sentence FROM {SENTENCES}
-    WHERE regexp_matches(sentence, '[\p{{Nd}}²³¹\x{{2070}}\x{{2074}}-\x{{2079}}\x{{2080}}-\x{{2089}}\x{{2460}}-\x{{2468}}]')""",
+    WHERE regexp_matches(sentence, '{tx.DIGIT_CLASS}')""",
 )
 def _(spark, sf):
     return _sentences(spark, sf).where(tx.has_digit(F.col("sentence"))).select("doc_id", "pos", "sentence")
@@ -126,7 +126,7 @@ def clean_sentence_report(spark, sf):
 query(
     "p12_filter_chain",
     rf"""WITH s AS (SELECT lang,
-        regexp_matches(sentence, '[\p{{Nd}}²³¹\x{{2070}}\x{{2074}}-\x{{2079}}\x{{2080}}-\x{{2089}}\x{{2460}}-\x{{2468}}]') AS digit,
+        regexp_matches(sentence, '{tx.DIGIT_CLASS}') AS digit,
         NOT (length(sentence) BETWEEN 8 AND 1000) AS len,
         length(sentence) <= 45 AND contains(sentence, 'the') AND contains(sentence, 'in') AS title FROM {SENTENCES})
     SELECT lang, count(*) FILTER (WHERE NOT digit AND NOT len AND NOT title) AS kept,

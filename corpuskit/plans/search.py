@@ -13,6 +13,7 @@ from corpuskit.plans.registry import query, table
 from corpuskit.plans.scalar import WORDS
 from corpuskit.plans.scores import report_sql
 from corpuskit.session import cut_lineage, scratch_path
+from corpuskit.sources import files
 
 V = "(SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"
 UNIT = "sqrt(list_inner_product({0}, {0}))"
@@ -213,7 +214,7 @@ def _(spark, sf):
     SELECT query, doc, score, (rank - 3)::INTEGER AS rank FROM found WHERE rank > 3""",
 )
 def _(spark, sf):
-    documents, queries = _index(spark, sf)
+    documents, queries = (cut_lineage(t, "index") for t in _index(spark, sf))
     visited = cut_lineage(retrieval.tfidf_top(queries, documents, 3), "visited")
     return retrieval.tfidf_top(queries, documents, 5, visited)
 
@@ -233,8 +234,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "index")
-    _vectors(spark, sf).select("id", "vector").write.parquet(path)
-    saved = spark.read.schema("id bigint, vector array<float>").parquet(path)
+    files.saved_or_built(_vectors(spark, sf).select("id", "vector"), path)
+    saved = files.saved_or_built(_vectors(spark, sf).select("id", "vector").limit(0), path)  # reads what is there
     return nearest.top_k(_as_queries(saved), saved, 3)
 
 

@@ -113,6 +113,15 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def saved_or_built(df: DataFrame, path: str) -> DataFrame:
+    """Read a table if an earlier run finished writing it, else build and write it."""
+    try:
+        return df.sparkSession.read.parquet(path)
+    except AnalysisException:
+        df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def append_run(df: DataFrame, path: str, run: str) -> None:
     """Add metric rows of a run to an append-only table."""
     df.withColumn("run", F.lit(run)).write.mode("append").parquet(path)

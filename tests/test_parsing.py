@@ -58,9 +58,9 @@ FIELDS = [parsing.Field("reason"), parsing.Field("label", "text_or_list")]
     [
         ("```json\n%s\n```" % (RECORD % '"sport"'), ["sport"]),
         ("```\n%s\n```" % (RECORD % '"sport"'), ["sport"]),
-        ("```    \n\n\n \n\n%s\n\n\n\n   ```" % (RECORD % '["sport", "ball"]'), ["sport", "ball"]),
-        ("the answer is below```    \n\n%s\n\n   ```" % (RECORD % '["sport", "ball"]'), ["sport", "ball"]),
-        ("answer is that: ```    \n%s\n   ```" % (RECORD % '"sport"'), ["sport"]),
+        ("``` \n \n%s\n\n ```" % (RECORD % '["sport", "ball"]'), ["sport", "ball"]),
+        ("see below```  \n%s\n  ```" % (RECORD % '["sport", "ball"]'), ["sport", "ball"]),
+        ("so the label is ``` \n%s ```" % (RECORD % '"sport"'), ["sport"]),
         (RECORD % '"sport"', ["sport"]),
         (RECORD % "[]", []),
     ],

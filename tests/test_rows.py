@@ -33,6 +33,22 @@ def test_group_index_equals_simple_window(skewed):
     _same(rows.index_by_key(skewed, "id", ["g"], slices=16), simple, ["g", "id", "idx"])
 
 
+def test_text_keys(skewed):
+    named = skewed.withColumn("name", F.concat(F.lit("Müller#"), F.lpad(F.col("id").cast("string"), 9, "0")))
+    simple = named.withColumn("idx", (F.row_number().over(Window.orderBy("name")) - 1).cast("bigint"))
+    _same(rows.index_by_key(named, "name", slices=16), simple, ["name", "idx"])
+    assert rows.sliced_by_value(named, "name", 16).select(rows.SLICE).distinct().count() > 8
+    mixed = skewed.sparkSession.createDataFrame([("",), ("a",), ("é",), ("𝒳",), ("Z",), ("ab",)], "name string")
+    order = sorted((r["name"] for r in mixed.collect()), key=str.encode)
+    assert {r["name"]: r["idx"] for r in rows.index_by_key(mixed, "name").collect()} == {n: i for i, n in enumerate(order)}
+
+
+def test_nested_samples(skewed):
+    out = rows.nested_samples(skewed, "s", "id", [5, 20]).collect()
+    small, large = ({r["id"] for r in out if r["size"] == n} for n in (5, 20))
+    assert len(small) == 5 and len(large) == 20 and small < large
+
+
 def test_draw_index_is_a_permutation_by_hash(skewed):
     simple = skewed.withColumn("idx", (F.row_number().over(Window.orderBy(draw_hex("s", "id"))) - 1).cast("bigint"))
     _same(rows.index_by_draw(skewed, "s", "id", slices=16), simple, ["id", "idx"])

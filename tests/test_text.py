@@ -21,7 +21,7 @@ def test_strip_equals_python(spark):
 
 
 def test_digits(spark):
-    values = ["a1", "abc", "１２", "x²", "", "Ⅳ", "٣", "①"]
+    values = ["a1", "abc", "１２", "x²", "", "Ⅳ", "٣", "①", "❶", "½", "𝟘", "፩"]
     assert _map(spark, values, tx.has_digit) == [any(ch.isdigit() for ch in v) for v in values]
 
 
