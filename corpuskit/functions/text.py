@@ -27,8 +27,8 @@ def _ranges(test) -> str:
     return "".join(out)
 
 
-# Every character that Python's str.isdigit() accepts: decimal digits of all scripts, superscripts, circled digits.
-DIGIT_CLASS = f"[{_ranges(str.isdigit)}]"
+# Every character that Python's str.isdigit() accepts: decimal digits of all scripts, then superscripts, circled digits etc.
+DIGIT_CLASS = rf"[\p{{Nd}}{_ranges(lambda ch: ch.isdigit() and not ch.isdecimal())}]"
 
 # Page-number lines, removed in this order together with both newlines.
 PAGE_NUMBER_LINES = [
@@ -69,8 +69,7 @@ def remove_junk(
 
 def sentences(c: Column, extra_marks: str = ";；", mark: str = "。") -> Column:
     """Array of the pieces between sentence marks; empty pieces stay, as in a plain split."""
-    unified = F.translate(c, extra_marks, mark * len(extra_marks))
-    return F.split(unified, rf"\Q{mark}\E", -1)
+    return F.split(c, rf"[\Q{mark}{extra_marks}\E]", -1)
 
 
 def remove_parenthesised(c: Column, opening: str = "（", closing: str = "）") -> Column:
@@ -79,8 +78,8 @@ def remove_parenthesised(c: Column, opening: str = "（", closing: str = "）")
 
 
 def has_digit(c: Column) -> Column:
-    """True for any character with a digit value, in any script."""
-    return c.rlike(DIGIT_CLASS)
+    """True for any character with a digit value, in any script. Texts without any kind of number fail the cheap test."""
+    return c.rlike(r"\p{N}") & c.rlike(DIGIT_CLASS)
 
 
 def length_within(c: Column, lo: int = SENTENCE_LENGTHS[0], hi: int = SENTENCE_LENGTHS[1]) -> Column:
@@ -89,9 +88,11 @@ def length_within(c: Column, lo: int = SENTENCE_LENGTHS[0], hi: int = SENTENCE_L
 
 def not_heading(c: Column, prefix: str = CHAPTER_PREFIX, markers: str = CHAPTER_MARKERS, head: int = 5) -> Column:
     """False for chapter headings: the prefix first and a marker in the first few characters."""
-    start = F.substring(strip(c), 1, head)
-    marked = reduce(lambda a, b: a | b, [F.contains(start, F.lit(m)) for m in markers])
-    return ~(F.startswith(start, F.lit(prefix)) & marked)
+    pattern = rf"(?s)\A{BLANK_CLASS}*+\Q{prefix}\E"
+    if not any(m in prefix for m in markers):
+        allowed = "".join(rf"\Q{m}\E" for m in markers)
+        pattern += f".{{0,{head - len(prefix) - 1}}}[{allowed}]"
+    return ~c.rlike(pattern)
 
 
 def not_title(c: Column, phrases: tuple[str, ...] = TITLE_PHRASES, max_length: int = TITLE_MAX_LENGTH) -> Column:

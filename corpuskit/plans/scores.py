@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions import arrays, prompts
 from corpuskit.functions import text as tx
+from corpuskit.functions.binding import let
 from corpuskit.functions.hashing import draw_int
 from corpuskit.operators import datasets, metrics
 from corpuskit.plans.datasets import PAIRS_SQL
@@ -42,9 +43,8 @@ def _ner_sql(name: str, test: str) -> str:
 )
 def _(spark, sf):
     def by_class(words):
-        return F.create_map(
-            F.lit("short"), F.filter(words, lambda w: F.length(w) <= 3), F.lit("long"), F.filter(words, lambda w: F.length(w) >= 8)
-        )
+        short, long = (lambda w: F.length(w) <= 3), (lambda w: F.length(w) >= 8)
+        return let(words, lambda ws: F.create_map(F.lit("short"), F.filter(ws, short), F.lit("long"), F.filter(ws, long)))
 
     first, second = _halves()
     readable = F.when(~F.col("text").rlike(r"\p{Nd}"), by_class(second))

@@ -32,14 +32,14 @@ def local_session(cpus: int | str = 8, memory: str = "12g", **conf: str) -> Spar
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only on a local master."""
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="corpuskit-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="corpuskit-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
