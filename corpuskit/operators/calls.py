@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.operators import rows
-from corpuskit.sources import keyed
+from corpuskit.sources import files, keyed
 
 RESULT = "result string, status string, attempts int, error string"
 
@@ -83,11 +83,8 @@ def run_in_blocks(
     driver loops over blocks, never over rows.
     """
     spark = df.sparkSession
-    plan_path, out_path, ledger_path = f"{path}/plan", f"{path}/out", f"{path}/done"
-    plan = _existing(df, plan_path)
-    if plan is None:
-        rows.chunked(df, key, block_rows, name="block").write.partitionBy("block").parquet(plan_path)
-        plan = spark.read.parquet(plan_path)
+    out_path, ledger_path = f"{path}/out", f"{path}/done"
+    plan = files.saved_or_built(rows.chunked(df, key, block_rows, name="block"), f"{path}/plan", by="block")
     last = plan.agg(F.max("block")).first()[0]
     done = _existing(df, ledger_path)
     finished = {row["block"] for row in done.collect()} if done is not None else set()

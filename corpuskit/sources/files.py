@@ -113,13 +113,19 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def saved_or_built(df: DataFrame, path: str) -> DataFrame:
-    """Read a table if an earlier run finished writing it, else build and write it."""
+def saved_or_built(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """Read a table if an earlier run finished writing it, else build and write it (over an unfinished one).
+
+    A marker table beside it is written last; without the marker the table does not count.
+    """
+    spark, marker = df.sparkSession, f"{path.rstrip('/')}.done"
     try:
-        return df.sparkSession.read.parquet(path)
+        spark.read.parquet(marker)
     except AnalysisException:
-        df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        spark.createDataFrame([(path,)], "path string").write.mode("overwrite").parquet(marker)
+    return spark.read.parquet(path)
 
 
 def append_run(df: DataFrame, path: str, run: str) -> None:

@@ -62,3 +62,10 @@ def test_parameters_are_values_not_text(spark):
     assert sqltable.fetch(spark, "SELECT * FROM {t} WHERE name = :n", "all", {"n": evil}, t=df).count() == 0
     assert sqltable.fetch(spark, "SELECT * FROM {t} ORDER BY k", "many", t=df).count() == 10
     assert sqltable.fetch(spark, "SELECT * FROM {t} ORDER BY k DESC", "one", t=df).first()["k"] == 19
+
+
+def test_unfinished_tables_are_built_again(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(2).write.parquet(path)  # left behind by a run that died before its marker
+    assert files.saved_or_built(spark.range(5), path).count() == 5
+    assert files.saved_or_built(spark.range(9), path).count() == 5, "finished: nothing is built"
