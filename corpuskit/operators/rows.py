@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType
 from corpuskit.functions.hashing import draw_hex, draw_int
 
 SLICE, GROUP = "__slice", "__group"
-GROUP_LIMIT = 1000  # up to this rank Spark drops rows of a ranked group before the shuffle
+DIRECT_CAP = 100  # up to this rank a hot group receives few rows per task even from very many tasks
 
 
 def slice_count(df: DataFrame) -> int:
@@ -56,6 +56,13 @@ def sliced_by_draw(df: DataFrame, draw: str, slices: int | None = None) -> DataF
     return df.withColumn(SLICE, F.floor(prefix * n / F.lit(16**6)))
 
 
+def _slice_offsets(grouped: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """(keys, __offset): total of the earlier slices of the same group."""
+    sized = grouped.groupBy(*keys).agg(F.sum(value).alias("__part"))
+    before = Window.partitionBy(*keys[:-1]).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return sized.select(*keys, F.coalesce(F.sum("__part").over(before), F.lit(0)).alias("__offset"))
+
+
 def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: Column, name: str) -> DataFrame:
     """Sum of `value` over the earlier rows of the group (this row not counted).
 
@@ -65,9 +72,7 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
     group = [F.struct(*by).alias(GROUP)] if by else []
     keys = [GROUP, SLICE] if by else [SLICE]
     grouped = df.select("*", *group)
-    sized = grouped.groupBy(*keys).agg(F.sum(value).alias("__part"))
-    before = Window.partitionBy(*keys[:-1]).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sized.select(*keys, F.coalesce(F.sum("__part").over(before), F.lit(0)).alias("__offset"))
+    offsets = _slice_offsets(grouped, keys, value)
     if not by:
         offsets = F.broadcast(offsets)  # one row per slice, so at most the number of slices
     here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -137,11 +142,21 @@ def within_error_budget(df: DataFrame, by: Sequence[str], key: str, failed: Colu
 
 
 def sampled_per_group(df: DataFrame, by: Sequence[str], seed: str, key: str, cap: int) -> DataFrame:
-    """At most `cap` rows of each group, drawn by hash."""
-    if cap <= GROUP_LIMIT:
+    """At most `cap` rows of each group, drawn by hash.
+
+    Small caps are one ranked window, of which Spark keeps `cap` rows per group and task before the shuffle. For larger ones
+    only the slices that begin below the cap are ranked; the other rows are dropped by a join on the slice counts.
+    """
+    if cap <= DIRECT_CAP:
         w = Window.partitionBy(*by).orderBy(draw_hex(seed, key), key)
         return df.withColumn("__idx", F.row_number().over(w)).where(F.col("__idx") <= cap).drop("__idx")
-    return index_by_draw(df, seed, key, by, name="__idx").where(F.col("__idx") < cap).drop("__idx")
+    drawn = sliced_by_draw(df.withColumn("__draw", draw_hex(seed, key)), "__draw").withColumn(GROUP, F.struct(*by))
+    keys = [GROUP, SLICE]
+    begun = _slice_offsets(drawn, keys, F.lit(1).cast("bigint")).where(F.col("__offset") < cap)
+    near = drawn.join(begun, keys)
+    w = Window.partitionBy(*keys).orderBy("__draw", key)
+    ranked = near.withColumn("__idx", F.row_number().over(w) + F.col("__offset")).where(F.col("__idx") <= cap)
+    return ranked.select(*df.columns)
 
 
 def shuffled_head(df: DataFrame, seed: str, key: str, n: int) -> DataFrame:

@@ -179,6 +179,16 @@ def _(spark, sf):
     return rows.sampled_per_group(docs, ["source"], "cap", "doc_id", 10)
 
 
+@query(
+    "k4_large_group_cap",
+    """SELECT doc_id, lang FROM documents
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(concat_ws(':', 'cap', doc_id)), doc_id) <= 150""",
+)
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    return rows.sampled_per_group(docs, ["lang"], "cap", "doc_id", 150)
+
+
 @query("k5_first_rows", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 500")
 def _(spark, sf):
     return table(spark, sf, "documents").orderBy("doc_id").limit(500).select("doc_id", "lang")

@@ -74,6 +74,8 @@ def test_large_cap_equals_small_cap_rule(skewed):
     w = Window.partitionBy("g").orderBy(draw_hex("s", "id"))
     simple = skewed.withColumn("n", F.row_number().over(w)).where("n <= 1500")
     _same(rows.sampled_per_group(skewed, ["g"], "s", "id", 1500), simple, ["g", "id"])
+    middle = skewed.withColumn("n", F.row_number().over(w)).where("n <= 150")
+    _same(rows.sampled_per_group(skewed, ["g"], "s", "id", 150), middle, ["g", "id"])
     small = skewed.withColumn("n", F.row_number().over(w)).where("n <= 5")
     _same(rows.sampled_per_group(skewed, ["g"], "s", "id", 5), small, ["g", "id"])
 
