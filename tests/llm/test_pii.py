@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpuskit.llm import pii
+from tests.llm import cases
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def digits(text):
+    return [int(c) for c in text if c in "0123456789"]
+
+
+def luhn_by_hand(ds):
+    total = 0
+    for i, d in enumerate(reversed(ds)):
+        total += d if i % 2 == 0 else (2 * d if 2 * d < 10 else 2 * d - 9)
+    return total % 10 == 0
+
+
+def brute(text):
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(d := digits(m[0])) <= 19 and luhn_by_hand(d)]
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]
+
+
+def test_base_spans_on_random_texts():
+    rng = random.Random(5)
+    pools = ["a@b.c-_%+ .", "0123.5 25.", "4111 1111-1111 1111", "+1 (23).4-5 67", "ab@.c1@d.e,+(0 49 .-é"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(rng.choice(pools)) for _ in range(rng.randint(0, 40)))
+        got = [s for s in pii.propose(text) if s[0] in pii.BASE_KINDS]
+        assert got == brute(text), text
+
+
+@pytest.mark.parametrize("text", ["4111 1111 1111 1111", "x 5500-0000-0000-0004, y", "1.2.3.4.5.6.7.8", "0000255.1.1.1", "256.1.1.1", "a@b.c@d.e"])
+def test_base_spans_on_cases(text):
+    assert [s for s in pii.propose(text) if s[0] in pii.BASE_KINDS] == brute(text)
+
+
+def test_long_texts_are_linear():
+    for text in ("a" * 300_000 + "@", "1" * 300_000, "+1" + "." * 300_000, "a@" * 100_000, "1." * 100_000, "A1" * 100_000):
+        pii.find_spans(text)
+
+
+def test_added_kinds():
+    kinds = lambda text: [s[0] for s in pii.find_spans(text)]
+    assert "iban" in kinds("IBAN DE89 3704 0044 0532 0130 00.")
+    assert "iban" not in kinds("IBAN DE88 3704 0044 0532 0130 00.")
+    assert "ssn" in kinds("his SSN: 123-45-6789") and "ssn" not in kinds("part 123-45-6789")
+    plain, near = pii.score("x 10.0.0.1", "ip", 2), pii.score("host 10.0.0.1", "ip", 5)
+    assert near > plain
+
+
+def test_rows(spark):
+    df = cases.frame(spark)
+    found = pii.spans(df)
+    assert sorted(found.columns) == sorted(df.columns)
+    for row in found.collect():
+        text = row["text"] or ""
+        assert [(s["kind"], s["start"], s["end"]) for s in row["spans"] if s["kind"] in pii.BASE_KINDS] == brute(text)
+    assert pii.spans(cases.empty(spark)).count() == 0
+
+
+def test_masks(spark):
+    assert pii.mask("mail a@b.cd, 10.0.0.1!") == "mail [EMAIL], [IP]!"
+    assert pii.mask("é 4111 1111 1111 1111") == "é [CARD]" and pii.mask("") == ""
+    masked = pii.masked(cases.frame(spark)).filter(F.col("text").isNull()).count()
+    assert masked == 1
