@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 import zstandard
 from pyspark import TaskContext
@@ -129,7 +130,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Chunk]]:
     first, n, chunk = TaskContext.get().partitionId() << 32, 0, _Chunk()
     for batch in batches:
         carried = batch.select(range(1, batch.num_columns)) if batch.num_columns > 1 else None
-        sizes = np.cumsum(pa.compute.binary_length(batch.column(0)).to_numpy(zero_copy_only=False))
+        sizes = np.cumsum(pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False))
         row = 0
         while row < batch.num_rows:
             base = sizes[row - 1] if row else 0
@@ -264,7 +265,7 @@ def decoded(ids: Column, ranks: str = RANKS) -> Column:
     def decode(arrays: pa.Array) -> pa.Array:
         table, starts, lengths = _table(ranks)
         flat = arrays.flatten().to_numpy(zero_copy_only=False)
-        bounds = np.append(0, np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)))
+        bounds = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)))
         size = lengths[flat]
         raw = ragged(table, starts[flat], size)
         at = np.append(0, np.cumsum(size))[bounds]

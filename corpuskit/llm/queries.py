@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe, decontamination, language, pii, simhash
+from corpuskit.llm import bpe, decontamination, language, licenses, pii, simhash, token_files, topk, warc
 from corpuskit.llm.registry import query
-from corpuskit.llm.sql import OP8
+from corpuskit.llm.sql import OP6, OP7, OP8, OP9
+from corpuskit.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,3 +90,36 @@ def op10(spark, sf_dir):
     slim = language.kept(weighed.drop("text", "host", "suffix"))
     named = language.fused(slim, slim, model.languages)
     return named.select("doc_id", "page_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "accepted")
+
+
+@query("op5_token_files")
+def op5(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    token_files.write(documents(spark, sf_dir), path)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+@query("op6_license_scan", OP6)
+def op6(spark, sf_dir):
+    found = licenses.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "text_digest", "license", F.array_join("notices", ",").alias("notices"))
+
+
+def damaged(pages: DataFrame) -> DataFrame:
+    """A second replica with faults at fixed ids: a changed first letter, a cut end, a lost record."""
+    kept = pages.filter("page_id % 211 != 3 OR page_id IS NULL")
+    html = F.when(F.col("page_id") % 50 == 7, F.concat(F.lit("#"), F.expr("substring(html, 2)")))
+    html = html.when(F.col("page_id") % 83 == 5, F.expr("left(html, length(html) - 1)"))
+    return kept.withColumn("html", html.otherwise(F.col("html")))
+
+
+@query("op7_warc_fixity", OP7)
+def op7(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.audit(warc.stored(pages), warc.stored(damaged(pages)))
+
+
+@query("op9_exact_top_k", OP9)
+def op9(spark, sf_dir):
+    rows = topk.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(rows.filter("id % 20 = 0"), rows)

@@ -1,5 +1,9 @@
 """DuckDB SQL of the operators that SQL can express."""
 
+from __future__ import annotations
+
+from corpuskit.llm import licenses
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
@@ -16,3 +20,48 @@ items AS (SELECT r, count(DISTINCT item_id) AS n_items,
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+
+
+OP9 = """WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id != q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20"""
+
+
+def _canonical(text: str) -> str:
+    out = f"regexp_replace(coalesce({text}, ''), '{licenses.COPYRIGHT_LINE.replace('(?im)', '')}', '', 'gim')"
+    out = f"translate({out}, '{licenses.UPPER}', '{licenses.LOWER}')"
+    out = f"trim(regexp_replace({out}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'))"
+    for other, usual in licenses.SPELLINGS:
+        out = f"replace({out}, '{other}', '{usual}')"
+    return out
+
+
+def _values(pairs: list[tuple[str, str]]) -> str:
+    rows = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in pairs)
+    return f"(SELECT sha256({_canonical('t')}) AS digest, min(n) AS license FROM (VALUES {rows}) AS k(n, t) GROUP BY 1)"
+
+
+OP6 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+lines AS (SELECT r, i, string_split(text, chr(10))[i] AS line FROM d, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)),
+notices AS (SELECT r, string_agg(license, ',' ORDER BY i) AS notices FROM lines JOIN {_values(licenses.NOTICES)} k
+  ON sha256({_canonical('line')}) = k.digest WHERE regexp_matches(line, 'licen[cs]e', 'i') GROUP BY r)
+SELECT doc_id, sha256({_canonical('text')}) AS text_digest, k.license, coalesce(notices, '') AS notices
+FROM d LEFT JOIN {_values(licenses.TEXTS + licenses.NOTICES)} k ON sha256({_canonical('text')}) = k.digest LEFT JOIN notices USING (r)"""
+
+
+def _record(html: str) -> str:
+    crlf = "chr(13) || chr(10)"
+    return f"""encode('WARC/1.1' || {crlf} || 'WARC-Type: resource' || {crlf} || 'WARC-Record-ID: <urn:page:' || page_id || '>' || {crlf}
+  || 'WARC-Target-URI: ' || url || {crlf} || 'Content-Length: ' || octet_length(encode({html})) || {crlf} || {crlf} || {html} || {crlf} || {crlf})"""
+
+
+OP7 = f"""WITH a AS (SELECT page_id, page_id // 512 AS file, {_record('html')} AS rec, {_record('bad')} AS bad, page_id % 211 = 3 AS gone
+  FROM (SELECT *, CASE WHEN page_id % 50 = 7 THEN '#' || substr(html, 2) WHEN page_id % 83 = 5 THEN left(html, length(html) - 1)
+    ELSE html END AS bad FROM pages)),
+m AS (SELECT *, sum(octet_length(rec)) OVER (PARTITION BY file ORDER BY page_id) AS stop FROM a)
+SELECT page_id, file::BIGINT AS file, (stop - octet_length(rec))::BIGINT AS start, stop::BIGINT AS "end",
+  CASE WHEN gone THEN 'missing' ELSE 'changed' END AS status, sha256(rec) AS digest_a, CASE WHEN NOT gone THEN sha256(bad) END AS digest_b
+FROM m WHERE gone OR rec != bad"""
