@@ -22,8 +22,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
 
-OP9 = """WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS w FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+OP9 = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id != q.vec_id)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
@@ -31,7 +31,7 @@ FROM s QUALIFY rank <= 20"""
 
 
 def _canonical(text: str) -> str:
-    out = f"regexp_replace(coalesce({text}, ''), '{licenses.COPYRIGHT_LINE.replace('(?im)', '')}', '', 'gim')"
+    out = f"regexp_replace(coalesce({text}, ''), '{licenses.COPYRIGHT_LINE}', '', 'g')"
     out = f"translate({out}, '{licenses.UPPER}', '{licenses.LOWER}')"
     out = f"trim(regexp_replace({out}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'))"
     for other, usual in licenses.SPELLINGS:
