@@ -32,8 +32,9 @@ from corpuskit.llm.frames import partitions
 from corpuskit.llm.pretokens import cut
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-CHUNK_BYTES = 24 << 20  # of text in one chunk; a longer text is a chunk of its own
-PIECE_BYTES = 2 << 20  # of text cut at a time within a chunk
+CHUNK_BYTES = 8 << 20  # of text in one chunk; a longer text is a chunk of its own
+PIECE_BYTES = 1 << 20  # of text cut at a time within a chunk
+PIECE_IDS = 1 << 18  # decoded at a time
 PACKED = "chunk bigint, part int, words int, data binary, rows binary"
 
 
@@ -266,11 +267,15 @@ def decoded(ids: Column, ranks: str = RANKS) -> Column:
         table, starts, lengths = _table(ranks)
         flat = arrays.flatten().to_numpy(zero_copy_only=False)
         bounds = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)))
-        size = lengths[flat]
-        raw = ragged(table, starts[flat], size)
-        at = np.append(0, np.cumsum(size))[bounds]
-        if len(raw) >= 1 << 31:
-            return pa.array([raw[i:j].tobytes() for i, j in zip(at, at[1:], strict=False)], pa.binary())
-        return pa.Array.from_buffers(pa.binary(), len(arrays), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)])
+        raws, at, row = [], np.zeros(len(bounds), np.int64), 0
+        while row < len(arrays):  # some rows at a time: the places of all bytes of a batch would need much room
+            end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + PIECE_IDS, side="right")) - 1)
+            some = flat[bounds[row] : bounds[end]]
+            size = lengths[some]
+            at[row + 1 : end + 1] = at[row] + np.append(0, np.cumsum(size))[bounds[row + 1 : end + 1] - bounds[row]]
+            raws.append(ragged(table, starts[some], size))
+            row = end
+        raw = np.concatenate(raws) if raws else np.zeros(0, np.uint8)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(arrays), [None, pa.py_buffer(at), pa.py_buffer(raw)]).cast(pa.binary())
 
     return decode(ids)
