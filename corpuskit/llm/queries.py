@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe, decontamination, language, licenses, pii, simhash, token_files, topk, warc
+from corpuskit.llm import bpe, decontamination, language, licenses, pii, simhash, suffixes, token_files, topk, warc
 from corpuskit.llm.registry import query
 from corpuskit.llm.sql import OP6, OP7, OP8, OP9
 from corpuskit.session import scratch_path
@@ -23,6 +23,21 @@ def ids_text(ids: str = "ids"):
     return F.array_join(F.col(ids).cast("array<string>"), ",")
 
 
+@query("op1_repeated_strings")
+def op1(spark, sf_dir):
+    rows, spans, texts = suffixes.repeats(documents(spark, sf_dir))
+    cut = suffixes.cut_out(texts, spans).select("row", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256"))
+    raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    whole = rows.select("row", "doc_id", F.octet_length(raw).cast("bigint").alias("n_bytes"), F.sha2(raw, 256).alias("whole_sha256"))
+    return whole.join(cut, "row", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
+        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+    )
+
+
 @query("op2_byte_bpe")
 def op2(spark, sf_dir):
     coded = bpe.encoded(documents(spark, sf_dir))
