@@ -10,7 +10,8 @@ shares at least o bytes to the left and WINDOW - o to the right.
    pieces front-coded. Two orders go out: core, rest to the right, left side; and core, left side, rest to the right.
 3. A range merges its runs with a loser tree that keeps common prefixes (`frontcode.merge`). The common prefixes of neighbours give how far
    each pair agrees in the order's first direction; the second is compared. Up to `REACH` neighbours on either side are looked at, further ones
-   only where they may still decide something: such anchors are sorted again with a longer reach, until none is open.
+   only where they may still decide something: all that share a core with such an anchor are sorted again, with a longer reach in
+   longer ranges, until none is open.
 4. Ranges hand their first and last suffixes to the boundary between them, so that neighbours are met across ranges, and a group of any
    size may lie on many ranges.
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -133,7 +134,7 @@ def _keys(raw: bytes, place: int) -> tuple[bytes, bytes, int, int]:
 
 META = np.dtype([("row", "<i8"), ("place", "<i4"), ("least", "<u2"), ("most", "<u2"), ("right", "<u2"), ("left", "<u2"), ("asks", "u1")])
 SENT = "kind int, part int, row bigint, data binary"
-RUN, FOUND, TEXT, EDGE = 0, 1, 2, 3
+RUN, FOUND, EDGE = 0, 1, 2
 _SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("row", pa.int64()), ("data", pa.binary())])
 #: Decided offsets of an anchor, low to high, and how far an anchor not looked at may still agree (0: all were looked at).
 ANSWER = np.dtype([("row", "<i8"), ("place", "<i4"), ("least", "<u2"), ("most", "<u2"), ("low", "<i2"), ("high", "<i2"), ("order", "u1"), ("open", "<u2")])
@@ -199,14 +200,12 @@ class _Runs:
         return out
 
 
-def _sorter(splitters: list[list[bytes]], parts: int, with_texts: bool):
+def _sorter(splitters: list[list[bytes]], parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = _Runs(splitters, parts)
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("row", "text", "places", "leasts", "mosts")]
             for row, text, places, leasts, mosts in zip(*columns, strict=True):
-                if with_texts:
-                    yield _batch([(TEXT, row % parts, row, text)])
                 raw = zstandard.decompress(text)
                 for at in range(0, len(places), RUN_KEYS):
                     some = slice(at, at + RUN_KEYS)
@@ -463,20 +462,25 @@ def _squeezed(texts: pa.Array) -> pa.Array:
     return pa.array([squeeze(t) for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
 
 
-def _splitters(spark: SparkSession, rows: DataFrame, n_bytes: int, parts: int) -> list[list[bytes]]:
-    """Range ends of both orders from a sample of anchors. They decide where suffixes are sorted, never which."""
-    share = min(1.0, SAMPLE_ANCHORS * PLACES / 2 / max(1, n_bytes))
+def _ranges(n_anchors: int, reach: int, parts: int) -> int:
+    """Ranges of one order: as many as the session has partitions, but each much longer than the reach."""
+    return max(1, min(parts, n_anchors // (8 * (reach + 1))))
+
+
+def _splitters(joined: DataFrame, n_anchors: int, parts: int) -> list[list[bytes]]:
+    """Range ends of both orders from a sample of about SAMPLE_ANCHORS anchors. They decide where suffixes are sorted, never which."""
+    share = int(min(1.0, SAMPLE_ANCHORS / max(1, n_anchors)) * 1_000_000) + 1
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, raw, bounds in _texts(batch.column(0)):
-                text, place, *_ = anchors(raw, bounds)
-                data = raw.tobytes()
-                pairs = [_keys(data[bounds[t] : bounds[t + 1]], p)[:2] for t, p in zip(text.tolist(), place.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
-
-    drawn = rows.filter(F.pmod(F.xxhash64("text", "row"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("text")
-    found = drawn.mapInArrow(keys, "a binary, b binary").collect()  # about SAMPLE_ANCHORS rows
+            pairs = []
+            for text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = zstandard.decompress(text)
+                pairs += [_keys(raw, p)[:2] for p in places]
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    drawn = joined.filter(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < share).select("text", "places")
+    found = drawn.mapInArrow(keys, "a binary, b binary").collect()
     out = []
     for column in ("a", "b"):
         ordered = sorted(bytes(r[column]) for r in found)
@@ -484,14 +488,20 @@ def _splitters(spark: SparkSession, rows: DataFrame, n_bytes: int, parts: int) -
     return out
 
 
-def _passed(texts: DataFrame, kept: DataFrame, splitters: list[list[bytes]], parts: int, reach: int, with_texts: bool) -> DataFrame:
-    """One sort of the anchors `kept`: rows of kind FOUND and, if asked for, TEXT."""
+def _with_texts(texts: DataFrame, kept: DataFrame) -> DataFrame:
+    """(row, text, places, leasts, mosts): texts beside their anchors. A row has as many as its text is long."""
     lists = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "least", "most"))).alias("a"))
-    joined = texts.join(lists, "row").select("row", "text", *[F.col(f"a.{c}").alias(f"{c}s") for c in ("place", "least", "most")])
-    sent = joined.mapInArrow(_sorter(splitters, parts, with_texts), SENT)
+    return texts.join(lists, "row").select("row", "text", *[F.col(f"a.{c}").alias(f"{c}s") for c in ("place", "least", "most")])
+
+
+def _passed(joined: DataFrame, n_anchors: int, reach: int) -> DataFrame:
+    """One sort of anchors beside their texts: rows of kind FOUND."""
+    spark = joined.sparkSession
+    parts = _ranges(n_anchors, reach, partitions(spark))
+    sent = joined.mapInArrow(_sorter(_splitters(joined, n_anchors, parts), parts), SENT)
     merged = cut_lineage(sent.repartitionById(2 * parts, F.col("part")).mapInArrow(_merger(parts, reach), SENT), "merged")
     edges = merged.filter(F.col("kind") == EDGE).repartition(2 * parts, "part").sortWithinPartitions("part", "row")
-    return merged.filter(F.col("kind").isin(FOUND, TEXT)).unionByName(edges.mapInArrow(_stitcher(parts, reach), SENT))
+    return merged.filter(F.col("kind") == FOUND).unionByName(edges.mapInArrow(_stitcher(parts, reach), SENT))
 
 
 def _answers(found: DataFrame) -> DataFrame:
@@ -513,10 +523,8 @@ def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[Data
     found = cut_lineage(texts.mapInArrow(_find_anchors, ANCHORS), "anchors")
     cores = found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
     kept = cut_lineage(found.join(cores, "core", "left_semi"), "kept")
-    splitters = _splitters(spark, texts, int(found.count()) * PLACES // 2, parts)
-    packed = texts.select("row", _squeezed("text").alias("text"))
-    done = cut_lineage(_passed(packed, kept.drop("core"), splitters, parts, reach, True), "found")
-    held = done.filter(F.col("kind") == TEXT).select("row", F.col("data").alias("text"))
+    held = cut_lineage(_with_texts(texts.select("row", _squeezed("text").alias("text")), kept), "held")
+    done = cut_lineage(_passed(held, kept.count(), reach), "found")
     decided = cut_lineage(_decided(_answers(done), parts), "decided")
     answers = _answers(done)
     while decided.filter(F.size("open_places") > 0).head(1):
@@ -525,13 +533,13 @@ def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[Data
         open_places = decided.select("row", F.explode("open_places").alias("place"))
         again = kept.join(open_places, ["row", "place"]).select("core").distinct()
         some = cut_lineage(kept.join(again, "core", "left_semi").drop("core"), "again")
-        more = cut_lineage(_passed(held, some, splitters, parts, reach, False), "found")
+        more = cut_lineage(_passed(_with_texts(held.select("row", "text"), some), some.count(), reach), "found")
         # What was decided stays; how far others may agree is told anew.
         settled = answers.join(some.select("row", "place"), ["row", "place"], "left_semi").withColumn("open", F.lit(0))
         rest = answers.join(some.select("row", "place"), ["row", "place"], "left_anti")
         answers = cut_lineage(rest.unionByName(settled).unionByName(_answers(more)), "answers")
         decided = cut_lineage(_decided(answers, parts), "decided")
-    return rows, decided.filter(F.size("starts") > 0).select("row", "starts", "ends"), held
+    return rows, decided.filter(F.size("starts") > 0).select("row", "starts", "ends"), held.select("row", "text")
 
 
 def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
