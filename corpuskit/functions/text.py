@@ -126,9 +126,11 @@ def match_key(c: Column) -> Column:
 
 
 def zero_pad(c: Column, width: int = 4) -> Column:
-    """Pad on the left with zeros; longer values stay whole."""
+    """Pad on the left with zeros, after a sign; longer values stay whole."""
     s = c.cast("string")
-    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+    sign = F.regexp_extract(s, r"^[+-]?", 0)
+    padded = F.concat(sign, F.lpad(F.substring(s, F.length(sign) + 1, F.length(s)), width - F.length(sign), F.lit("0")))
+    return F.when(F.length(s) < width, padded).otherwise(s)
 
 
 def slice_text(c: Column, start: Column, end: Column) -> Column:
@@ -153,7 +155,7 @@ def file_stem(c: Column) -> Column:
 def last_number(c: Column) -> Column:
     """The last blank-separated token as an integer, 0 when it is none."""
     token = F.regexp_extract(c, r"(\S+)\s*\z", 1)
-    return F.coalesce(token.try_cast("int"), F.lit(0))
+    return F.coalesce(token.try_cast("bigint"), F.lit(0))
 
 
 def words(c: Column) -> Column:

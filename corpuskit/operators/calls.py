@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.operators import rows
+from corpuskit.session import cut_lineage
 from corpuskit.sources import files, keyed
 
 RESULT = "result string, status string, attempts int, error string"
@@ -67,9 +68,12 @@ def call_rows(df: DataFrame, key: str, text: str, fn: Callable[[str], str], poli
 
 
 def _existing(df: DataFrame, path: str) -> DataFrame | None:
+    """The table, or None if nothing was ever written there; any other fault of the table is raised."""
     try:
         return df.sparkSession.read.parquet(path)
-    except AnalysisException:  # no block was finished yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -102,7 +106,7 @@ def cached_calls(
     cache_path: str,
     fn: Callable[[str], str],
     min_length: int = 5,
-    quota: int = 5000,
+    quota: int | None = None,
     store: str = "all",
     tasks: int = 4,
     policy: CallPolicy = CallPolicy(),
@@ -110,8 +114,9 @@ def cached_calls(
     """Look texts up in a cache table, call for those it lacks, and join the answers back to the rows.
 
     Before any call: nulls and texts of `min_length` or fewer characters go, repeats merge, cached texts go, and the first
-    `quota` in text order remain. `store` is "all" (failures are cached too) or "success". The calls are written to
-    the cache before they are read, so each is made once. Rows without an answer get nulls.
+    `quota` in text order remain (None: all). `store` is "all" (failures are cached too) or "success". The calls are written to
+    the cache before they are read, so each is made once. Rows that were not asked have the status `too_short` or `over_quota`;
+    with "success", `failed` stands for calls of this run that were not stored.
     """
     if store not in ("all", "success"):
         raise ValueError(f"unknown store policy {store}")
@@ -119,13 +124,17 @@ def cached_calls(
     cache = _existing(df, cache_path)
     wanted = df.where(F.length(text) > min_length).select(text).distinct()
     todo = wanted if cache is None else wanted.join(cache.select(text), text, "left_anti")
-    due = todo.orderBy(text).limit(quota).repartition(tasks, text).withColumn("__text", F.col(text))
-    called = call_rows(due, text, "__text", fn, policy)
+    chosen = todo if quota is None else todo.orderBy(text).limit(quota)
+    due = cut_lineage(chosen, "due")  # what this run asks for is fixed before it is asked
+    called = call_rows(due.repartition(tasks, text).withColumn("__text", F.col(text)), text, "__text", fn, policy)
     if store == "success":
         called = called.where(F.col("status") == "ok")
-    called.write.mode("append").parquet(cache_path)
-    answers = keyed.latest_per_key(spark.read.parquet(cache_path), [text], F.col("attempts"))
-    return df.join(answers, text, "left")
+    called.withColumn("called_at", F.current_timestamp()).write.mode("append").parquet(cache_path)
+    answers = keyed.latest_per_key(spark.read.parquet(cache_path), [text], F.struct("called_at", "attempts")).drop("called_at")
+    joined = df.join(answers, text, "left").join(due.withColumn("__due", F.lit(True)), text, "left")
+    short = F.coalesce(F.length(text), F.lit(0)) <= min_length
+    unasked = F.when(short, "too_short").when(F.col("__due"), "failed").otherwise("over_quota")
+    return joined.withColumn("status", F.coalesce("status", unasked)).drop("__due")
 
 
 def run_counters(df: DataFrame, text: str, cache: DataFrame, min_length: int = 5) -> DataFrame:

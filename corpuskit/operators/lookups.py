@@ -18,14 +18,15 @@ CATALOGUE_LIMIT = 20_000  # class names fit in a literal up to here; larger cata
 
 
 def strict_lookup(df: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
-    """Every row must find its key; the query fails with the missing key otherwise."""
-    found = df.join(dim.select(key, value, F.lit(True).alias("__found")), key, "left")
+    """Every row must find its key, and the key must be there once; the query fails with the key otherwise."""
+    found = df.join(unique_by(dim.select(key, value, F.lit(True).alias("__found")), key), key, "left")
     missing = F.raise_error(F.concat(F.lit(f"no {value} for {key} "), F.col(key).cast("string")))
     return found.withColumn(value, F.when(F.col("__found").isNull(), missing).otherwise(F.col(value))).drop("__found")
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    return df.join(dim.select(key, *values), key, "left")
+    """Values of a dimension, null where the key is absent. Fails if a key occurs twice, so rows never multiply."""
+    return df.join(unique_by(dim.select(key, *values), key), key, "left")
 
 
 def not_cached(df: DataFrame, cache: DataFrame, key: str) -> DataFrame:
@@ -35,10 +36,11 @@ def not_cached(df: DataFrame, cache: DataFrame, key: str) -> DataFrame:
 def unique_by(df: DataFrame, key: str) -> DataFrame:
     """The same rows; the query fails when a key occurs twice."""
     others = [c for c in df.columns if c != key]
-    grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*others)).alias("__row"))
+    grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others])
     twice = F.raise_error(F.concat(F.lit(f"{key} occurs twice: "), F.col(key).cast("string")))
-    row = F.when(F.col("__n") > 1, twice).otherwise(F.col("__row"))
-    return grouped.select(key, row.alias("__row")).select(key, "__row.*")
+    # A null key matches nothing in a lookup, however often it occurs.
+    checked = F.when((F.col("__n") > 1) & F.col(key).isNotNull(), twice.cast(df.schema[key].dataType)).otherwise(F.col(key))
+    return grouped.select(checked.alias(key), *others)
 
 
 def side_by_side(df: DataFrame, extra: DataFrame, key: str) -> DataFrame:
@@ -65,7 +67,7 @@ def catalogue_frame(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 def literal_catalogue(catalogue: DataFrame, column: str) -> list | None:
     """The sorted entries when there are few of them, else None. Reads one entry over the limit and no more."""
     found = catalogue.select(column).distinct().limit(CATALOGUE_LIMIT + 1).collect()
-    return None if len(found) > CATALOGUE_LIMIT else sorted(row[0] for row in found)
+    return None if len(found) > CATALOGUE_LIMIT else sorted((row[0] for row in found), key=lambda e: (e is not None, e))
 
 
 def each_with(df: DataFrame, catalogue: DataFrame, column: str, blocks: int | None = None) -> DataFrame:
@@ -112,8 +114,20 @@ def sign_labels(df: DataFrame, x: Column, y: Column) -> DataFrame:
     return moved.withColumn("right", (F.col("x") > 0).cast("int")).withColumn("up", (F.col("y") > 0).cast("int"))
 
 
-def merged_fields(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Upsert by key: a non-null changed field replaces the old one, other fields stay, new keys are added."""
+def folded_changes(changes: DataFrame, key: str, order: str) -> DataFrame:
+    """One change per key: of each field the last non-null value in `order`, as if the changes came one after the other."""
+    fields = [c for c in changes.columns if c not in (key, order)]
+    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct(order, c)))[c].alias(c) for c in fields]
+    return changes.groupBy(key).agg(*newest)
+
+
+def merged_fields(base: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Upsert by key: a non-null changed field replaces the old one, other fields stay, new keys are added.
+
+    Several changes of a key are folded in `order`; without an order, a key changes once.
+    """
+    if order is not None:
+        changes = folded_changes(changes, key, order)
     fields: Mapping[str, None] = dict.fromkeys([*base.columns, *changes.columns])
     old = base.select(F.col(key), F.struct(*[c for c in base.columns if c != key]).alias("__old"))
     new = changes.select(F.col(key), F.struct(*[c for c in changes.columns if c != key]).alias("__new"))

@@ -11,8 +11,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpuskit.operators import rows
 
@@ -36,6 +38,9 @@ def grid(n_queries: int, n_corpus: int, dim: int, tasks: int) -> tuple[int, int]
 
 def _matrix(table: pa.Table, column: str, metric: str) -> np.ndarray:
     vectors = table.column(column).combine_chunks()
+    lengths = vectors.value_lengths()
+    if pc.min(lengths).as_py() != pc.max(lengths).as_py():
+        raise ValueError("vectors of different lengths")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     matrix = flat.reshape(len(vectors), -1)
     if metric == "cosine":
@@ -51,65 +56,60 @@ def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     return np.round(product, DIGITS)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, smaller ids first on ties."""
-    if len(scores) > k:
-        threshold = -np.partition(-scores, k - 1)[k - 1]
-        places = np.flatnonzero(scores >= threshold)
-    else:
-        places = np.arange(len(scores))
-    return places[np.lexsort((ids[places], -scores[places]))[:k]]
+def _candidates(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of every score that is not below its row's k-th best: ties at the edge included."""
+    if scores.shape[1] > k:
+        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        return np.nonzero((scores >= edge) & (scores > -np.inf))
+    return np.nonzero(scores > -np.inf)
 
 
 def _cell_top(k: int, metric: str, skip_same: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_q, out_id, out_score = [], [], []
+        q_ids, c_ids = _ids(left, "query"), _ids(right, "id")
+        # Ids compare by rank, so that texts and numbers are told apart and ordered alike.
+        order = np.argsort(c_ids, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        out_q, out_c, out_score = [], [], []
         if left.num_rows and right.num_rows:
-            q_ids, c_ids = left.column("query").to_numpy(), right.column("id").to_numpy()
             q, c = _matrix(left, "qv", metric), _matrix(right, "cv", metric)
             for at in range(0, len(q), QUERY_STEP):
                 block = q[at : at + QUERY_STEP]
-                kept: list[tuple[np.ndarray, np.ndarray]] = [(c_ids[:0], np.empty(0))] * len(block)
+                kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
                 for start in range(0, len(c), CORPUS_STEP):
-                    part_ids = c_ids[start : start + CORPUS_STEP]
-                    part = _scores(block, c[start : start + CORPUS_STEP], metric)
-                    for i in range(len(block)):
-                        ids, scores = part_ids, part[i]
-                        if skip_same:
-                            other = ids != q_ids[at + i]
-                            ids, scores = ids[other], scores[other]
-                        best = _best(scores, ids, k)
-                        both_ids = np.concatenate([kept[i][0], ids[best]])
-                        both = np.concatenate([kept[i][1], scores[best]])
-                        best = _best(both, both_ids, k)
-                        kept[i] = (both_ids[best], both[best])
-                for i, (ids, scores) in enumerate(kept):
-                    out_q.append(np.full(len(ids), q_ids[at + i]))
-                    out_id.append(ids)
-                    out_score.append(scores)
-        empty = np.empty(0, dtype=np.int64)
-        return pa.table(
-            {
-                "query": pa.array(np.concatenate(out_q) if out_q else empty, pa.int64()),
-                "id": pa.array(np.concatenate(out_id) if out_id else empty, pa.int64()),
-                "score": pa.array(np.concatenate(out_score) if out_score else np.empty(0), pa.float64()),
-            }
-        )
+                    scores = _scores(block, c[start : start + CORPUS_STEP], metric)
+                    if skip_same:
+                        scores[q_ids[at : at + QUERY_STEP, None] == c_ids[None, start : start + CORPUS_STEP]] = -np.inf
+                    row, place = _candidates(scores, k)
+                    both = [np.concatenate(x) for x in zip(kept, (row, place + start, scores[row, place]), strict=True)]
+                    sort = np.lexsort((rank[both[1]], -both[2], both[0]))
+                    row = both[0][sort]
+                    nth = np.arange(len(row)) - np.searchsorted(row, row)
+                    kept = tuple(x[sort][nth < k] for x in both)
+                out_q.append(q_ids[at + kept[0]])
+                out_c.append(c_ids[kept[1]])
+                out_score.append(kept[2])
+        if not out_q:
+            return pa.table({"query": left.column("query")[:0], "id": right.column("id")[:0], "score": pa.array([], pa.float64())})
+        joined = [np.concatenate(x) for x in (out_q, out_c, out_score)]
+        kinds = (left.schema.field("query").type, right.schema.field("id").type, pa.float64())
+        return pa.table({n: pa.array(x.tolist(), t) for n, x, t in zip(("query", "id", "score"), joined, kinds, strict=True)})
 
     return run
 
 
 def _cell_all(metric: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        q_ids, c_ids = left.column("query").to_numpy(), right.column("id").to_numpy()
+        q_ids, c_ids = _ids(left, "query"), _ids(right, "id")
         if left.num_rows and right.num_rows:
             scores = _scores(_matrix(left, "qv", metric), _matrix(right, "cv", metric), metric).ravel()
         else:
             scores = np.empty(0)
         return pa.table(
             {
-                "query": pa.array(np.repeat(q_ids, len(c_ids) if len(scores) else 0), pa.int64()),
-                "id": pa.array(np.tile(c_ids, len(q_ids) if len(scores) else 0), pa.int64()),
+                "query": pa.array(np.repeat(q_ids, len(c_ids) if len(scores) else 0).tolist(), left.schema.field("query").type),
+                "id": pa.array(np.tile(c_ids, len(q_ids) if len(scores) else 0).tolist(), right.schema.field("id").type),
                 "score": pa.array(scores, pa.float64()),
             }
         )
@@ -117,26 +117,41 @@ def _cell_all(metric: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return run
 
 
+def _id_type(df: DataFrame, column: str) -> str:
+    return "string" if isinstance(df.schema[column].dataType, StringType) else "bigint"
+
+
+def _ids(table: pa.Table, column: str) -> np.ndarray:
+    """Numbers, or texts as fixed-width characters, which sort as Spark sorts them."""
+    found = table.column(column).to_numpy()
+    return found.astype(str) if found.dtype == object else found
+
+
 def _cells(queries: DataFrame, corpus: DataFrame, fn: Callable, cells: tuple[int, int] | None) -> DataFrame:
-    """`queries` has (query bigint, vector), `corpus` (id bigint, vector)."""
+    """`queries` has (query, vector), `corpus` (id, vector); ids are whole numbers or texts.
+
+    Rows whose vector is null or holds a null take no part. Vectors of different lengths end the job.
+    """
+    queries, corpus = (d.where(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull())) for d in (queries, corpus))
+    kinds = [_id_type(queries, "query"), _id_type(corpus, "id")]
     if cells is None:
         sizes = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
         n_corpus = corpus.count()
         cells = grid(sizes[0], n_corpus, sizes[1] or 1, rows.slice_count(queries))
     qs, cs = cells
     left = queries.select(
-        F.col("query").cast("bigint"),
+        F.col("query").cast(kinds[0]),
         F.col("vector").cast("array<double>").alias("qv"),
         F.pmod(F.xxhash64("query"), F.lit(qs)).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), F.lit(cs - 1))).alias("cb"),
     )
     right = corpus.select(
-        F.col("id").cast("bigint"),
+        F.col("id").cast(kinds[1]),
         F.col("vector").cast("array<double>").alias("cv"),
         F.explode(F.sequence(F.lit(0), F.lit(qs - 1))).alias("qb"),
         F.pmod(F.xxhash64("id"), F.lit(cs)).cast("int").alias("cb"),
     )
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(fn, "query bigint, id bigint, score double")
+    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(fn, f"query {kinds[0]}, id {kinds[1]}, score double")
 
 
 def top_k(

@@ -7,7 +7,6 @@ sizes come from a partially aggregated count, and only (groups x slices) of them
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -18,6 +17,8 @@ from pyspark.sql.types import StringType
 from corpuskit.functions.hashing import draw_hex, draw_int
 
 SLICE, GROUP = "__slice", "__group"
+FIRST = -1.0  # the slice of rows without a key
+TEXT_SAMPLE = 50  # sampled texts per slice that choose the cut points of a text key
 DIRECT_CAP = 100  # up to this rank a hot group receives few rows per task even from very many tasks
 
 
@@ -26,27 +27,44 @@ def slice_count(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def _as_number(df: DataFrame, key: str) -> Column:
-    """A double that never falls as the key rises. Of texts, the six bytes after the prefix that all of them share."""
-    if not isinstance(df.schema[key].dataType, StringType):
-        return F.col(key).cast("double")
-    least, greatest = df.agg(F.min(key), F.max(key)).first()
-    shared = len(os.path.commonprefix([(least or "").encode(), (greatest or "").encode()]))
-    code = F.hex(F.substring(F.encode(F.col(key), "UTF-8"), shared + 1, 6))
-    return F.conv(F.rpad(code, 12, "0"), 16, 10).cast("double")
+def _text_cuts(df: DataFrame, key: str, n: int) -> list[str]:
+    """About `n` cut points of a text key: weighted quantiles of the distinct keys in a hashed sample."""
+    total = df.count()
+    share = int(min(1.0, TEXT_SAMPLE * n / max(1, total)) * 1_000_000) + 1
+    drawn = df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1_000_000)) < share))
+    weighed = sorted((r[0].encode(), r[1]) for r in drawn.groupBy(key).count().collect())
+    whole, before, cuts = sum(w for _, w in weighed), 0, []
+    for text, weight in weighed:
+        if before * n // max(1, whole) != (before + weight) * n // max(1, whole):
+            cuts.append(text.decode())
+        before += weight
+    return cuts
+
+
+def _text_slice(key: Column, cuts: Sequence[str], first: int = 0) -> Column:
+    """How many cuts are at or below a text: a binary search as nested conditions."""
+    if not cuts:
+        return F.lit(float(first))
+    middle = len(cuts) // 2
+    below, above = _text_slice(key, cuts[:middle], first), _text_slice(key, cuts[middle + 1 :], first + middle + 1)
+    return F.when(key < cuts[middle], below).otherwise(above)
 
 
 def sliced_by_value(df: DataFrame, key: str, slices: int | None = None) -> DataFrame:
-    """Add the slice of a number, time or text key. The cut points are quantiles: at most `slices` numbers reach the driver."""
+    """Add the slice of a number, time or text key. The cut points are quantiles: a number per slice, or `TEXT_SAMPLE` texts per
+    slice, reach the driver. Rows without a key share the first slice, as Spark sorts them first."""
     n = slices or slice_count(df)
-    as_double = df.withColumn("__key", _as_number(df, key))
+    if isinstance(df.schema[key].dataType, StringType):
+        cut = _text_slice(F.col(key), _text_cuts(df, key, n))
+        return df.withColumn(SLICE, F.when(F.col(key).isNull(), FIRST).otherwise(cut))
+    as_double = df.withColumn("__key", F.col(key).cast("double"))
     cuts = as_double.stat.approxQuantile("__key", [i / n for i in range(1, n)], 0.25 / n)
     inner = sorted(set(cuts))
     if not inner:
-        return df.withColumn(SLICE, F.lit(0.0))
+        return df.withColumn(SLICE, F.when(F.col(key).isNull(), FIRST).otherwise(0.0))
     splits = [float("-inf"), *inner, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="__key", outputCol=SLICE, handleInvalid="keep")
-    return bucketizer.transform(as_double).drop("__key")
+    return bucketizer.transform(as_double).drop("__key").withColumn(SLICE, F.coalesce(SLICE, F.lit(FIRST)))
 
 
 def sliced_by_draw(df: DataFrame, draw: str, slices: int | None = None) -> DataFrame:
@@ -84,7 +102,7 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
 def index_by_key(
     df: DataFrame, key: str, by: Sequence[str] = (), name: str = "idx", slices: int | None = None
 ) -> DataFrame:
-    """0-based position in the order of a unique key, within the group."""
+    """0-based position in the order of a unique key, within the group. Rows without a key come first, in no fixed order."""
     return running_total(sliced_by_value(df, key, slices), by, [key], F.lit(1).cast("bigint"), name)
 
 

@@ -98,7 +98,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "csvsink")
     files.write_csv(table(spark, sf, "documents").select("doc_id", "text", "source"), path, by="source")
-    back = files.read_csv(spark, path, "doc_id bigint, text string, source string")
+    back = files.read_csv(spark, path, "doc_id bigint, text string, source string", multi_line=True)
     return back.groupBy("source").agg(F.count("doc_id").alias("n"), F.sum(F.length("text")).alias("characters"))
 
 

@@ -131,6 +131,8 @@ def _(spark, sf):
         while not counters.ended and waited < 30:  # events arrive on another thread
             time.sleep(0.1)
             waited += 0.1
+        if not counters.ended:
+            raise TimeoutError("the stream's last progress did not arrive")
     finally:
         spark.streams.removeListener(counters)
     totals = (counters.totals["rows"], counters.totals["errors"])

@@ -12,9 +12,15 @@ from pyspark.sql.types import StructType
 Schema = StructType | str
 
 
-def read_csv(spark: SparkSession, path: str, schema: Schema, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with a header; quoted fields may hold newlines and doubled quotes."""
-    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str, schema: Schema, columns: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header and doubled quotes; large files are split among tasks.
+
+    With `multi_line`, quoted fields may hold newlines, and each file is read by one task. Without it such a field breaks its
+    row, and a row with a wrong number of fields or a value of a wrong type ends the query instead of passing as data.
+    """
+    mode = "PERMISSIVE" if multi_line else "FAILFAST"
+    df = spark.read.schema(schema).csv(path, header=True, multiLine=multi_line, escape='"', mode=mode)
+    # The parser skips fields that are not asked for; a broken row must show whichever columns are read.
     return df.select(*columns) if columns else df
 
 
@@ -89,7 +95,9 @@ def file_list(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"*{suffix}").load(path).select(F.col("path").alias("file"))
 
 
-def convert_new_csv(spark: SparkSession, path: str, schema: Schema, target: str, ledger: str, suffix: str = ".csv") -> int:
+def convert_new_csv(
+    spark: SparkSession, path: str, schema: Schema, target: str, ledger: str, suffix: str = ".csv", multi_line: bool = True
+) -> int:
     """Append the rows of CSV files that the ledger does not list to a Parquet table; returns how many files were new.
 
     File names pass through the driver, as they do in any Spark file scan. The ledger row of a file is written after
@@ -100,7 +108,7 @@ def convert_new_csv(spark: SparkSession, path: str, schema: Schema, target: str,
     todo = [row["file"] for row in (found.join(done, "file", "left_anti") if done is not None else found).toLocalIterator()]
     if not todo:
         return 0
-    rows = spark.read.schema(schema).csv(todo, header=True, multiLine=True, escape='"')
+    rows = spark.read.schema(schema).csv(todo, header=True, multiLine=multi_line, escape='"')
     rows.write.mode("append").parquet(target)
     spark.createDataFrame([(f,) for f in todo], "file string").write.mode("append").parquet(ledger)
     return len(todo)
@@ -109,8 +117,10 @@ def convert_new_csv(spark: SparkSession, path: str, schema: Schema, target: str,
 def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.schema("file string").parquet(path)
-    except AnalysisException:  # nothing was converted yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing was converted yet
 
 
 def saved_or_built(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
@@ -121,7 +131,9 @@ def saved_or_built(df: DataFrame, path: str, by: str | None = None) -> DataFrame
     spark, marker = df.sparkSession, f"{path.rstrip('/')}.done"
     try:
         spark.read.parquet(marker)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         writer = df.write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(path)
         spark.createDataFrame([(path,)], "path string").write.mode("overwrite").parquet(marker)

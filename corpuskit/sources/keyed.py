@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from corpuskit.session import cut_lineage
+
 
 def _pick(df: DataFrame, keys: Sequence[str], row: Column) -> DataFrame:
     return df.groupBy(*keys).agg(row.alias("__row")).select(*keys, "__row.*")
@@ -24,14 +26,22 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFram
 def insert_outcomes(batch: DataFrame, store: DataFrame, key: str, order: str) -> DataFrame:
     """What a one-by-one insert would return: 1 inserted, 0 rejected because the key exists, -1 no key.
 
-    Rows of a batch that share a key compete by `order`, and the first one is inserted.
+    Rows of a batch that share a key compete by `order` (null last), and exactly one is inserted: of equal orders the row with the
+    smaller hash, of equal rows any one.
     """
-    winners = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("__first"))
+    numbered = batch.withColumn("__row", F.monotonically_increasing_id()).withColumn("__hash", F.xxhash64(*batch.columns))
+    ranked = cut_lineage(numbered, "batch")  # a row keeps its number on both sides of the join
+    place = F.struct(F.col(order).isNull(), F.col(order), "__hash", "__row")
+    winners = batch_keys(ranked, key).agg(F.min(place)["__row"].alias("__first"))
     free = winners.join(store.select(key), key, "left_anti")
-    joined = batch.join(free, key, "left")
-    won = F.col("__first").eqNullSafe(F.col(order))
+    joined = ranked.join(free, key, "left")
+    won = F.coalesce(F.col("__first") == F.col("__row"), F.lit(False))
     outcome = F.when(F.col(key).isNull(), -1).when(won, 1).otherwise(0)
-    return joined.withColumn("outcome", outcome).drop("__first")
+    return joined.withColumn("outcome", outcome).drop("__first", "__row", "__hash")
+
+
+def batch_keys(batch: DataFrame, key: str) -> GroupedData:
+    return batch.where(F.col(key).isNotNull()).groupBy(key)
 
 
 def new_rows(batch: DataFrame, store: DataFrame, key: str, order: str) -> DataFrame:

@@ -47,3 +47,33 @@ def test_insert_outcomes(spark):
 def test_latest_wins(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, t int, v string")
     assert {tuple(r) for r in keyed.latest_per_key(df, ["k"], F.col("t")).collect()} == {("a", 2, "y"), ("b", 1, "z")}
+
+
+def test_repeated_dimension_key_fails(spark):
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    dim = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    for lookup in (lookups.left_lookup(df, dim, "k", ["v"]), lookups.strict_lookup(df.where("k = 1"), dim, "k", "v")):
+        with pytest.raises(Exception, match="occurs twice"):
+            lookup.collect()
+    nulls = spark.createDataFrame([(1, "a"), (None, "x"), (None, "y")], "k int, v string")
+    assert {(r["k"], r["v"]) for r in lookups.left_lookup(df, nulls, "k", ["v"]).collect()} == {(1, "a"), (None, None)}
+
+
+def test_several_changes_of_a_key(spark):
+    base = spark.createDataFrame([(1, "a", 1)], "k int, v string, w int")
+    changes = spark.createDataFrame([(1, "b", None, 2), (1, None, 7, 1), (1, "c", None, 1), (2, None, None, 1)], "k int, v string, w int, t int")
+    got = {tuple(r) for r in lookups.merged_fields(base, changes, "k", order="t").collect()}
+    assert got == {(1, "b", 7), (2, None, None)}
+
+
+def test_outcomes_of_equal_and_null_orders(spark):
+    batch = spark.createDataFrame([(1, 5), (1, 5), (2, None), (2, None), (3, 1), (None, 1), (4, None), (4, 9)], "k int, n int")
+    store = spark.createDataFrame([(3, None)], "k int, n int")
+    out = keyed.insert_outcomes(batch, store, "k", "n").groupBy("k").agg({"outcome": "sum"}).collect()
+    assert {r[0]: r[1] for r in out} == {1: 1, 2: 1, 3: 0, None: -1, 4: 1}
+
+
+def test_catalogue_with_a_null_entry(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    catalogue = spark.createDataFrame([("a",), (None,)], "c string")
+    assert {r["c"] for r in lookups.each_with(df, catalogue, "c").collect()} == {"a", None}

@@ -112,3 +112,20 @@ def test_weighted_means(spark):
     df = spark.createDataFrame([("a", [1.0, 2.0], 1), ("a", [9.0, 9.0], 0), ("b", [1.0, 1.0], 0)], "g string, v array<float>, m int")
     out = {(r["g"], r["pos"]): r["x"] for r in votes.mean_vectors(df, "g", "v", weight=F.col("m")).collect()}
     assert out == {("a", 0): 1.0, ("a", 1): 2.0, ("b", 0): None, ("b", 1): None}
+
+
+def test_null_and_ragged_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 5.0]), (4, None), (5, [None, 1.0])]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    got = nearest.top_k(df.withColumnRenamed("id", "query"), df, 5).collect()
+    assert {(r["query"], r["id"], r["score"]) for r in got} == {(1, 1, 1.0), (1, 3, 0.0), (3, 3, 25.0), (3, 1, 0.0)}
+    ragged = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, [1.0])], "id bigint, vector array<double>")
+    with pytest.raises(Exception, match="different lengths"):
+        nearest.top_k(ragged.withColumnRenamed("id", "query"), ragged, 1).collect()
+
+
+def test_text_ids(spark):
+    rows = [("b/1", [1.0, 0.0]), ("a/9", [1.0, 0.0]), ("c", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id string, vector array<double>")
+    got = nearest.top_k(df.withColumnRenamed("id", "query"), df, 1, skip_same=True).collect()
+    assert {(r["query"], r["id"]) for r in got} == {("b/1", "a/9"), ("a/9", "b/1"), ("c", "a/9")}

@@ -112,3 +112,25 @@ def test_error_budget(spark):
 def test_call_slots_keep_the_rate(skewed):
     slots = rows.call_slots(skewed, "id", endpoints=3, per_second=4)
     assert slots.groupBy("endpoint", "second").count().where("count > 4").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_rows_without_a_key_come_first(spark, kind):
+    keys = [None, 3, 1, None, 2, *range(10, 26)]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "n int, k bigint").withColumn("k", F.col("k").cast(kind))
+    out = rows.index_by_key(df, "k", slices=4).collect()
+    assert len(out) == len(keys) and sorted(r["idx"] for r in out) == list(range(len(keys)))
+    assert {r["idx"] for r in out if r["k"] is None} == {0, 1}
+    known = sorted((r["k"] for r in out if r["k"] is not None))
+    assert [r["k"] for r in sorted(out, key=lambda r: r["idx"])][2:] == known
+    chunks = rows.chunked(df, "k", 3).groupBy("chunk").count().collect()
+    assert {r["chunk"]: r["count"] for r in chunks} == {i: 3 for i in range(7)}
+    marked = rows.within_error_budget(df, [], "k", F.col("k").isNull(), 1).collect()
+    assert len(marked) == len(keys)
+
+
+def test_one_odd_text_key_does_not_fill_a_slice(spark):
+    urls = [f"https://www.site.org/p/{i:06d}" for i in range(20_000)] + ["http://a.org/", "http://b.org/"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    sizes = [r["count"] for r in rows.sliced_by_value(df, "u", 16).groupBy(rows.SLICE).count().collect()]
+    assert max(sizes) < 2 * len(urls) / 16

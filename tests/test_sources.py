@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from corpuskit.sources import files, sqltable
 
 SCHEMA = "k bigint, code string, text string"
@@ -9,9 +11,9 @@ ROWS = [(1, "0111", 'two\nlines, "quoted"'), (2, "0002", "汉字　blank"), (3,
 def test_csv_keeps_codes_quotes_and_newlines(spark, tmp_path):
     path = str(tmp_path / "csv")
     files.write_csv(spark.createDataFrame(ROWS, SCHEMA), path)
-    back = {tuple(r) for r in files.read_csv(spark, path, SCHEMA).fillna("", ["text"]).collect()}
+    back = {tuple(r) for r in files.read_csv(spark, path, SCHEMA, multi_line=True).fillna("", ["text"]).collect()}
     assert back == set(ROWS)
-    assert files.read_csv(spark, path, SCHEMA, ["code"]).columns == ["code"]
+    assert files.read_csv(spark, path, SCHEMA, ["code"], multi_line=True).columns == ["code"]
 
 
 def test_jsonl_is_utf8_and_keeps_bad_lines_apart(spark, tmp_path):
@@ -69,3 +71,17 @@ def test_unfinished_tables_are_built_again(spark, tmp_path):
     spark.range(2).write.parquet(path)  # left behind by a run that died before its marker
     assert files.saved_or_built(spark.range(5), path).count() == 5
     assert files.saved_or_built(spark.range(9), path).count() == 5, "finished: nothing is built"
+
+
+def test_large_csv_is_split_and_a_quoted_newline_shows(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.range(200_000).selectExpr("id AS k", "repeat('x', 20) AS text", "'y' AS code").coalesce(1).write.csv(path, header=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert files.read_csv(spark, path, "k bigint, text string, code string").rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "q.csv").write_text('k,text,code\n1,"a\nb",c\n', encoding="utf-8")
+    assert files.read_csv(spark, str(tmp_path / "q.csv"), "k bigint, text string, code string", multi_line=True).count() == 1
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path / "q.csv"), "k bigint, text string, code string").collect()
