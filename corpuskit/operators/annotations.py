@@ -131,7 +131,7 @@ def labels_by_class(entities: Column, schema: Sequence[str]) -> Column:
 
 
 def entity_swaps(df: DataFrame, key: str, text: str, entity: str, start: str, label: str, seed: str) -> DataFrame:
-    """Each entity replaced by the next one of its class and length in a seeded order; alone in both, it stays."""
+    """Each entity replaced by the next one of its class and length in a seeded order; alone in both, or without a class, it stays."""
     described = df.withColumn("__len", F.length(entity))
     known = described.select(label, "__len", entity).distinct()
     numbered = rows.index_by_draw(known, seed, entity, by=[label, "__len"], name="__i")
@@ -140,4 +140,5 @@ def entity_swaps(df: DataFrame, key: str, text: str, entity: str, start: str, la
     target = numbered.select(label, "__len", F.col("__i").alias("__next"), F.col(entity).alias("replacement"))
     swaps = successor.join(target, [label, "__len", "__next"]).select(label, entity, "replacement")
     swapped = F.overlay(F.col(text), F.col("replacement"), F.col(start) + 1, F.length(entity))
-    return described.join(swaps, [label, entity]).withColumn(text, swapped).drop("__len")
+    found = described.join(swaps, [label, entity], "left").withColumn("replacement", F.coalesce("replacement", entity))
+    return found.withColumn(text, F.coalesce(swapped, F.col(text))).drop("__len")

@@ -37,30 +37,35 @@ def keyword_records(df: DataFrame, text: str, label: str, template: str, keyword
 def negative_ids(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     """`n` other rows for each row as (key, j, neg): distinct, never the row itself; all others when there are too few.
 
-    The rows get positions in a seeded shuffle, and row p takes the positions that follow p after a random gap. So the
-    candidates come from one equi-join on the position, each position being asked for about `n` times.
+    The rows get positions in a seeded shuffle. The other positions, counted from a row's own, are cut into `n` equal stretches, and each
+    negative is a draw of its own from one stretch: distinct, and independent of what neighbours draw. The candidates come from one
+    equi-join on the position, each position being asked for about `n` times.
     """
     places = rows.index_by_draw(df.select(key), seed, key, name="__p")
     total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
-    gap = 1 + draw_int(f"{seed}-gap", key) % F.greatest(total - n, F.lit(1))
-    step = places.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("__gap", gap + F.col("j"))
+    others = F.greatest(total - 1, F.lit(0))
+    first, end = F.floor(F.col("j") * others / n), F.floor((F.col("j") + 1) * others / n)
+    drawn = first + draw_int(f"{seed}-gap", key, "j") % F.greatest(end - first, F.lit(1))
+    gap = 1 + F.when(others >= n, drawn).otherwise(F.col("j"))
+    step = places.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("__gap", gap)
     wanted = step.where(F.col("__gap") < total).withColumn("__p", (F.col("__p") + F.col("__gap")) % total)
     return wanted.join(places.withColumnRenamed(key, "neg"), "__p").select(key, "j", "neg")
 
 
 def random_negatives(df: DataFrame, key: str, pos: str, n: int, seed: str) -> DataFrame:
-    """(key, j, neg, text): one random positive text of each of `n` other rows."""
+    """(key, j, neg, text): one random positive text of each of `n` other rows; null where that row has none."""
     ids = negative_ids(df, key, n, seed)
     donors = df.select(F.col(key).alias("neg"), F.col(pos).alias("__pos"))
-    pick = draw_int(f"{seed}-pos", key, "j") % F.size("__pos") + 1
-    return ids.join(donors, "neg").select(key, "j", "neg", F.element_at("__pos", pick.cast("int")).alias("text"))
+    pick = draw_int(f"{seed}-pos", key, "j") % F.greatest(F.size("__pos"), F.lit(1)) + 1
+    return ids.join(donors, "neg").select(key, "j", "neg", F.try_element_at("__pos", pick.cast("int")).alias("text"))
 
 
 def class_triples(df: DataFrame, key: str, label: str, n: int, seed: str) -> DataFrame:
     """(key, class, j, other, is_pos): one row of the own class (it may be the row itself), `n` of each other class.
 
-    A class with fewer than `n` rows gives all of them. Members are numbered inside their class and asked for by number.
+    A class with fewer than `n` rows gives all of them; rows without a class are no class. Members are numbered inside their class and asked for by number.
     """
+    df = df.where(F.col(label).isNotNull())
     members = rows.index_by_draw(df.select(key, label), seed, key, by=[label], name="__i")
     sizes = df.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("__n"))
     classes = df.select(F.col(label).alias("class")).distinct()
@@ -68,8 +73,10 @@ def class_triples(df: DataFrame, key: str, label: str, n: int, seed: str) -> Dat
     own = F.col("class") == F.col(label)
     count = F.when(own, F.lit(1)).otherwise(F.least(F.lit(n), F.col("__n"))).cast("int")
     picks = asked.withColumn("j", F.explode(F.sequence(F.lit(0), count - 1)))
-    start = draw_int(f"{seed}-start", key, "class") % F.col("__n")
-    numbered = picks.withColumn("__i", (start + F.col("j")) % F.col("__n")).withColumn("is_pos", own.cast("int"))
+    # As many equal stretches of the class as it gives rows, and a draw of its own from each.
+    first, end = F.floor(F.col("j") * F.col("__n") / count), F.floor((F.col("j") + 1) * F.col("__n") / count)
+    drawn = first + draw_int(f"{seed}-start", key, "class", "j") % (end - first)
+    numbered = picks.withColumn("__i", drawn).withColumn("is_pos", own.cast("int"))
     others = members.select(F.col(label).alias("class"), "__i", F.col(key).alias("other"))
     return numbered.join(others, ["class", "__i"]).select(key, "class", "j", "other", "is_pos")
 
@@ -77,7 +84,7 @@ def class_triples(df: DataFrame, key: str, label: str, n: int, seed: str) -> Dat
 def training_group(key: Column, pos: Column, neg: Column, size: int, seed: str) -> Column:
     """One positive, then `size - 1` negatives; a short list of negatives is repeated as often as needed."""
     wanted = size - 1
-    one = F.element_at(pos, (draw_int(f"{seed}-pos", key) % F.size(pos) + 1).cast("int"))
+    one = F.try_element_at(pos, (draw_int(f"{seed}-pos", key) % F.greatest(F.size(pos), F.lit(1)) + 1).cast("int"))
     times = F.ceil(F.lit(wanted) / F.greatest(F.size(neg), F.lit(1))).cast("int")
     repeated = F.flatten(F.array_repeat(neg, times))
     drawn = F.transform(repeated, lambda t, i: F.struct(draw_hex(seed, key, i).alias("d"), i.alias("i"), t.alias("t")))

@@ -20,6 +20,7 @@ from corpuskit.operators import rows
 
 BLOCK_BYTES = 64 << 20  # of float64 vectors on one side of a cell
 SMALL_BLOCK = 2048  # rows below which cutting further only adds copies
+GROUP_BLOCK = 4096  # rows of a group in one block
 QUERY_STEP, CORPUS_STEP = 256, 16384  # rows multiplied at a time inside a cell
 DIGITS = 9  # scores equal to this many digits tie, whichever block computed them
 
@@ -176,6 +177,32 @@ def knn_graph(vectors: DataFrame, k: int, metric: str = "cosine") -> DataFrame:
     return found.withColumnsRenamed({"query": "src", "id": "dst"})
 
 
+def knn_graph_by(vectors: DataFrame, by: str, k: int, metric: str = "cosine") -> DataFrame:
+    """(by, src, dst, score, rank): the k nearest other rows of the same group.
+
+    A group is one cell while it is small; a larger one is cut into blocks and every pair of its blocks is a cell, so that a hot
+    group is many tasks. Rows without a group or a vector take no part.
+    """
+    kind = _id_type(vectors, "id")
+    known = vectors.where(F.col(by).isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
+    sized = known.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("__n"))
+    slim = known.select(by, F.col("id").cast(kind).alias("id"), F.col("vector").cast("array<double>").alias("v")).join(sized, by)
+    own, other = F.pmod(F.xxhash64("id"), F.col("__n")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("__n") - 1))
+    left = slim.select(F.col(by).alias("__g"), F.col("id").alias("query"), F.col("v").alias("qv"), own.alias("qb"), other.alias("cb"))
+    right = slim.select(F.col(by).alias("__g"), F.col("id").alias("id"), F.col("v").alias("cv"), other.alias("qb"), own.alias("cb"))
+    cells = left.groupBy("__g", "qb", "cb").cogroup(right.groupBy("__g", "qb", "cb"))
+    top = _cell_top(k, metric, skip_same=True)
+
+    def run(key: tuple, one: pa.Table, two: pa.Table) -> pa.Table:
+        found = top(one, two)
+        return found.add_column(0, "group", pa.array([key[0].as_py()] * found.num_rows, key[0].type))
+
+    group_kind = vectors.schema[by].dataType.simpleString()
+    found = cells.applyInArrow(run, f"group {group_kind}, query {kind}, id {kind}, score double")
+    ranked = rows.top_per_key(found, ["group", "query"], "score", "id", k)
+    return ranked.withColumnsRenamed({"group": by, "query": "src", "id": "dst"})
+
+
 def knn_classes(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine") -> DataFrame:
     """(query, predicted): most frequent label of the k nearest rows, the smallest label on ties. `corpus` has a label."""
     found = top_k(queries, corpus.select("id", "vector"), k, metric)

@@ -159,7 +159,8 @@ def _(spark, sf):
 
 NEGATIVES_SQL = f"""(WITH p AS (SELECT doc_id, text, row_number() OVER (ORDER BY md5(concat_ws(':', 'neg', doc_id)), doc_id) - 1 AS p,
       count(*) OVER () AS n FROM documents),
-  g AS (SELECT doc_id, p, n, j, 1 + {DRAW.format(seed='neg-gap', key='doc_id')} % (n - 4) + j AS gap FROM p, range(4) t(j)),
+  g AS (SELECT doc_id, p, n, j, 1 + j * (n - 1) // 4 + {DRAW.format(seed='neg-gap', key='doc_id, j')} %
+      ((j + 1) * (n - 1) // 4 - j * (n - 1) // 4) AS gap FROM p, range(4) t(j)),
   m AS (SELECT g.doc_id, CAST(j AS INTEGER) AS j, q.doc_id AS neg, string_split(q.text, chr(10)) AS pos FROM g JOIN p q ON q.p = (g.p + gap) % g.n)
   SELECT doc_id, j, neg, pos[{DRAW.format(seed='neg-pos', key='doc_id, j')} % len(pos) + 1] AS text FROM m)"""
 
@@ -179,8 +180,8 @@ def _(spark, sf):
     f"""WITH m AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(concat_ws(':', 'cls', doc_id)), doc_id) - 1 AS i FROM documents),
     s AS (SELECT lang AS class, count(*) AS n FROM documents GROUP BY lang),
     a AS (SELECT doc_id, class, n, CAST(j AS INTEGER) AS j, CAST(class = lang AS INTEGER) AS is_pos,
-        ({DRAW.format(seed='cls-start', key='doc_id, class')} % n + j) % n AS i
-      FROM documents, s, range(3) t(j) WHERE j < CASE WHEN class = lang THEN 1 ELSE least(3, n) END)
+        j * n // c + {DRAW.format(seed='cls-start', key='doc_id, class, j')} % ((j + 1) * n // c - j * n // c) AS i
+      FROM (SELECT doc_id, lang, class, n, CASE WHEN class = lang THEN 1 ELSE least(3, n) END AS c FROM documents, s), range(3) t(j) WHERE j < c)
     SELECT a.doc_id, a.class, a.j, m.doc_id AS other, a.is_pos FROM a JOIN m ON m.lang = a.class AND m.i = a.i""",
 )
 def _(spark, sf):

@@ -8,6 +8,7 @@ from corpuskit.functions import prompts
 from corpuskit.functions import text as tx
 from corpuskit.functions import vectors as vec
 from corpuskit.operators import encoders, learning, metrics, nearest, retrieval, rows, votes
+from corpuskit.plans.calls import word_vectors_sql
 from corpuskit.plans.ordered import DRAW
 from corpuskit.plans.registry import query, table
 from corpuskit.plans.scalar import WORDS
@@ -59,11 +60,14 @@ def _(spark, sf):
     return nearest.top_k(_as_queries(vectors), vectors, 10)
 
 
-@query("v3_text_search")
+@query(
+    "v3_text_search",
+    f"""SELECT query, id, score, rank FROM
+    {top_sql(DOT, 3, word_vectors_sql('benchmark', 'item_id', 256), word_vectors_sql('documents', 'doc_id', 256))}""",
+)
 def _(spark, sf):
     def encoded(name, key, alias):
-        vector = encoders.encoded(F.col("text"), lambda: encoders.hashed_counts(256)).alias("vector")
-        return table(spark, sf, name).select(F.col(key).alias(alias), vector)
+        return encoders.word_vectors(table(spark, sf, name), key, tx.words(F.col("text")), 256).withColumnRenamed(key, alias)
 
     return nearest.top_k(encoded("benchmark", "item_id", "query"), encoded("documents", "doc_id", "id"), 3)
 
@@ -89,6 +93,14 @@ def _(spark, sf):
     return nearest.knn_graph(_vectors(spark, sf), 5)
 
 
+@query(
+    "v5_grouped_graph",
+    f"SELECT label, query AS src, id AS dst, score, rank FROM {top_sql(COSINE, 5, on='a.id <> b.id AND a.label = b.label')} WHERE qlabel = label",
+)
+def _(spark, sf):
+    return nearest.knn_graph_by(_vectors(spark, sf), "label", 5)
+
+
 @query("j14_nearest_join", f"SELECT query, id, score FROM {top_sql('-' + DISTANCE, 1, on='a.id <> b.id')}")
 def _(spark, sf):
     vectors = _vectors(spark, sf)
@@ -222,8 +234,7 @@ def _(spark, sf):
 @query("v13_graph_retrieval")
 def _(spark, sf):
     documents, queries = _index(spark, sf)
-    vector = encoders.encoded(F.col("text"), lambda: encoders.hashed_counts(256)).alias("vector")
-    vectors = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), vector)
+    vectors = encoders.word_vectors(table(spark, sf, "documents"), "doc_id", tx.words(F.col("text")), 256).withColumnRenamed("doc_id", "id")
     edges = cut_lineage(nearest.knn_graph(cut_lineage(vectors, "vectors"), 5), "edges")
     return retrieval.graph_retrieval(cut_lineage(queries, "queries"), cut_lineage(documents, "index"), edges, 20)
 

@@ -7,14 +7,12 @@ killed and started again gives every row once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpuskit.sources import keyed
 
@@ -99,27 +97,12 @@ def rate_audit(df: DataFrame, ts: str, width: str = "1 second") -> DataFrame:
     return df.groupBy(F.window(ts, width)).agg(F.count(F.lit(1)).alias("calls")).select(F.col("window.start").alias("start"), "calls")
 
 
-STATE = "turns bigint, characters bigint, last_turn bigint"
-
-
 def conversation_state(stream: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """(conv_id, turns, characters, last_turn) after every batch. The state is three numbers per conversation.
-
-    The rows of a key come in Arrow batches and are folded one batch at a time.
-    """
-
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        turns, characters, last = state.get if state.exists else (0, 0, -1)
-        for batch in batches:
-            turns += len(batch)
-            characters += int(batch["characters"].sum())
-            last = max(last, int(batch["turn"].max()))
-        state.update((turns, characters, last))
-        yield pd.DataFrame({conv: [key[0]], "turns": [turns], "characters": [characters], "last_turn": [last]})
-
-    slim = stream.select(conv, "turn", F.length("text").cast("bigint").alias("characters"))
-    return slim.groupBy(conv).applyInPandasWithState(
-        fold, f"{conv} bigint, {STATE}", STATE, "update", GroupStateTimeout.NoTimeout
+    """(conv_id, turns, characters, last_turn) after every batch: three running aggregates per conversation, kept by Spark."""
+    return stream.groupBy(conv).agg(
+        F.count(F.lit(1)).alias("turns"),
+        F.coalesce(F.sum(F.length("text").cast("bigint")), F.lit(0)).cast("bigint").alias("characters"),
+        F.max("turn").alias("last_turn"),
     )
 
 
