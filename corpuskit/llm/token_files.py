@@ -29,7 +29,8 @@ from corpuskit.llm.frames import partitions, whole
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SEGMENT_TOKENS = 1 << 18
-REMEMBERED = 400_000  # words a worker remembers before it starts anew
+REMEMBERED = 700_000  # words a worker remembers before it starts anew
+MARKS = b".,!?;:"
 LONGEST = 48  # bytes of a word that is remembered
 
 LEVELS = "array<struct<codes:binary,more:binary,ranks:binary>>"
@@ -56,21 +57,60 @@ def _as_bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
+def parts_of(word: bytes) -> tuple[bytes, bytes]:
+    """A word as two that the tokenizer would keep apart anyway: its core, and the marks that end it.
+
+    Marks after a letter or digit start a pre-token of their own. A core of ASCII letters becomes lower-case, as the tokenizer makes it;
+    other cores stay as they are, since composed characters and special tokens depend on case.
+    """
+    core = word.rstrip(MARKS)
+    if not core[-1:].isalnum():
+        return word, b""
+    return core.lower() if core.isalpha() else core, word[len(core) :]
+
+
+@functools.cache
+def _word_ends(path: str) -> np.ndarray:
+    """For each id, whether its token ends a pre-token."""
+    vocab = tokenizer(path).get_vocab()
+    out = np.zeros(max(vocab.values()) + 1, bool)
+    out[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+    return out
+
+
+def _encoded_parts(engine: Tokenizer, path: str, parts: list[bytes]) -> dict[bytes, bytes]:
+    """Ids of each part. Parts of letters alone are one pre-token each: they are encoded in one text and told apart by the ends of
+    pre-tokens. If their number is not that of the parts, and for all other parts, each is a text of its own."""
+    texts = [p.decode("utf-8", "surrogatepass") for p in parts]
+    letters = [i for i, t in enumerate(texts) if t.isalpha()]
+    ids = np.array(engine.encode_batch_fast([" ".join([texts[i] for i in letters])], add_special_tokens=False)[0].ids, "<u4")
+    ends = (np.flatnonzero(_word_ends(path)[ids]) + 1) * 4
+    out = {}
+    if len(ends) == len(letters):
+        raw, at = ids.tobytes(), [0, *ends.tolist()]
+        out = {parts[i]: raw[a:b] for i, a, b in zip(letters, at, at[1:], strict=False)}
+    alone = [i for i, p in enumerate(parts) if p not in out]
+    coded = engine.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
+    return out | {parts[i]: _as_bytes(e.ids) for i, e in zip(alone, coded, strict=True)}
+
+
 def encode_all(texts: list[str], path: str, end_id: int) -> list[bytes]:
     """Ids of each text as little-endian numbers of four bytes. The tokenizer drops white space and never joins what it separates,
-    so words that ASCII blanks separate are encoded by themselves."""
+    so words that ASCII blanks separate are encoded by themselves, and of each word its parts."""
     engine, known = tokenizer(path), _memory(path)
     if len(known) > REMEMBERED:
         known.clear()
     split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-    new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in known]
-    coded = engine.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-    known.update((w, _as_bytes(e.ids)) for w, e in zip(new, coded, strict=True))
+    words = [w for w in set().union(*split) if w not in known]
+    parts = [parts_of(w) for w in words]
+    new = [p for p in {p for pair in parts for p in pair} if p not in known]
+    known.update(_encoded_parts(engine, path, new))
+    known.update((w, known[core] + known[marks]) for w, (core, marks) in zip(words, parts, strict=True))
     end = _as_bytes([end_id])
-    out = [b"".join(map(known.__getitem__, words)) + end for words in split]
-    for w in new:
+    out = [b"".join(map(known.__getitem__, own)) + end for own in split]
+    for w in (*words, *new):
         if len(w) > LONGEST:
-            del known[w]
+            known.pop(w, None)
     return out
 
 
