@@ -71,7 +71,7 @@ def _parents(nodes: DataFrame, key: Column) -> DataFrame:
 def tree(both: DataFrame) -> list[DataFrame]:
     """Levels from leaves to roots, of all replicas. `both` has replica, key (bigint), start, end, digest.
 
-    Keys are whole numbers; children of a node are neighbours, so that each level has about an eighth of the nodes of the last.
+    Keys are whole numbers from zero on; children of a node are neighbours, so that each level has about an eighth of the nodes of the last.
     """
     levels = [cut_lineage(both, "leaves")]
     while True:
@@ -96,9 +96,10 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     slots = both.select("file", "page_id", "nth").distinct()
     within = Window.partitionBy("file").orderBy("page_id", "nth")
     numbered = slots.withColumn("slot", F.row_number().over(within) - 1)
-    most = numbered.agg(F.max("slot")).first()[0] or 0
-    width = max(1, int(most).bit_length())
-    keyed = numbered.withColumn("key", F.shiftleft(F.col("file"), width) + F.col("slot"))
+    most, least = numbered.agg(F.max("slot"), F.min("file")).first()
+    width = max(1, int(most or 0).bit_length())
+    # Keys count from zero: halving them then ends in one root for files below zero too.
+    keyed = numbered.withColumn("key", F.shiftleft(F.col("file") - F.lit(least or 0), width) + F.col("slot"))
     same = ["file", "page_id", "nth"]
     match = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in same]
     placed = both.alias("l").join(keyed.alias("r"), match).select("l.*", "r.key")
