@@ -521,7 +521,8 @@ def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[Data
     rows = df.withColumn("row", F.monotonically_increasing_id())
     texts = df.select(F.monotonically_increasing_id().alias("row"), whole(df, text).alias("text"))
     found = cut_lineage(texts.mapInArrow(_find_anchors, ANCHORS), "anchors")
-    cores = found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    # Written before it is joined: a join of two plain shuffles is one whose large partitions Spark can split.
+    cores = cut_lineage(found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores")
     kept = cut_lineage(found.join(cores, "core", "left_semi"), "kept")
     held = cut_lineage(_with_texts(texts.select("row", _squeezed("text").alias("text")), kept), "held")
     done = cut_lineage(_passed(held, kept.count(), reach), "found")
