@@ -24,3 +24,13 @@ def beside(df: DataFrame, fields: Column, names: list[str]) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which grows with the cluster and the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send Python at most `rows` rows at a time, for tables of whole texts, whose batches would else be as large as their texts are long.
+
+    A session that asks for fewer keeps its number.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
