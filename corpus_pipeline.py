@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.llm import bpe, decontamination, language, pii, simhash
+from corpuskit.llm.frames import bounded_batches
 from corpuskit.session import cut_lineage
 
 #: Near copies in the pipeline: five-word shingles and up to this many differing bits of a fingerprint.
@@ -18,6 +19,7 @@ SHINGLE, BITS = 5, 3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence; the source stands for the host."""
+    bounded_batches(spark)
     model = language.fit(docs, "text", "lang")
     weighed = language.evidence(docs, model, "text", F.col("lang"), F.col("source"), F.lit(""))
     named = language.fused(weighed, weighed, model.languages)
@@ -26,23 +28,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each component."""
+    bounded_batches(spark)
     return simhash.one_of_each(docs, shingle=SHINGLE, bits=BITS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word of a benchmark window."""
+    bounded_batches(spark)
     hits = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return hits.filter("n_hit = 0").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every span replaced by its kind; n_chars is counted again."""
+    bounded_batches(spark)
     masked = pii.masked(docs)
     return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of what they decode to."""
+    bounded_batches(spark)
     coded = bpe.encoded(docs.select("doc_id", "text", "lang", "source"))
     return coded.select(
         "doc_id",
