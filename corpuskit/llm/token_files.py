@@ -29,7 +29,7 @@ from corpuskit.llm.frames import partitions, whole
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SEGMENT_TOKENS = 1 << 18
-REMEMBERED = 700_000  # words a worker remembers before it starts anew
+REMEMBERED = 1_000_000  # words a worker remembers before it starts anew
 MARKS = b".,!?;:"
 LONGEST = 48  # bytes of a word that is remembered
 
