@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe, decontamination, language, pii, simhash
+from corpuskit.llm import bpe, decontamination, language, near_copies, pii
 from corpuskit.llm.frames import bounded_batches
 from corpuskit.session import cut_lineage
 
-#: Near copies in the pipeline: five-word shingles and up to this many differing bits of a fingerprint.
+#: Near copies in the pipeline: sets of five-word shingles with a similarity of 0.8 or more, or up to this many differing bits of a fingerprint.
 SHINGLE, BITS = 5, 3
 
 
@@ -29,7 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each component."""
     bounded_batches(spark)
-    return simhash.one_of_each(docs, shingle=SHINGLE, bits=BITS)
+    return near_copies.one_of_each(docs, shingle=SHINGLE, bits=BITS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

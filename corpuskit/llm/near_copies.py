@@ -1,0 +1,146 @@
+"""Near copies by the exact Jaccard similarity of their sets of word shingles, 4/5 or more, next to the links of SimHash.
+
+Two sets with a similarity of 4/5 share a shingle among the first fifth (and one) of either, in any order of all shingles that both
+follow (prefix filter). So those are the keys of a set, and no pair is missed. The order is by hash, but shingles that are frequent in a
+sample of the texts come last, so that common lines seldom become keys; the sample decides what is compared, never what is linked.
+
+Only different sets are compared. All members of a key are first compared with two of them, which joins most large groups with
+a number of comparisons that grows with the group and not with its square; then members of a key that stand in different components
+are compared with each other. Every pair of a key is so compared or already in one component. Texts without words have no shingles.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from corpuskit.llm import simhash
+from corpuskit.llm.components import roots
+from corpuskit.llm.frames import whole
+from corpuskit.session import cut_lineage
+
+SAMPLE = 20_000  # texts in which frequent shingles are looked for
+OFTEN, MOST_FREQUENT = 3, 200_000
+FEW = 500_000  # ids up to which a list of them is broadcast
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    return np.unique(np.array(simhash._hashes(text, shingle), np.uint64))
+
+
+def keys_of(unique: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first fifth and one more of a sorted set; `frequent` is sorted, and `counts` tells how often each was seen."""
+    n = len(unique) // 5 + 1
+    if not len(frequent):
+        return unique[:n]
+    at = np.minimum(np.searchsorted(frequent, unique), len(frequent) - 1)
+    rank = np.where(frequent[at] == unique, counts[at], 0)
+    return unique[np.lexsort((unique, rank))[:n]]
+
+
+def _sets(texts: Column, shingle: int) -> Column:
+    @F.arrow_udf(returnType="array<bigint>")
+    def compute(values: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, shingle).view(np.int64) for t in values.to_pylist()], pa.list_(pa.int64()))
+
+    return compute(texts)
+
+
+def frequent_shingles(df: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    every = max(1, df.count() // SAMPLE)
+    body = whole(df, text)
+    some = df.filter(F.pmod(F.xxhash64(body), F.lit(every)) == 0).select(body.alias("text")).distinct()
+    each = some.select(F.explode(_sets(F.col("text"), shingle)).alias("s"))
+    counted = each.groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
+    rows = counted.orderBy(F.desc("n"), "s").limit(MOST_FREQUENT).toArrow()
+    found, counts = rows["s"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    order = np.argsort(found)
+    return found[order], counts[order]
+
+
+def marked(df: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(doc_id, hash, f, node, n, keys): hash of the text, fingerprint, digest of the set of shingles, its size, its keys."""
+    frequent, counts = frequent_shingles(df, text, shingle)
+
+    @F.arrow_udf(returnType="struct<f bigint, node bigint, n int, keys array<bigint>>")
+    def compute(values: pa.Array) -> pa.Array:
+        prints, nodes, sizes, keys = [], [], [], []
+        for value in values.to_pylist():
+            hashes = simhash._hashes(value, shingle)
+            unique = np.unique(np.array(hashes, np.uint64))
+            prints.append(simhash.majority(hashes))
+            nodes.append(int(np.uint64(xxhash.xxh64_intdigest(unique.tobytes(), simhash.SEED)).view(np.int64)))
+            sizes.append(len(unique))
+            keys.append(keys_of(unique, frequent, counts).view(np.int64) if hashes else [])
+        parts = [pa.array(prints, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(parts, ["f", "node", "n", "keys"])
+
+    out = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("hash"), compute(whole(df, text)).alias("m"))
+    return out.select("doc_id", "hash", "m.*")
+
+
+def _few(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets have a similarity of 4/5 or more."""
+    left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("s")), sets.select(F.col("node").alias("b"), F.col("set").alias("t"))
+    both = pairs.join(left, "a").join(right, "b")
+    common = F.size(F.array_intersect("s", "t"))
+    return both.filter(common * 9 >= (F.size("s") + F.size("t")) * 4).select("a", "b")  # c / (s + t - c) >= 4 / 5
+
+
+def _alike(n: str, m: str) -> Column:
+    """Sizes that leave a similarity of 4/5 possible."""
+    return (F.col(n) * 5 >= F.col(m) * 4) & (F.col(m) * 5 >= F.col(n) * 4)
+
+
+def similar_edges(df: DataFrame, prints: DataFrame, text: str, shingle: int) -> DataFrame:
+    """Edges (a, b) between digests of sets: enough of the pairs with a similarity of 4/5 or more to connect them all."""
+    nodes = prints.filter("n > 0").groupBy("node").agg(F.min(F.struct("hash", "n", "keys")).alias("m")).select("node", "m.*")
+    held = cut_lineage(nodes.select("node", "hash", "n", F.explode("keys").alias("key")), "keys")
+    shared = held.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    members = cut_lineage(held.join(shared, "key"), "members")
+    # The sets themselves, read again from one text of each node that shares a key.
+    wanted = cut_lineage(members.select("hash").distinct(), "wanted")
+    texts = df.select(whole(df, text).alias("text"), F.xxhash64(F.col(text)).alias("hash")).join(_few(wanted), "hash", "left_semi")
+    of = members.select("hash", "node").distinct()
+    sets = cut_lineage(texts.dropDuplicates(["hash"]).select("hash", _sets(F.col("text"), shingle).alias("set")).join(of, "hash").select("node", "set"), "sets")
+
+    chance = F.struct(F.xxhash64("node", F.lit(simhash.SEED)).alias("h"), "node", "n")
+    ends = members.groupBy("key").agg(F.min(chance).alias("first"), F.max(chance).alias("last"))
+    met = members.join(ends, "key").select("node", "n", F.explode(F.array("first", "last")).alias("end"))
+    met = met.select("node", "n", F.col("end.node").alias("other"), F.col("end.n").alias("m")).filter((F.col("node") != F.col("other")) & _alike("n", "m"))
+    pairs = cut_lineage(met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct(), "pairs")
+    edges = cut_lineage(_similar(pairs, sets), "edges")
+    # With three members or fewer all have met.
+    more = members.filter("members > 3").join(roots(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = cut_lineage(more.select("key", "node", "n", "root"), "rooted")
+    apart = more.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
+    left = more.join(apart, "key", "left_semi")
+    right = left.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("to"))
+    across = left.join(right, ["key"]).filter((F.col("node") > F.col("other")) & (F.col("root") != F.col("to")) & _alike("n", "m"))
+    rest = cut_lineage(across.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    return edges.unionByName(_similar(rest, sets))
+
+
+def print_edges(prints: DataFrame, bits: int) -> DataFrame:
+    """Edges (a, b) between digests of sets whose texts have fingerprints with at most `bits` differing bits."""
+    both = prints.select("f", "node").distinct()
+    lead = cut_lineage(both.groupBy("f").agg(F.min("node").alias("lead")), "leads")
+    same = both.join(lead, "f").filter("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    close = simhash.close_pairs(lead.select("f"), bits)
+    of_a, of_b = lead.select(F.col("f").alias("a"), F.col("lead").alias("x")), lead.select(F.col("f").alias("b"), F.col("lead").alias("y"))
+    return same.unionByName(close.join(of_a, "a").join(of_b, "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, bits: int = 3) -> DataFrame:
+    """The rows of `df` with one row per component, chosen as in `simhash.one_of_each`."""
+    prints = cut_lineage(marked(df, doc_id, text, shingle), "prints")
+    tree = roots(print_edges(prints, bits).unionByName(similar_edges(df, prints, text, shingle)))
+    rooted = prints.select("doc_id", "hash", "node").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return simhash.first_rows(df, rooted, doc_id, text)

@@ -162,10 +162,15 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     distinct = cut_lineage(prints.select("f").distinct(), "fingerprints")
     tree = roots(close_pairs(distinct, bits))
     rooted = prints.join(tree, prints.f == tree.node, "left").withColumn("root", F.coalesce("root", "f"))
+    return first_rows(df, rooted, doc_id, text)
+
+
+def first_rows(df: DataFrame, rooted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The row of `df` that comes first in each component of `rooted` (doc_id, hash, root)."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
     first = rooted.groupBy("root").agg(F.min(order).alias("first"))
     chosen = first.select(F.struct("first.doc_id", "first.hash").alias("__key"))
-    rows = prints.groupBy("doc_id", "hash").agg(F.count("*").alias("n")).select(F.struct("doc_id", "hash").alias("__key"), "n")
+    rows = rooted.groupBy("doc_id", "hash").agg(F.count("*").alias("n")).select(F.struct("doc_id", "hash").alias("__key"), "n")
     chosen = cut_lineage(chosen.join(rows, "__key"), "chosen")
     keyed = df.withColumn("__key", F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("hash")))
     single = keyed.join(chosen.filter("n = 1"), "__key", "left_semi").drop("__key")

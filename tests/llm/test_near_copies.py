@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from corpuskit.llm import near_copies, simhash
+from tests.llm import cases
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def shingles(text, k=5):
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) or (frozenset([tuple(words)]) if words else frozenset())
+
+
+def brute_kept(rows):
+    """Smallest ids of the components of texts with a similarity of 0.8 or three differing bits."""
+    least, sets = {}, [(i, shingles(t), simhash.majority(simhash._hashes(t, 5))) for i, t in rows]
+    for i, s, f in sets:
+        least[i] = i
+    for x, (i, s, f) in enumerate(sets):
+        for j, t, g in sets[:x]:
+            common = len(s & t)
+            if s == t or 9 * common >= 4 * (len(s) + len(t)) or ((f ^ g) & (2**64 - 1)).bit_count() <= 3:
+                low, high = sorted((least[i], least[j]))
+                least = {n: low if v == high else v for n, v in least.items()}
+    return sorted(set(least.values()))
+
+
+def texts_with_copies():
+    rng, rows = random.Random(5), []
+    word = lambda: f"w{rng.randrange(5000)}"
+    common = [word() for _ in range(90)]
+    for group in range(25):
+        base = [word() for _ in range(100)] + (common if group % 2 else [])
+        for copy in range(1 + group % 8):
+            words = list(base)
+            for _ in range(rng.randrange(5)):
+                words[rng.randrange(len(words))] = word()
+            rows.append(" ".join(words))
+    rng.shuffle(rows)
+    return [*enumerate(rows), (900, "short text"), (901, "Short  text"), (902, "")]
+
+
+def test_stage_finds_all_copies_by_brute_force(spark, sf_dir):
+    rows = texts_with_copies()
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    want = brute_kept(rows)
+    assert kept.columns == COLUMNS and sorted(r["doc_id"] for r in kept.collect()) == want
+    assert len(want) < simhash.one_of_each(docs).count()
+
+
+def test_given_documents_by_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(r["doc_id"] for r in near_copies.one_of_each(docs).collect()) == brute_kept(rows)
+
+
+def test_large_group_and_odd_rows(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        words[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r["doc_id"] for r in near_copies.one_of_each(df).collect()] == [0]
+    assert near_copies.one_of_each(cases.empty(spark)).count() == 0
+
+
+def test_similar_sets_share_a_key_in_any_order():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 4, 5, 9, 40, 200):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            b = np.unique(np.append(a[rng.permutation(len(a))[: len(a) - len(a) // 9]], rng.integers(0, 2**63, n // 10).astype(np.uint64)))
+            common = len(np.intersect1d(a, b))
+            if common * 9 >= (len(a) + len(b)) * 4:
+                frequent = np.unique(a[rng.random(len(a)) < 0.6])
+                counts = rng.integers(3, 9, len(frequent))
+                assert set(near_copies.keys_of(a, frequent, counts)) & set(near_copies.keys_of(b, frequent, counts))
