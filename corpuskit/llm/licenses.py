@@ -72,7 +72,10 @@ SPELLINGS = [
     ("merchantibility", "merchantability"),
     ("https", "http"),
 ]
-COPYRIGHT_LINE = r"(?im)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# A notice holds a year, a mark or the place of one; a wrapped line of a licence that begins with "copyright notice" or "(c)" is none.
+COPYRIGHT_LINE = (
+    r"(?im)^[ \t]*(copyright[ \t]*(\(c\)|©|\[|<)[^\n]*|(copyright[^a-z\n]|\(c\))[^\n]*(19|20)[0-9][0-9][^\n]*|©[^\n]*|all rights reserved[ \t\r.]*)$"
+)
 # A notice is looked for on lines that hold this, as every notice above does.
 CUE = "(?i)licen[cs]e"
 

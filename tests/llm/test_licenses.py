@@ -41,3 +41,22 @@ def test_every_notice_holds_the_cue():
 def test_no_python_on_executors(spark):
     plan = licenses.scan(cases.frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_wrapped_texts_have_one_digest(spark):
+    import textwrap
+
+    texts = dict(reversed(licenses.TEXTS))
+    for name in ("ISC", "MIT"):
+        plain = texts[name]
+        notice = "Copyright (c) 2020, Someone <a@b.org>\nCopyright 2021 Another\n© Third\n(c) 2019 Fourth\nAll rights reserved.\n\n"
+        wraps = [textwrap.fill(plain, width) for width in range(30, 100)] + [plain.replace(" ", "\n")]
+        assert any(line.lower().startswith("copyright ") for w in wraps for line in w.split("\n"))
+        got = scanned(spark, [plain, *wraps, *[notice + w for w in wraps]])
+        assert {r["license"] for r in got.values()} == {name} and len({r["text_digest"] for r in got.values()}) == 1
+
+
+def test_other_lines_of_copyright_stay(spark):
+    lines = ["(c) You must retain, in the Source form", "copyright notice that is included", "Copyright [yyyy] [name]", "Copyright (C) <year>  <name>"]
+    got = scanned(spark, ["", *lines])
+    assert [got[i]["text_digest"] == got[0]["text_digest"] for i in range(1, 5)] == [False, False, True, True]
