@@ -60,3 +60,52 @@ def test_other_lines_of_copyright_stay(spark):
     lines = ["(c) You must retain, in the Source form", "copyright notice that is included", "Copyright [yyyy] [name]", "Copyright (C) <year>  <name>"]
     got = scanned(spark, ["", *lines])
     assert [got[i]["text_digest"] == got[0]["text_digest"] for i in range(1, 5)] == [False, False, True, True]
+
+
+def test_published_texts(spark):
+    import os
+
+    import pytest
+
+    folder = "/usr/share/common-licenses"
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all(os.path.exists(f"{folder}/{f}") for f in names):
+        pytest.skip("the published texts are not here")
+    texts = [open(f"{folder}/{f}", encoding="utf-8").read() for f in names]
+    filled = texts[0].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Someone")
+    cut = texts[0][: texts[0].index("APPENDIX")]
+    # Wrapped anew and indented, but with the lines that begin a notice or a point left where they are.
+    turned = [t.replace("\n", "\n   ").replace(", ", ",  ") for t in texts]
+    got = scanned(spark, [*texts, *turned, filled, cut, texts[0] + "and more"])
+    want = [*names.values(), *names.values(), "Apache-2.0", "Apache-2.0", None]
+    assert [got[i]["license"] for i in range(len(want))] == want
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{1} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{2}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING
+IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+THIRD = """{0} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_bsd_texts(spark):
+    notice = "Copyright (c) 2020, Someone\nAll rights reserved.\n\n"
+    two = [BSD.format("1.", "2.", ""), BSD.format("*", "*", "")]
+    three = [BSD.format("1.", "2.", THIRD.format("3.")), BSD.format("*", "*", THIRD.format("*"))]
+    titled = [f"BSD {n}-Clause License\n\n{notice}{t}" for n, ts in ((2, two), (3, three)) for t in ts]
+    got = scanned(spark, [*two, *three, *[notice + t for t in two + three], *titled])
+    assert [got[i]["license"] for i in range(12)] == ["BSD-2-Clause", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause"] * 3
