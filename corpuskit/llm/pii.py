@@ -41,7 +41,16 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+# What follows these four by its length, up to the end of a group.
+_IBAN_REST = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])") for n in range(11, 31)}
+# Lengths of whole numbers by the registry; for other countries all lengths are tried, the longest first.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_REST_OF = {country: n - 4 for n, countries in _IBAN_LENGTHS.items() for country in countries.split()}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGIT = re.compile("[0-9]")
 _MARKS = str.maketrans("", "", " -().+")
@@ -80,6 +89,22 @@ def _emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """From each start, the number of the length of its country, whatever follows it after a blank."""
+    found, free = [], 0
+    for m in _IBAN.finditer(text):
+        if m.start() < free:
+            continue
+        n = _REST_OF.get(m[0][:2])
+        for size in (n,) if n else range(30, 10, -1):
+            rest = _IBAN_REST[size].match(text, m.end())
+            if rest and mod_97((m[0] + rest[0]).replace(" ", "")):
+                free = rest.end()
+                found.append((m.start(), free))
+                break
+    return found
+
+
 def _digits(text: str, start: int, end: int) -> str:
     return text[start:end].translate(_MARKS)
 
@@ -93,7 +118,7 @@ def propose(text: str) -> list[tuple[str, int, int]]:
     found += [("card", *m.span()) for m in _CARD.finditer(text) if 13 <= len(d := _digits(text, *m.span())) <= 19 and luhn(d)]
     if "+" in text:
         found += [("phone", *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_digits(text, *m.span())) <= 15]
-    found += [("iban", *m.span()) for m in _IBAN.finditer(text) if mod_97(m[0].replace(" ", ""))]
+    found += [("iban", *span) for span in _ibans(text)]
     found += [("ssn", *m.span()) for m in _SSN.finditer(text)]
     return found
 

@@ -76,3 +76,23 @@ def test_masks(spark):
     assert pii.mask("é 4111 1111 1111 1111") == "é [CARD]" and pii.mask("") == ""
     masked = pii.masked(cases.frame(spark)).filter(F.col("text").isNull()).count()
     assert masked == 1
+
+
+IBANS = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"]
+FOLLOWERS = ["", ".", " BIC COBADEFFXXX", " A", " 2024", " 1 2 3", " COBADEFFXXX", " and", "\n7", " DE89 3704 0044 0532 0130 00"]
+
+
+@pytest.mark.parametrize("iban", IBANS)
+def test_iban_before_capitals_and_digits(iban):
+    for follower in FOLLOWERS:
+        text = f"x {iban}{follower}"
+        got = [s[1:] for s in pii.propose(text) if s[0] == "iban"]
+        assert got[0] == (2, 2 + len(iban)) and len(got) == 1 + follower.startswith(" DE89"), text
+        assert iban not in pii.mask(text) and "[IBAN]" in pii.mask(text)
+    for follower in ("A", "1", "x"):
+        assert not [s for s in pii.propose(f"{iban}{follower}") if s[0] == "iban"]
+
+
+def test_iban_of_no_listed_country():
+    body = next(f"ZZ{c:02}12345678901234" for c in range(2, 99) if pii.mod_97(f"ZZ{c:02}12345678901234"))
+    assert ("iban", 0, len(body)) in pii.propose(body) and ("iban", 0, len(body)) in pii.propose(f"{body} BIC XX")
