@@ -1,7 +1,11 @@
-"""A corpus pipeline: language, near copies, benchmark passages, personal data, tokens.
+"""A corpus pipeline: language, near copies by SimHash, benchmark passages, personal data, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last return the columns of
 `documents`. `run` writes each stage's rows as Parquet below the shared folder and reads them again as the next one's input.
+
+Null and empty texts have no letters, so the language stage drops them; the other stages take them as the empty text. Rows without an
+id take part in every stage. Rows that agree in id and text are one row after the near copies. Empty tables give empty tables.
+The stages read only the columns of `documents`; names of further columns cannot clash with theirs.
 """
 
 from __future__ import annotations
@@ -9,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe, decontamination, language, near_copies, pii
+from corpuskit.llm import bpe, decontamination, language, pii, simhash
 from corpuskit.llm.frames import bounded_batches
 from corpuskit.session import cut_lineage
 
-#: Near copies in the pipeline: sets of five-word shingles with a similarity of 0.8 or more, or up to this many differing bits of a fingerprint.
-SHINGLE, BITS = 5, 3
+#: Near copies: words of a shingle, and bits in which two linked fingerprints may differ.
+SHINGLE, BITS = 3, 2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each component."""
     bounded_batches(spark)
-    return near_copies.one_of_each(docs, shingle=SHINGLE, bits=BITS)
+    return simhash.one_of_each(docs, shingle=SHINGLE, bits=BITS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
