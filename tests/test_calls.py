@@ -57,7 +57,7 @@ def test_cached_calls_ask_once(spark, tmp_path):
     assert _lines(log) == ["alpha road", "bad street", "bad street"]
     got = {r["id"]: (r["result"], r["status"]) for r in out.collect()}
     assert got[1] == got[2] == ("ALPHA ROAD", "ok") and got[5] == (None, "failed")
-    assert got[3] == got[4] == got[6] == (None, None)
+    assert got[3] == got[4] == (None, "too_short") and got[6] == (None, "over_quota")
     assert _lines(log) == ["alpha road", "bad street", "bad street"], "reading the answers calls nothing"
     again = calls.cached_calls(df, "t", cache, _log(str(log)), quota=2, policy=policy)
     assert {r["id"]: r["result"] for r in again.collect()}[6] == "ZETA ROAD"
