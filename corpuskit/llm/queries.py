@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe, decontamination, language, licenses, pii, simhash, suffixes, token_files, topk, warc
+from corpuskit.llm import bpe, decontamination, language, licenses, manifest, pii, simhash, suffixes, token_files, topk, warc
 from corpuskit.llm.registry import query
-from corpuskit.llm.sql import OP6, OP7, OP8, OP9
-from corpuskit.session import scratch_path
+from corpuskit.llm.sql import OP6, OP7, OP8, OP9, OP11
+from corpuskit.session import cut_lineage, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,3 +138,28 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     rows = topk.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(rows.filter("id % 20 = 0"), rows)
+
+
+#: What a row's leaf covers, in this order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def tampered(text, doc_id):
+    """Every second document (by a checksum of its id) loses its line breaks."""
+    return F.when(F.crc32(doc_id.cast("string")) % 2 == 0, F.replace(text, F.lit("\n"), F.lit("")))
+
+
+def leaves_of(docs: DataFrame) -> DataFrame:
+    """Leaves of documents; every second row with an id, by a checksum of it, is tampered with: its text loses the line breaks."""
+    columns = [F.col(c) for c in LEAF]
+    odd = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    bent = F.when(odd, manifest.leaf(*columns[:-1], F.replace("text", F.lit("\n"), F.lit(""))))
+    made = docs.select(F.col("source").alias("grp"), F.col("doc_id").alias("key"), manifest.leaf(*columns).alias("digest"), bent.alias("bent"))
+    return cut_lineage(made, "leaves")
+
+
+@query("op11_merkle_manifest", OP11)
+def op11(spark, sf_dir):
+    out = manifest.folded(leaves_of(table(spark, sf_dir, "documents").select(*LEAF)))
+    verified = F.col("folded_root") == F.col("root")
+    return out.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", verified.alias("verified"))

@@ -65,3 +65,47 @@ m AS (SELECT *, sum(octet_length(rec)) OVER (PARTITION BY file ORDER BY page_id)
 SELECT page_id, file::BIGINT AS file, (stop - octet_length(rec))::BIGINT AS start, stop::BIGINT AS "end",
   CASE WHEN gone THEN 'missing' ELSE 'changed' END AS status, sha256(rec) AS digest_a, CASE WHEN NOT gone THEN sha256(bad) END AS digest_b
 FROM m WHERE gone OR rec != bad"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+#: The checksum bit by bit, before its last inversion.
+_CRC32 = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))"""
+
+
+def _climbed(name: str, leaves: str) -> str:
+    """A tree over leaves (g, i, n, d), the siblings (l, r) of each node, both by level."""
+    run = "PARTITION BY lv, g, i // 3 ORDER BY i ROWS BETWEEN"
+    return f"""{name} AS (SELECT 0 AS lv, g, i, n, d FROM {leaves}
+  UNION ALL SELECT lv + 1, g, i // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY lv, g, i // 3, n),
+{name}_way AS (SELECT lv, g, i, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name} WHERE n > 1)"""
+
+
+def _folded(name: str, leaves: str, tree: str) -> str:
+    """Leaves (row, g, i, n, cur, proof) folded up to the top of their tree."""
+    return f"""{name} AS (SELECT row, 0 AS lv, g, i, n, cur, proof FROM {leaves}
+  UNION ALL SELECT f.row, f.lv + 1, f.g, f.i // 3, (f.n + 2) // 3, sha256(w.l || f.cur || w.r), f.proof || w.l || w.r
+  FROM {name} f JOIN {tree}_way w ON w.lv = f.lv AND w.i = f.i AND w.g IS NOT DISTINCT FROM f.g WHERE f.n > 1)"""
+
+
+OP11 = f"""WITH RECURSIVE docs AS (SELECT row_number() OVER () AS row, doc_id, source AS g, {_leaf("text")} AS d,
+  CASE WHEN {_CRC32} % 2 = 1 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS bent FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM docs),
+{_climbed("low", "leaves")},
+subs AS (SELECT '' AS g, g AS source, d, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+{_climbed("high", "subs")},
+low_start AS (SELECT row, g, i, n, bent AS cur, '' AS proof FROM leaves),
+{_folded("low_fold", "low_start", "low")},
+high_start AS (SELECT f.row, s.g, s.i, s.n, f.cur, f.proof FROM low_fold f JOIN subs s ON s.source IS NOT DISTINCT FROM f.g WHERE f.n = 1),
+{_folded("high_fold", "high_start", "high")}
+SELECT doc_id, leaves.d AS leaf, s.d AS subroot, top.d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = top.d AS verified
+FROM leaves JOIN (SELECT * FROM high_fold WHERE n = 1) h USING (row) JOIN subs s ON s.source IS NOT DISTINCT FROM leaves.g
+JOIN high top ON top.n = 1"""
