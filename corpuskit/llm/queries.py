@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe, decontamination, language, licenses, manifest, pii, simhash, suffixes, token_files, topk, warc
+from corpuskit.llm import audit, bpe, decontamination, language, licenses, manifest, pii, simhash, suffixes, token_files, topk, warc
 from corpuskit.llm.registry import query
-from corpuskit.llm.sql import OP6, OP7, OP8, OP9, OP11
+from corpuskit.llm.sql import OP6, OP7, OP8, OP9, OP11, OP12
 from corpuskit.session import cut_lineage, scratch_path
 
 
@@ -163,3 +163,24 @@ def op11(spark, sf_dir):
     out = manifest.folded(leaves_of(table(spark, sf_dir, "documents").select(*LEAF)))
     verified = F.col("folded_root") == F.col("root")
     return out.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", verified.alias("verified"))
+
+
+#: Failing conditions of the audited filters over a whole text and its words; E, later copies, needs the other rows.
+TEXT_TESTS = {
+    "A": lambda text, words: F.size(words) < 50,
+    "B": lambda text, words: F.size(F.array_distinct(words)) * 100 < F.size(words) * 65,
+    "C": lambda text, words: F.char_length(F.regexp_replace(text, "[^A-Z]+", "")) * 100 > F.char_length(text) * 5,
+    "D": lambda text, words: text.rlike("[#$%&*|]"),
+}
+
+
+@query("op12_filter_audit", OP12)
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("words", audit.words(F.col("text")))
+    tests = {name: test(F.col("text"), F.col("words")) for name, test in TEXT_TESTS.items()}
+    rows = audit.identified(docs, "doc_id", "source", tests, F.col("text"))
+    tables = audit.failing_tables(rows, list(tests), copies="E")
+    given = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("key"), "quality", "toxic")
+    labels = {"good": given.filter("quality = 1"), "toxic": given.filter("toxic = 1")}
+    return audit.steps(audit.interactions(rows, tables, labels), "ABCDE", {"good": "good_lost", "toxic": "toxic_lost"})

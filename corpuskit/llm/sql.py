@@ -109,3 +109,29 @@ high_start AS (SELECT f.row, s.g, s.i, s.n, f.cur, f.proof FROM low_fold f JOIN
 SELECT doc_id, leaves.d AS leaf, s.d AS subroot, top.d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = top.d AS verified
 FROM leaves JOIN (SELECT * FROM high_fold WHERE n = 1) h USING (row) JOIN subs s ON s.source IS NOT DISTINCT FROM leaves.g
 JOIN high top ON top.n = 1"""
+
+
+#: The filters of a document as bits, A the lowest.
+OP12 = r"""WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (SELECT r, doc_id, part, (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+  + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+  + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS bits,
+  doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+  doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic FROM w),
+c AS (SELECT part, bits, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY part, bits),
+l AS (SELECT i, chr(65 + i::INT) AS name, (1 << i)::INT AS bit FROM range(5) AS t(i)),
+o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM l a, l b, l c, l d, l e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, k::INTEGER AS step, bits[k] AS bit, list_sum(bits[1:k]) - bits[k] AS before FROM o, range(1, 6) AS t(k)),
+parts AS (SELECT DISTINCT part FROM c),
+x AS (SELECT part, filter_order, step, bit,
+  coalesce(sum(n) FILTER (WHERE bits & (before::INT | bit) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (WHERE bits & bit != 0 AND bits & before::INT = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (WHERE bits & bit != 0 AND bits & before::INT != 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (WHERE bits = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (WHERE bits & bit != 0 AND bits & before::INT = 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (WHERE bits & bit != 0 AND bits & before::INT = 0), 0)::BIGINT AS toxic_lost
+  FROM s CROSS JOIN c GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM x"""
