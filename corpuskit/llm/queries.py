@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import audit, bpe, decontamination, language, licenses, manifest, pii, simhash, suffixes, token_files, topk, warc
+from corpuskit.llm import audit, bpe, decontamination, jaccard, language, licenses, manifest, pii, simhash, suffixes, token_files, topk, warc
 from corpuskit.llm.registry import query
 from corpuskit.llm.sql import OP6, OP7, OP8, OP9, OP11, OP12
 from corpuskit.session import cut_lineage, scratch_path
@@ -184,3 +184,8 @@ def op12(spark, sf_dir):
     given = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("key"), "quality", "toxic")
     labels = {"good": given.filter("quality = 1"), "toxic": given.filter("toxic = 1")}
     return audit.steps(audit.interactions(rows, tables, labels), "ABCDE", {"good": "good_lost", "toxic": "toxic_lost"})
+
+
+@query("op13_jaccard_join")
+def op13(spark, sf_dir):
+    return jaccard.components(documents(spark, sf_dir))
