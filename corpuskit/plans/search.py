@@ -67,7 +67,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     def encoded(name, key, alias):
-        return encoders.word_vectors(table(spark, sf, name), key, tx.words(F.col("text")), 256).withColumnRenamed(key, alias)
+        vectors = encoders.word_vectors(table(spark, sf, name), key, tx.words(F.col("text")), 256).withColumnRenamed(key, alias)
+        return cut_lineage(vectors, "vectors")  # the search reads each side several times
 
     return nearest.top_k(encoded("benchmark", "item_id", "query"), encoded("documents", "doc_id", "id"), 3)
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from corpuskit.operators import lookups, rows, votes
 
-# Queries that call Python by nature: outside calls, encoders, matrix products, common subsequences, the batch map.
-PYTHON = {"x1", "x2", "x3", "x4", "x8", "v1", "v2", "v3", "v4", "v5", "v6", "v7", "v8", "v9", "v13", "v14", "j14"} | {
+# Queries that call Python by nature: outside calls, encoders, matrix products, index blocks, common subsequences, the batch map.
+PYTHON = {"x1", "x2", "x3", "x4", "x8", "v1", "v2", "v3", "v4", "v5", "v6", "v7", "v8", "v9", "v12", "v13", "v14", "v15", "j14"} | {
     "e1", "e2", "e3", "e4", "e11", "e15",
 } | {"op1", "op2", "op3", "op5", "op8", "op9", "pipeline"}
 # The last: hashes, tokenizers and automata over texts, and matrix products; op6 and op7 must do without.
