@@ -11,10 +11,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.functions.hashing import draw_hex
+from corpuskit.functions.permute import permuted, round_keys
 from corpuskit.operators import rows
+from corpuskit.session import cut_lineage
 
-CATALOGUE_LIMIT = 20_000  # class names fit in a literal up to here; larger catalogues are joined
+KEYS_PER_TASK = 32  # join keys per task when each entry of a catalogue goes to each row: enough for even tasks
 
 
 def strict_lookup(df: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
@@ -64,44 +65,47 @@ def catalogue_frame(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(pairs, "label string, id int")
 
 
-def literal_catalogue(catalogue: DataFrame, column: str) -> list | None:
-    """The sorted entries when there are few of them, else None. Reads one entry over the limit and no more."""
-    found = catalogue.select(column).distinct().limit(CATALOGUE_LIMIT + 1).collect()
-    return None if len(found) > CATALOGUE_LIMIT else sorted((row[0] for row in found), key=lambda e: (e is not None, e))
+def numbered_catalogue(catalogue: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """The distinct entries with their places (__number) in sorted order, a null first, and how many there are."""
+    named = catalogue.select(column).distinct()
+    numbered = cut_lineage(rows.index_by_key(named, column, name="__number"), "catalogue")
+    return numbered, numbered.count()
 
 
-def each_with(df: DataFrame, catalogue: DataFrame, column: str, blocks: int | None = None) -> DataFrame:
-    """Every row with every catalogue entry: from a literal while that is small, else by joining on blocks of it."""
-    entries = literal_catalogue(catalogue, column)
-    if entries is not None:
-        return df.withColumn(column, F.explode(F.array(*[F.lit(e) for e in entries])))
-    n = blocks or rows.slice_count(df)
-    spread = df.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    blocked = catalogue.select(column).distinct().withColumn("__block", F.pmod(F.xxhash64(column), F.lit(n)).cast("int"))
-    return spread.join(blocked, "__block").drop("__block")
+def _entries(asked: DataFrame, key: Column, catalogue: DataFrame, n: int) -> DataFrame:
+    """Give each row the catalogue entry of its __number.
+
+    A number is asked for by every row, so copies of the catalogue share the rows out: about `KEYS_PER_TASK` join keys per task,
+    however few entries there are.
+    """
+    copies = -(-KEYS_PER_TASK * rows.slice_count(asked) // max(1, n))
+    dealt = catalogue.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return asked.withColumn("__copy", F.pmod(F.xxhash64(key), F.lit(copies)).cast("int")).join(dealt, ["__number", "__copy"]).drop("__copy")
+
+
+def each_with(df: DataFrame, catalogue: DataFrame, column: str) -> DataFrame:
+    """Every row with every catalogue entry, by a join on the entry's number."""
+    numbered, n = numbered_catalogue(catalogue, column)
+    places = F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")) if n else F.expr("cast(array() as array<bigint>)")
+    asked = df.withColumn("__number", F.explode(places))
+    return _entries(asked, F.struct(*df.columns), numbered, n).select(*df.columns, column)
 
 
 def catalogue_blocks(df: DataFrame, catalogue: DataFrame, column: str, key: str, size: int, seed: str) -> DataFrame:
-    """Cut the catalogue, shuffled anew for each row, into blocks of `size`; the last block may be short.
+    """Cut the catalogue, shuffled anew for each row, into blocks of `size`; the last block may be short. `key` tells rows apart.
 
-    A literal catalogue is shuffled and cut inside the row, without a shuffle of the table.
+    Which entry stands at a place of a row's shuffle is computed (`functions.permute`), so that no row's catalogue is sorted; only
+    the entries of one block come together.
     """
-    entries = literal_catalogue(catalogue, column)
-    if entries is None:
-        pairs = each_with(df, catalogue, column).withColumn("__draw", draw_hex(seed, key, column))
-        ranked = rows.running_total(
-            rows.sliced_by_draw(pairs, "__draw"), [key], ["__draw", column], F.lit(1).cast("bigint"), "__idx"
-        )
-        grouped = ranked.groupBy(key, F.floor(F.col("__idx") / size).cast("int").alias("block"))
-        collected = grouped.agg(F.sort_array(F.collect_list(F.struct("__idx", column))).alias("__m"))
-        members = collected.select(key, "block", F.transform("__m", lambda m: m[column]).alias("members"))
-        return df.join(members, key)
-    values = F.array(*[F.lit(e) for e in entries])
-    shuffled = F.array_sort(F.transform(values, lambda e: F.struct(draw_hex(seed, F.col(key), e).alias("d"), e.alias("e"))))
-    ordered = df.withColumn("__m", F.transform(shuffled, lambda m: m["e"]))
-    starts = F.sequence(F.lit(0), F.lit(max(0, (len(entries) - 1) // size)))
-    exploded = ordered.withColumn("block", F.explode(starts))
-    return exploded.withColumn("members", F.slice("__m", F.col("block") * size + 1, F.lit(size))).drop("__m")
+    numbered, n = numbered_catalogue(catalogue, column)
+    slim = df.select(F.struct(key).alias("__key"), round_keys(seed, key).alias("__keys"))
+    places = F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")) if n else F.expr("cast(array() as array<bigint>)")
+    placed = slim.withColumn("__i", F.explode(places)).select("__key", "__i", permuted(F.col("__i"), F.col("__keys"), max(1, n)).alias("__number"))
+    named = _entries(placed, F.col("__key"), numbered, n)
+    grouped = named.groupBy("__key", F.expr(f"cast(__i div {size} as int)").alias("block"))
+    members = grouped.agg(F.sort_array(F.collect_list(F.struct("__i", column))).alias("__m"))
+    listed = members.select("__key", "block", F.transform("__m", lambda m: m[column]).alias("members"))
+    return df.withColumn("__key", F.struct(key)).join(listed, "__key").drop("__key")
 
 
 def sign_labels(df: DataFrame, x: Column, y: Column) -> DataFrame:

@@ -19,6 +19,9 @@ from corpuskit.functions.hashing import draw_hex, draw_int
 SLICE, GROUP = "__slice", "__group"
 FIRST = -1.0  # the slice of rows without a key
 TEXT_SAMPLE = 50  # sampled texts per slice that choose the cut points of a text key
+DRAW_DIGITS = 32
+CUT_DIGITS = 3  # of the draw, counted at a time
+CUT_ROWS = 1000  # rows among which a cut is looked for one by one
 DIRECT_CAP = 100  # up to this rank a hot group receives few rows per task even from very many tasks
 
 
@@ -177,17 +180,58 @@ def sampled_per_group(df: DataFrame, by: Sequence[str], seed: str, key: str, cap
     return ranked.select(*df.columns)
 
 
+def draw_cut(df: DataFrame, seed: str, key: str, n: int) -> tuple[str, object, int] | None:
+    """(draw, key, extra): the n-th row of a seeded shuffle, and how many rows equal to it belong to the first n. None if there are fewer rows.
+
+    Rows are counted by the first digits of their draws; the digits that hold the n-th row are counted by their next ones, until few
+    rows are left. What reaches the driver are `4096` counts a step, and then those few keys.
+    """
+    drawn, prefix, left = df.select(draw_hex(seed, key).alias("d"), F.col(key).alias("k")), "", n
+    while True:
+        inside = drawn.where(F.col("d").startswith(prefix)) if prefix else drawn
+        digits = F.substring("d", len(prefix) + 1, CUT_DIGITS).alias("digits")
+        counts = sorted((r["digits"], r["count"]) for r in inside.groupBy(digits).count().collect())
+        for found, count in counts:
+            if left <= count:
+                break
+            left -= count
+        else:
+            return None
+        prefix += found
+        if count <= CUT_ROWS or len(prefix) >= DRAW_DIGITS:
+            break
+    # Rows of one key are one entry, however many there are.
+    last = drawn.where(F.col("d").startswith(prefix)).groupBy("d", "k").count().collect()
+    for draw, value, count in sorted(last, key=lambda r: (r["d"], r["k"] is not None, r["k"])):
+        if left <= count:
+            return draw, value, left if left < count else 0
+        left -= count
+    raise AssertionError("the counts of draws do not add up")
+
+
 def shuffled_head(df: DataFrame, seed: str, key: str, n: int) -> DataFrame:
-    """The first `n` rows of a seeded shuffle; each task passes on `n` rows at most."""
-    return df.orderBy(draw_hex(seed, key), key).limit(n)
+    """The first `n` rows of a seeded shuffle, for any n: the cut is found by counting, and every task keeps its rows before it.
+
+    Rows of one key are equal in the shuffle; if the cut falls among them, any of them fill the sample up.
+    """
+    cut = draw_cut(df, seed, key, n) if n > 0 else ("", None, 0)
+    if cut is None:
+        return df
+    draw, value, extra = cut
+    own, drawn = F.col(key), draw_hex(seed, key)
+    same = (drawn == draw) & own.eqNullSafe(F.lit(value))
+    before = (drawn < draw) | ((drawn == draw) & F.coalesce(own < F.lit(value), own.isNull() & F.lit(value is not None)))
+    if not extra:
+        return df.where(before | same)
+    return df.where(before).unionByName(df.where(same).limit(extra))
 
 
 def nested_samples(df: DataFrame, seed: str, key: str, sizes: Sequence[int]) -> DataFrame:
-    """Samples of several sizes from one shuffle, as (size, row): each holds the smaller ones."""
-    head = shuffled_head(df, seed, key, max(sizes)).withColumn("__draw", draw_hex(seed, key))
-    ranked = head.withColumn("__n", F.row_number().over(Window.orderBy("__draw", key)))  # as many rows as the largest size
-    wanted = F.filter(F.array(*[F.lit(s) for s in sorted(sizes)]), lambda s: F.col("__n") <= s)
-    return ranked.withColumn("size", F.explode(wanted)).drop("__draw", "__n")
+    """Samples of several sizes from one shuffle, as (size, row): each holds the smaller ones. `key` is unique."""
+    cuts = [(size, draw_cut(df, seed, key, size)) for size in sorted(sizes) if size > 0]
+    drawn = draw_hex(seed, key)
+    inside = [F.when(F.lit(True) if cut is None else (drawn < cut[0]) | ((drawn == cut[0]) & (F.col(key) <= F.lit(cut[1]))), F.lit(size)) for size, cut in cuts]
+    return df.withColumn("size", F.explode(F.array_compact(F.array(*inside))))
 
 
 def split_by_ratio(df: DataFrame, seed: str, key: str, test_percent: int) -> DataFrame:

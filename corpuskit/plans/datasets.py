@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpuskit.functions import arrays, parsing, prompts
 from corpuskit.functions import text as tx
 from corpuskit.operators import annotations, datasets, dialogue, lookups, rows, tokens
-from corpuskit.plans.ordered import DRAW
+from corpuskit.plans.ordered import DRAW, shuffled_sql
 from corpuskit.plans.registry import query, table
 from corpuskit.plans.relations import EVENT_TYPES
 from corpuskit.plans.scalar import CATALOGUE, CATALOGUE_SQL, WORDS
@@ -318,8 +318,7 @@ def _(spark, sf):
 
 @query(
     "d16_block_prompts",
-    r"""WITH r AS (SELECT s_suppkey, s_name, n_name, row_number() OVER (PARTITION BY s_suppkey
-        ORDER BY md5(concat_ws(':', 'prompt', s_suppkey, n_name)), n_name) - 1 AS i FROM supplier, nation)
+    rf"""WITH {shuffled_sql('s_suppkey, s_name', 'nation', 'n_name', 25, 'prompt')}
     SELECT s_suppkey, CAST(i // 5 AS INTEGER) AS block, 'Where does ' || s_name || E' trade?\n' || string_agg(n_name, ', ' ORDER BY i) AS instruction
     FROM r GROUP BY s_suppkey, s_name, i // 5""",
 )

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as tx
+from corpuskit.functions.permute import permuted_sql
 from corpuskit.operators import dialogue, lookups, rows, votes
 from corpuskit.plans.registry import query, table
 from corpuskit.plans.scalar import WORDS
 
 
+def shuffled_sql(columns: str, catalogue: str, name: str, n: int, seed: str) -> str:
+    """A table r of suppliers and their shuffles: the entry of a catalogue of n at each place i."""
+    places = f"(SELECT {columns}, i, i AS x FROM supplier, range({n}) AS t(i))"
+    return f"""n AS (SELECT {name}, row_number() OVER (ORDER BY {name}) - 1 AS x FROM {catalogue}),
+    r AS (SELECT {columns}, i, {name} FROM {permuted_sql(places, seed, 's_suppkey', n)} JOIN n USING (x))"""
+
+
 @query("w1_chunk_ids", "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 128 AS BIGINT) AS chunk FROM documents")
 def _(spark, sf):
     return rows.chunked(table(spark, sf, "documents").select("doc_id"), "doc_id", 128)
@@ -17,8 +25,7 @@ def _(spark, sf):
 
 @query(
     "w2_catalogue_blocks",
-    """WITH r AS (SELECT s_suppkey, n_name, row_number() OVER (PARTITION BY s_suppkey
-        ORDER BY md5(concat_ws(':', 'blocks', s_suppkey, n_name)), n_name) - 1 AS i FROM supplier, nation)
+    f"""WITH {shuffled_sql('s_suppkey', 'nation', 'n_name', 25, 'blocks')}
     SELECT s_suppkey, CAST(i // 7 AS INTEGER) AS block, string_agg(n_name, ',' ORDER BY i) AS members
     FROM r GROUP BY s_suppkey, i // 7""",
 )
@@ -133,6 +140,17 @@ def _(spark, sf):
     return rows.shuffled_head(table(spark, sf, "documents"), "take", "doc_id", 100).select("doc_id", "lang")
 
 
+@query(
+    "k2_half_sample",
+    """SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', 'half', l_orderkey * 8 + l_linenumber))) AS n,
+      count(*) OVER () AS total FROM lineitem) WHERE n <= total // 2""",
+)
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    keyed = lines.withColumn("row", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint"))
+    return rows.shuffled_head(keyed, "half", "row", lines.count() // 2).drop("row")
+
+
 @query(
     "k2_nested_samples",
     """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5(concat_ws(':', 'take', doc_id)), doc_id) AS n FROM documents)

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import hashlib
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
+from corpuskit.functions import permute
 from corpuskit.operators import lookups, pairs
 
 
@@ -47,12 +50,59 @@ def test_both_in(spark):
     assert out == {("A", "B"): 1, ("A", "C"): 0}
 
 
-def test_literal_and_joined_catalogues_agree(spark, monkeypatch):
+def brute_shuffle(seed, key, n):
+    a, b = permute.grid(n)
+    digits = hashlib.md5(f"{seed}:{key}".encode()).hexdigest()
+    keys = [int(digits[8 * j : 8 * j + 8], 16) for j in range(4)]
+
+    def step(x):
+        sides = [x // b, x % b]
+        for j, k in enumerate(keys):
+            sides[j % 2] = (sides[j % 2] + (((sides[1 - j % 2] + 1) * (k | 1)) >> 9 & 0x7FFFFFFF)) % (a, b)[j % 2]
+        return sides[0] * b + sides[1]
+
+    out = []
+    for i in range(n):
+        x = step(i)
+        while x >= n:
+            x = step(x)
+        out.append(x)
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 23, 25])
+def test_catalogue_blocks_are_shuffles(spark, n):
     firms = spark.range(20).withColumnRenamed("id", "k")
-    catalogue = spark.createDataFrame([(f"c{i}",) for i in range(23)], "name string")
-    literal = {(r["k"], r["block"], tuple(r["members"])) for r in lookups.catalogue_blocks(firms, catalogue, "name", "k", 5, "s").collect()}
-    each = {tuple(r) for r in lookups.each_with(firms, catalogue, "name").collect()}
-    monkeypatch.setattr(lookups, "CATALOGUE_LIMIT", 3)
-    joined = {(r["k"], r["block"], tuple(r["members"])) for r in lookups.catalogue_blocks(firms, catalogue, "name", "k", 5, "s").collect()}
-    assert literal == joined and len(literal) == 20 * 5
-    assert each == {tuple(r) for r in lookups.each_with(firms, catalogue, "name").collect()} and len(each) == 20 * 23
+    names = [f"c{i:02}" for i in range(n)]
+    catalogue = spark.createDataFrame([(name,) for name in names * 2], "name string")
+    got = {(r["k"], r["block"]): r["members"] for r in lookups.catalogue_blocks(firms, catalogue, "name", "k", 5, "s").collect()}
+    for k in range(20):
+        order = brute_shuffle("s", k, n)
+        assert sorted(order) == list(range(n))
+        assert [name for b in range(-(-n // 5)) for name in got.pop((k, b))] == [names[x] for x in order]
+    assert not got
+    assert n < 9 or len({tuple(brute_shuffle("s", k, n)) for k in range(200)}) == 200
+
+
+def test_grid_has_few_cells_too_many():
+    for n in range(1, 3000):
+        a, b = permute.grid(n)
+        assert n <= a * b < n + max(2, a)
+
+
+def test_each_with_every_entry_in_even_tasks(spark):
+    firms = spark.range(2000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in (5, 3000 // 20):
+            catalogue = spark.range(n).selectExpr("concat('c', id) AS name")
+            out = lookups.each_with(firms, catalogue, "name")
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 2000 * n and max(sizes) < 2 * sum(sizes) / 8
+            assert out.distinct().count() == 2000 * n
+        assert lookups.each_with(firms, catalogue.limit(0), "name").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

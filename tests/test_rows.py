@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -43,6 +45,19 @@ def test_text_keys(skewed):
     assert {r["name"]: r["idx"] for r in rows.index_by_key(mixed, "name").collect()} == {n: i for i, n in enumerate(order)}
 
 
+def test_head_of_any_size_without_a_sort(spark, monkeypatch):
+    monkeypatch.setattr(rows, "CUT_ROWS", 3)
+    monkeypatch.setattr(rows, "CUT_DIGITS", 1)
+    keys = [*range(300), None, *[7] * 40]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "id bigint, n int").repartition(5)
+    order = sorted(keys, key=lambda k: (hashlib.md5((f"s:{k}" if k is not None else "s").encode()).hexdigest(), k is not None, k or 0))
+    for n in (0, 1, 2, 150, order.index(7) + 1, order.index(7) + 41, len(keys), 10_000):
+        out = rows.shuffled_head(df, "s", "id", n)
+        assert sorted((r["id"] for r in out.collect()), key=str) == sorted(order[:n], key=str)
+    plan = rows.shuffled_head(df, "s", "id", order.index(7))._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Limit" not in plan and "SinglePartition" not in plan
+
+
 def test_nested_samples(skewed):
     out = rows.nested_samples(skewed, "s", "id", [5, 20]).collect()
     small, large = ({r["id"] for r in out if r["size"] == n} for n in (5, 20))
