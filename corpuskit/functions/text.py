@@ -134,8 +134,9 @@ def zero_pad(c: Column, width: int = 4) -> Column:
 
 
 def slice_text(c: Column, start: Column, end: Column) -> Column:
-    """Code points from `start` up to but without `end`, both counted from 0."""
-    return F.substring(c, start + 1, F.greatest(end - start, F.lit(0)))
+    """Code points from `start` up to but without `end`, both counted from 0; below zero they count from the end of the text."""
+    first, last = (F.when(place < 0, F.greatest(F.length(c) + place, F.lit(0))).otherwise(place) for place in (start, end))
+    return F.substring(c, first + 1, F.greatest(last - first, F.lit(0)))
 
 
 def find_text(c: Column, part: Column) -> Column:

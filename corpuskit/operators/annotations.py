@@ -12,6 +12,7 @@ from corpuskit.functions.arrays import text_array
 from corpuskit.functions.binding import let
 from corpuskit.functions.prompts import render
 from corpuskit.operators import rows
+from corpuskit.session import cut_lineage
 
 
 def typed_spans(raw: Column) -> Column:
@@ -130,15 +131,40 @@ def labels_by_class(entities: Column, schema: Sequence[str]) -> Column:
     )
 
 
-def entity_swaps(df: DataFrame, key: str, text: str, entity: str, start: str, label: str, seed: str) -> DataFrame:
-    """Each entity replaced by the next one of its class and length in a seeded order; alone in both, or without a class, it stays."""
-    described = df.withColumn("__len", F.length(entity))
-    known = described.select(label, "__len", entity).distinct()
-    numbered = rows.index_by_draw(known, seed, entity, by=[label, "__len"], name="__i")
-    sizes = known.groupBy(label, "__len").agg(F.count(F.lit(1)).alias("__n"))
+def _successors(known: DataFrame, entity: str, label: str, seed: str) -> DataFrame:
+    """(label, entity, replacement): the next entity of the same class and length in a seeded order."""
+    described = known.select(label, F.length(entity).alias("__len"), entity).distinct()
+    numbered = rows.index_by_draw(described, seed, entity, by=[label, "__len"], name="__i")
+    sizes = described.groupBy(label, "__len").agg(F.count(F.lit(1)).alias("__n"))
     successor = numbered.join(sizes, [label, "__len"]).withColumn("__next", (F.col("__i") + 1) % F.col("__n"))
     target = numbered.select(label, "__len", F.col("__i").alias("__next"), F.col(entity).alias("replacement"))
-    swaps = successor.join(target, [label, "__len", "__next"]).select(label, entity, "replacement")
+    return successor.join(target, [label, "__len", "__next"]).select(label, entity, "replacement")
+
+
+def all_entities_swapped(df: DataFrame, key: str, text: str, entities: str, label: str, seed: str) -> DataFrame:
+    """Every entity of a text replaced by the next one of its class and length; adds `swapped`, how many of them changed.
+
+    `entities` is an array of (start, entity) in the order of the text, without overlaps. Each distinct entity of a text is looked
+    up once; texts themselves are not multiplied. Rows without a class keep their text. `key` tells rows apart.
+    """
+    own = df.select(F.struct(key).alias("__key"), F.col(label).alias("__label"), F.explode(F.array_distinct(F.col(entities)["entity"])).alias("__entity"))
+    held = cut_lineage(own, "entities")
+    swaps = cut_lineage(_successors(held.where(F.col("__label").isNotNull()), "__entity", "__label", seed), "swaps")
+    named = held.join(swaps, ["__label", "__entity"]).groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("__entity", "replacement"))).alias("__swaps"))
+    found = df.withColumn("__key", F.struct(key)).join(named, "__key", "left")
+    each = F.transform(entities, lambda e: F.struct(e["start"].alias("start"), e["entity"].alias("entity"), F.try_element_at("__swaps", e["entity"]).alias("to")))
+    found = found.withColumn("__each", each)
+    ends = F.transform("__each", lambda e: e["start"] + F.length(e["entity"]))
+    gaps = F.zip_with(F.concat(F.array(F.lit(0)), ends), F.concat(F.col("__each")["start"], F.array(F.length(text))), lambda a, b: F.substring(F.col(text), a + 1, b - a))
+    pieces = F.zip_with(gaps, "__each", lambda gap, e: F.concat(gap, F.coalesce(e["to"], e["entity"], F.lit(""))))
+    changed = F.size(F.filter("__each", lambda e: e["to"] != e["entity"]))
+    whole = F.when(F.size(entities) > 0, F.array_join(pieces, "")).otherwise(F.col(text))
+    return found.withColumn("swapped", F.greatest(changed, F.lit(0))).withColumn(text, whole).drop("__key", "__swaps", "__each")
+
+
+def entity_swaps(df: DataFrame, key: str, text: str, entity: str, start: str, label: str, seed: str) -> DataFrame:
+    """Each entity replaced by the next one of its class and length in a seeded order; alone in both, or without a class, it stays."""
+    swaps = _successors(df, entity, label, seed)
     swapped = F.overlay(F.col(text), F.col("replacement"), F.col(start) + 1, F.length(entity))
-    found = described.join(swaps, [label, entity], "left").withColumn("replacement", F.coalesce("replacement", entity))
-    return found.withColumn(text, F.coalesce(swapped, F.col(text))).drop("__len")
+    found = df.join(swaps, [label, entity], "left").withColumn("replacement", F.coalesce("replacement", entity))
+    return found.withColumn(text, F.coalesce(swapped, F.col(text)))

@@ -352,15 +352,25 @@ def _(spark, sf):
 
 @query(
     "d19_entity_swaps",
-    r"""WITH t AS (SELECT doc_id, lang, text, regexp_extract(text, '\p{L}{5,}') AS entity FROM documents),
-    d AS (SELECT *, strpos(text, entity) - 1 AS start FROM t WHERE entity <> ''),
-    k AS (SELECT DISTINCT lang, length(entity) AS len, entity FROM d),
+    r"""WITH t AS (SELECT doc_id, lang, text, regexp_extract_all(text, '\p{L}{5,}') AS es, string_split_regex(text, '\p{L}{5,}') AS gaps FROM documents),
+    k AS (SELECT DISTINCT lang, length(entity) AS len, entity FROM (SELECT lang, unnest(es) AS entity FROM t)),
     i AS (SELECT *, row_number() OVER (PARTITION BY lang, len ORDER BY md5(concat_ws(':', 'swap', entity)), entity) - 1 AS i,
-        count(*) OVER (PARTITION BY lang, len) AS n FROM k)
-    SELECT doc_id, d.entity, b.entity AS replacement, substring(text, 1, start) || b.entity || substring(text, start + 1 + a.len) AS text
-    FROM d JOIN i a ON a.lang = d.lang AND a.entity = d.entity JOIN i b ON b.lang = a.lang AND b.len = a.len AND b.i = (a.i + 1) % a.n""",
+        count(*) OVER (PARTITION BY lang, len) AS n FROM k),
+    s AS (SELECT a.lang, a.entity, b.entity AS replacement FROM i a JOIN i b ON b.lang = a.lang AND b.len = a.len AND b.i = (a.i + 1) % a.n),
+    p AS (SELECT doc_id, lang, unnest(range(len(es))) AS pos, unnest(es) AS entity, unnest(gaps[1:len(es)]) AS gap FROM t WHERE len(es) > 0),
+    r AS (SELECT doc_id, string_agg(gap || replacement, '' ORDER BY pos) AS out, count(*) FILTER (WHERE replacement <> entity) AS swapped
+      FROM p JOIN s USING (lang, entity) GROUP BY doc_id)
+    SELECT doc_id, len(es)::INTEGER AS entities, coalesce(swapped, 0)::INTEGER AS swapped, coalesce(out || gaps[len(gaps)], text) AS text FROM t LEFT JOIN r USING (doc_id)""",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text", F.regexp_extract("text", r"\p{L}{5,}", 0).alias("entity"))
-    found = docs.where(F.col("entity") != "").withColumn("start", (F.position(F.col("entity"), F.col("text")) - 1).cast("int"))
-    return annotations.entity_swaps(found, "doc_id", "text", "entity", "start", "lang", "swap").select("doc_id", "entity", "replacement", "text")
+    long_word = r"\p{L}{5,}"
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text", F.regexp_extract_all("text", F.lit(long_word), F.lit(0)).alias("words"))
+    # A word starts behind all gaps and words before it.
+    gaps = F.slice(F.split("text", long_word, -1), F.lit(1), F.size("words"))
+    sizes = F.zip_with(F.transform(gaps, F.length), F.transform("words", F.length), lambda gap, word: F.struct(gap.alias("gap"), word.alias("word")))
+    starts = F.aggregate(sizes, F.struct(F.array().cast("array<int>").alias("all"), F.lit(0).alias("at")),
+        lambda acc, s: F.struct(F.concat(acc["all"], F.array(acc["at"] + s["gap"])).alias("all"), (acc["at"] + s["gap"] + s["word"]).alias("at")),
+        lambda acc: acc["all"])
+    found = docs.withColumn("found", F.zip_with(starts, "words", lambda start, word: F.struct(start.alias("start"), word.alias("entity"))))
+    swapped = annotations.all_entities_swapped(found, "doc_id", "text", "found", "lang", "swap")
+    return swapped.select("doc_id", F.size("words").alias("entities"), "swapped", "text")

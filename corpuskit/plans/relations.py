@@ -249,18 +249,18 @@ def _(spark, sf):
 
 @query(
     "a13_repeated_mean",
-    """WITH s AS (SELECT experiment, label, embedding[1] AS x FROM embeddings, range(5) t(experiment)
+    """WITH s AS (SELECT experiment, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings, range(5) t(experiment)
       QUALIFY row_number() OVER (PARTITION BY experiment, label ORDER BY md5(concat_ws(':', 'run', experiment, vec_id)), vec_id) <= 8),
-    e AS (SELECT experiment, label, avg(CAST(x AS DOUBLE)) AS m FROM s GROUP BY experiment, label)
-    SELECT label, round(avg(m), 6) AS mean FROM e GROUP BY label""",
+    p AS (SELECT experiment, label, CAST(unnest(range(len(v))) AS INTEGER) AS pos, unnest(v) AS x FROM s),
+    e AS (SELECT experiment, label, pos, avg(x) AS m FROM p GROUP BY experiment, label, pos)
+    SELECT label, pos, round(avg(m), 6) AS mean FROM e GROUP BY label, pos""",
 )
 def _(spark, sf):
     runs = F.explode(F.array(*[F.lit(i) for i in range(5)]))
-    vectors = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"))
-    repeated = vectors.withColumn("experiment", runs).withColumn("draw_key", F.concat_ws(":", "experiment", "vec_id"))
+    repeated = table(spark, sf, "embeddings").select("vec_id", "label", "embedding").withColumn("experiment", runs).withColumn("draw_key", F.concat_ws(":", "experiment", "vec_id"))
     sample = rows.sampled_per_group(repeated, ["experiment", "label"], "run", "draw_key", 8)
-    per_run = sample.groupBy("experiment", "label").agg(F.avg("x").alias("m"))
-    return per_run.groupBy("label").agg(F.round(F.avg("m"), 6).alias("mean"))
+    per_run = votes.mean_vectors(sample.withColumn("run", F.struct("experiment", "label")), "run", "embedding")
+    return per_run.groupBy("run.label", "pos").agg(F.round(F.avg("x"), 6).alias("mean"))
 
 
 @query(

@@ -278,12 +278,16 @@ def _(spark, sf):
 
 @query(
     "f8_slice_text",
-    """SELECT doc_id, substring(text, CAST(n_chars // 3 AS INTEGER) + 1, CAST(n_chars // 2 - n_chars // 3 AS INTEGER)) AS part
+    """SELECT doc_id, substring(text, CAST(n_chars // 3 AS INTEGER) + 1, CAST(n_chars // 2 - n_chars // 3 AS INTEGER)) AS part,
+      substring(text, greatest(length(text) - 90, 0) + 1, greatest(length(text) - 5, 0) - greatest(length(text) - 90, 0)) AS tail,
+      substring(text, greatest(length(text) - 90, 0) + 1, greatest(40 - greatest(length(text) - 90, 0), 0)) AS both
     FROM documents""",
 )
 def _(spark, sf):
     start, end = F.floor(F.col("n_chars") / 3).cast("int"), F.floor(F.col("n_chars") / 2).cast("int")
-    return table(spark, sf, "documents").select("doc_id", tx.slice_text(F.col("text"), start, end).alias("part"))
+    cut = lambda a, b: tx.slice_text(F.col("text"), a, b)
+    ends = [cut(start, end).alias("part"), cut(F.lit(-90), F.lit(-5)).alias("tail"), cut(F.lit(-90), F.lit(40)).alias("both")]
+    return table(spark, sf, "documents").select("doc_id", *ends)
 
 
 @query(
@@ -447,6 +451,18 @@ def _(spark, sf):
     return docs.select("doc_id", F.array_join(labels, ",").alias("labels"))
 
 
+@query(
+    "f29_fixed_length",
+    f"""WITH t AS (SELECT doc_id, list_transform({WORDS}[1:64], lambda w: length(w)) AS ids FROM documents)
+    SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(64 - len(ids)), lambda i: CAST(0 AS BIGINT))), ',') AS ids FROM t""",
+)
+def _(spark, sf):
+    from corpuskit.operators import tokens
+
+    docs = table(spark, sf, "documents").select("doc_id", F.transform(tx.words(F.col("text")), F.length).alias("ids"))
+    return tokens.padded_to(docs, "ids", 64).select("doc_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
 @query(
     "f29_pad_batches",
     f"""WITH t AS (SELECT doc_id, list_transform({WORDS}, lambda w: length(w)) AS ids,

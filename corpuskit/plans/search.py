@@ -185,12 +185,14 @@ def _(spark, sf):
 
 @query(
     "v11_first_pooling",
-    "SELECT vec_id // 8 AS text_id, round(arg_min(embedding, vec_id)[1]::DOUBLE, 6) AS x, len(arg_min(embedding, vec_id))::INTEGER AS dim FROM embeddings GROUP BY 1",
+    """WITH f AS (SELECT vec_id // 8 AS text_id, CAST(arg_min(embedding, vec_id) AS DOUBLE[]) AS v FROM embeddings GROUP BY 1)
+    SELECT text_id, unnest(range(len(v)))::INTEGER AS pos, round(unnest(v), 6) AS x, round(unnest(v) / sqrt(list_inner_product(v, v)), 6) AS unit FROM f""",
 )
 def _(spark, sf):
     tokens = table(spark, sf, "embeddings").withColumn("text_id", F.floor(F.col("vec_id") / 8))
     first = tokens.groupBy("text_id").agg(F.min_by("embedding", "vec_id").alias("v"))
-    return first.select("text_id", F.round(F.col("v")[0].cast("double"), 6).alias("x"), F.size("v").alias("dim"))
+    both = F.posexplode(F.arrays_zip(vec.doubles(F.col("v")).alias("x"), vec.unit(F.col("v")).alias("unit")))
+    return first.select("text_id", both.alias("pos", "e")).select("text_id", "pos", F.round("e.x", 6).alias("x"), F.round("e.unit", 6).alias("unit"))
 
 
 def tfidf_sql(documents: str, queries: str, k: int) -> str:

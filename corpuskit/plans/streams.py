@@ -51,9 +51,12 @@ def _(spark, sf):
 )
 def _(spark, sf):
     root = scratch_path(spark, "absent")
-    stream = _events(spark, sf, root).select("event_id", "user_id", "event_type")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    # Files hold rows of all ages: the first row of a user may arrive in any batch.
+    events.repartition(4, F.md5(F.col("event_id").cast("string"))).write.parquet(f"{root}/in")
+    stream = streams.file_stream(spark, f"{root}/in", "event_id bigint, user_id bigint, event_type string", files_per_batch=1)
     streams.insert_if_absent(stream, "user_id", "event_id", f"{root}/out", f"{root}/check")
-    return streams.stored_batches(spark, f"{root}/out").drop("batch")
+    return streams.first_rows(spark, f"{root}/out", "user_id").select("event_id", "user_id", "event_type")
 
 
 @query("t3_merge_fields", MERGED_SQL)

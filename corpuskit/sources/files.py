@@ -96,31 +96,22 @@ def file_list(spark: SparkSession, path: str, suffix: str) -> DataFrame:
 
 
 def convert_new_csv(
-    spark: SparkSession, path: str, schema: Schema, target: str, ledger: str, suffix: str = ".csv", multi_line: bool = True
+    spark: SparkSession, path: str, schema: Schema, target: str, checkpoint: str, suffix: str = ".csv", multi_line: bool = False
 ) -> int:
-    """Append the rows of CSV files that the ledger does not list to a Parquet table; returns how many files were new.
+    """Append the rows of CSV files that no earlier run has read to a Parquet table; returns how many rows were new.
 
-    File names pass through the driver, as they do in any Spark file scan. The ledger row of a file is written after
-    its data, so a crash in between repeats that file: write to a fresh `target` version when this must not happen.
+    The stream's checkpoint knows the files, and the log of the file sink, in the target itself, says which files of the table count: a
+    run that is killed anywhere and started again gives each row once. Names of files stay with the source. Files are split among
+    tasks unless `multi_line` asks for newlines in fields.
     """
-    found = file_list(spark, path, suffix)
-    done = _ledger(spark, ledger)
-    todo = [row["file"] for row in (found.join(done, "file", "left_anti") if done is not None else found).toLocalIterator()]
-    if not todo:
-        return 0
-    rows = spark.read.schema(schema).csv(todo, header=True, multiLine=multi_line, escape='"')
-    rows.write.mode("append").parquet(target)
-    spark.createDataFrame([(f,) for f in todo], "file string").write.mode("append").parquet(ledger)
-    return len(todo)
-
-
-def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+    rows = reader.csv(path, header=True, multiLine=multi_line, escape='"', mode="FAILFAST")
+    query = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
-        return spark.read.schema("file string").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None  # nothing was converted yet
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return sum(progress.numInputRows for progress in query.recentProgress)
 
 
 def saved_or_built(df: DataFrame, path: str, by: str | None = None) -> DataFrame:

@@ -50,23 +50,38 @@ def run_batches(stream: DataFrame, sink: Callable[[DataFrame, int], None], check
 
 
 def stored_batches(spark: SparkSession, target: str) -> DataFrame | None:
-    """All rows of the sink with their batch number, or None before the first batch."""
+    """All rows of the sink with their batch number, or None before the first batch. Other faults of the table are errors."""
     try:
         return spark.read.parquet(target)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def insert_if_absent(stream: DataFrame, key: str, order: str, target: str, checkpoint: str) -> None:
-    """Keep the first row of every key over all batches. The table itself is the memory, so no stream state grows."""
+    """Keep the row of the smallest `order` of every key over all batches, whichever arrives first; rows without a key are left out.
+
+    The row of each key is state in the stream's RocksDB store, so a batch touches its own keys and reads no stored table, however many
+    batches came before. Keys whose row a batch has seen go to the folder of the batch; `first_rows` reads the latest of each key. A null
+    order comes last; rows of equal order are told apart by their other columns.
+    """
+    others = [c for c in stream.columns if c != key]
+    place = F.struct(F.col(order).isNull(), *([order] + [c for c in others if c != order]))
+    kept = stream.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*others), place).alias("__row"))
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # read when the query starts
+    try:
+        run_batches(kept.select(*[F.col(key) if c == key else F.col("__row")[c].alias(c) for c in stream.columns]), batch_sink(target), checkpoint, "update")
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
 
-    def fresh(batch: DataFrame, batch_id: int) -> DataFrame:
-        stored = stored_batches(batch.sparkSession, target)
-        if stored is None:
-            return keyed.first_per_key(batch.where(F.col(key).isNotNull()), [key], F.col(order)).select(*batch.columns)
-        return keyed.new_rows(batch, stored.where(F.col("batch") < batch_id), key, order)
 
-    run_batches(stream, batch_sink(target, fresh), checkpoint)
+def first_rows(spark: SparkSession, target: str, key: str) -> DataFrame | None:
+    """What `insert_if_absent` has kept: one row per key, or None before the first batch."""
+    stored = stored_batches(spark, target)
+    return None if stored is None else keyed.latest_per_key(stored, [key], F.col("batch")).drop("batch")
 
 
 def append_changes(stream: DataFrame, log: str, checkpoint: str) -> None:
@@ -74,11 +89,13 @@ def append_changes(stream: DataFrame, log: str, checkpoint: str) -> None:
     run_batches(stream, batch_sink(log), checkpoint)
 
 
-def merged_view(base: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """Each field's last non-null value per key: base first, then changes by batch (and by `order` inside a batch).
+def merged_view(base: DataFrame, changes: DataFrame | None, key: str, order: str | None = None) -> DataFrame:
+    """Each field's last non-null value per key: base first, then changes by batch (and by `order` inside a batch). No changes give the base.
 
     A merge on read needs no rewrite of the table per batch. It is one aggregation with partial results, not a join.
     """
+    if changes is None:
+        return base
     fields = [c for c in dict.fromkeys([*base.columns, *changes.columns]) if c not in (key, "batch", order)]
     within = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
 

@@ -58,6 +58,21 @@ def test_converting_twice_reads_new_files_only(spark, tmp_path):
     assert sorted((r["k"], r["code"]) for r in spark.read.parquet(target).collect()) == [(1, "0001"), (2, "0002")]
 
 
+def test_a_crash_before_the_commit_gives_each_row_once(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    target, checkpoint = str(tmp_path / "out"), tmp_path / "check"
+    for i in range(3):
+        (source / f"f{i}.csv").write_text(f"k,code,text\n{i},000{i},x\n", encoding="utf-8")
+        files.convert_new_csv(spark, str(source), SCHEMA, target, str(checkpoint))
+    # As if the last run had died after its data and before its commit.
+    commits = sorted(p for p in (checkpoint / "commits").iterdir() if p.name.isdigit())
+    commits[-1].unlink()
+    (checkpoint / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    files.convert_new_csv(spark, str(source), SCHEMA, target, str(checkpoint))
+    assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == [0, 1, 2]
+
+
 def test_parameters_are_values_not_text(spark):
     df = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k int, name string")
     evil = "n1' OR '1'='1"

@@ -29,7 +29,23 @@ def test_first_row_per_key_over_batches(spark, tmp_path):
     _put(spark, source, [(1, 0, "late"), (3, 4, "d"), (None, 5, "e")])
     stream = streams.file_stream(spark, source, SCHEMA, files_per_batch=1)
     streams.insert_if_absent(stream, "k", "n", out, check)
-    assert {(r["k"], r["v"]) for r in streams.stored_batches(spark, out).collect()} == {(1, "a"), (2, "c"), (3, "d")}
+    assert {(r["k"], r["v"]) for r in streams.first_rows(spark, out, "k").collect()} == {(1, "late"), (2, "c"), (3, "d")}
+    _put(spark, source, [(2, 1, "first"), (3, 9, "x"), (4, None, "no order"), (4, 7, "y")])
+    streams.insert_if_absent(streams.file_stream(spark, source, SCHEMA), "k", "n", out, check)
+    assert {(r["k"], r["v"]) for r in streams.first_rows(spark, out, "k").collect()} == {(1, "late"), (2, "first"), (3, "d"), (4, "y")}
+    last = streams.stored_batches(spark, out)
+    newest = last.agg({"batch": "max"}).first()[0]
+    assert {r["k"] for r in last.where(f"batch = {newest}").collect()} == {2, 3, 4}, "a batch writes the keys it has seen and no others"
+    assert streams.first_rows(spark, str(tmp_path / "none"), "k") is None
+
+
+def test_broken_tables_are_errors(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        streams.stored_batches(spark, str(tmp_path / "broken"))
+    base = spark.createDataFrame([(1, "x")], "k int, v string")
+    assert streams.merged_view(base, None, "k").collect() == base.collect()
 
 
 def test_merged_view_equals_step_by_step_upserts(spark, tmp_path):

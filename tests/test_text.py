@@ -54,6 +54,9 @@ def test_small_helpers(spark):
     assert _map(spark, [" A-B: c：", "ab c"], tx.match_key) == ["ab c", "ab c"]
     assert [tuple(r) for r in _map(spark, ["𝒳bab", "zzz"], lambda c: tx.find_text(c, F.lit("ab")))] == [(2, 4), (-1, -1)]
     assert _map(spark, ["𝒳bcd"], lambda c: tx.slice_text(c, F.lit(1), F.lit(3))) == ["bc"]
+    for start in (-9, -3, -1, 0, 2, 9):
+        for end in (-9, -2, 0, 2, 5, 9):
+            assert _map(spark, ["abcdef", ""], lambda c, a=start, b=end: tx.slice_text(c, F.lit(a), F.lit(b))) == ["abcdef"[start:end], ""]
 
 
 def test_known_parties(spark):
