@@ -1,4 +1,4 @@
-"""Clustering, classification and projection with Spark's own estimators."""
+"""Clustering, classification and projection, mostly with Spark's own estimators."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.operators import nearest
 from corpuskit.session import cut_lineage
 
 
@@ -21,11 +22,9 @@ def logistic_predictions(train: DataFrame, test: DataFrame, iterations: int = 10
     return scored.select("id", F.col("gold").alias("label"), F.col("prediction").cast("int").alias("predicted"))
 
 
-def kmeans_clusters(vectors: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """(id, cluster)."""
-    data = vectors.select("id", array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
-    model = KMeans(k=k, seed=seed).fit(data)
-    return model.transform(data).select("id", F.col("prediction").alias("cluster"))
+def kmeans_clusters(vectors: DataFrame, k: int, steps: int = 20) -> DataFrame:
+    """(id, cluster) after Lloyd's steps from far points (`nearest.kmeans`)."""
+    return nearest.kmeans(vectors, k, steps)[1]
 
 
 def text_clusters(texts: DataFrame, text: str, k: int, features: int = 1 << 14, seed: int = 42) -> DataFrame:

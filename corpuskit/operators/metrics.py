@@ -6,7 +6,6 @@ class list or the cutoff list.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -14,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from corpuskit.functions import stems
+from corpuskit.session import cut_lineage
+
 
 SMALL = 1e-6  # fixed value: added to the denominators of extraction scores
 
@@ -107,7 +109,7 @@ def multi_label_report(df: DataFrame, gold: str, pred: str, classes: int) -> Dat
 
 
 def rouge_tokens(c: Column) -> Column:
-    """Lower-case runs of ASCII letters and digits; no stemming."""
+    """Lower-case runs of ASCII letters and digits."""
     return F.regexp_extract_all(F.lower(c), F.lit("([a-z0-9]+)"), 1)
 
 
@@ -118,12 +120,30 @@ def _grams(tokens: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def rouge_n(df: DataFrame, keys: Sequence[str], pred: str, ref: str, n: int) -> DataFrame:
-    """(keys, score): F1 of shared n-grams, each counted as often as both texts have it."""
-    tokenised = df.select(*keys, rouge_tokens(F.col(pred)).alias("__p"), rouge_tokens(F.col(ref)).alias("__r"))
+def rouge_table(df: DataFrame, keys: Sequence[str], pred: str, ref: str, stem: bool = False) -> DataFrame:
+    """(keys, pred, ref): the tokens of both texts, with `stem` cut to their stems if longer than three letters. `keys` tell rows apart.
+
+    Each distinct token is stemmed once, and texts get the stems back by a join.
+    """
+    tokens = df.select(*keys, rouge_tokens(F.col(pred)).alias("pred"), rouge_tokens(F.col(ref)).alias("ref"))
+    tokens = tokens.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in ("pred", "ref")})
+    if not stem:
+        return tokens
+    row = F.struct(*keys).alias("__row")
+    held = cut_lineage(tokens.select(row, "pred", "ref"), "tokens")
+    each = held.select("__row", F.explode(F.array_distinct(F.concat("pred", "ref"))).alias("token"))
+    cut = stems.stemmed(each.select("token").distinct(), longer_than=3).where("stem <> token")
+    named = each.join(cut, "token").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("token", "stem"))).alias("__stems"))
+    both = held.join(named, "__row", "left")
+    short = lambda c: F.transform(c, lambda t: F.coalesce(F.try_element_at("__stems", t), t)).alias(c)
+    return both.select("__row.*", short("pred"), short("ref"))
+
+
+def rouge_n_tokens(tokenised: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """(keys, score) for rows (keys, pred, ref) of tokens: F1 of shared n-grams, each counted as often as both texts have it."""
     tagged = F.concat(
-        F.transform(_grams(F.col("__p"), n), lambda g: F.struct(g.alias("g"), F.lit(1).alias("p"), F.lit(0).alias("r"))),
-        F.transform(_grams(F.col("__r"), n), lambda g: F.struct(g.alias("g"), F.lit(0).alias("p"), F.lit(1).alias("r"))),
+        F.transform(_grams(F.col("pred"), n), lambda g: F.struct(g.alias("g"), F.lit(1).alias("p"), F.lit(0).alias("r"))),
+        F.transform(_grams(F.col("ref"), n), lambda g: F.struct(g.alias("g"), F.lit(0).alias("p"), F.lit(1).alias("r"))),
     )
     grams = tokenised.select(*keys, F.explode_outer(tagged).alias("t")).select(*keys, "t.*")
     counted = grams.groupBy(*keys, "g").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
@@ -135,7 +155,9 @@ def rouge_n(df: DataFrame, keys: Sequence[str], pred: str, ref: str, n: int) ->
     return totals.select(*keys, F.coalesce(F.try_divide(2 * F.col("m"), F.col("p") + F.col("r")), F.lit(0.0)).alias("score"))
 
 
-TOKEN = re.compile("[a-z0-9]+")
+def rouge_n(df: DataFrame, keys: Sequence[str], pred: str, ref: str, n: int, stem: bool = False) -> DataFrame:
+    """(keys, score): F1 of shared n-grams, each counted as often as both texts have it."""
+    return rouge_n_tokens(rouge_table(df, keys, pred, ref, stem), keys, n)
 
 
 def shared_subsequence(a: list[str], b: list[str]) -> int:
@@ -152,29 +174,29 @@ def shared_subsequence(a: list[str], b: list[str]) -> int:
 
 
 def rouge_l(pred: Column, ref: Column) -> Column:
-    """F1 of the longest common token subsequence; whole texts, one Arrow batch at a time."""
+    """F1 of the longest common subsequence of two arrays of tokens; whole texts, one Arrow batch at a time."""
 
     @pandas_udf("double")
     def run(p: pd.Series, r: pd.Series) -> pd.Series:
-        def score(x: str, y: str) -> float:
-            a, b = TOKEN.findall((x or "").lower()), TOKEN.findall((y or "").lower())
-            return 2.0 * shared_subsequence(a, b) / (len(a) + len(b)) if a and b else 0.0
+        def score(a: list[str], b: list[str]) -> float:
+            return 2.0 * shared_subsequence(a, b) / (len(a) + len(b)) if len(a) and len(b) else 0.0
 
         return pd.Series([score(x, y) for x, y in zip(p, r, strict=True)])
 
     return run(pred, ref)
 
 
-def generation_report(df: DataFrame, keys: Sequence[str], pred: str, ref: str) -> DataFrame:
-    """One row: mean ROUGE-1, ROUGE-2 and ROUGE-L, and the share of equal texts after stripping, to four digits."""
+def generation_report(df: DataFrame, keys: Sequence[str], pred: str, ref: str, stem: bool = True) -> DataFrame:
+    """One row: mean ROUGE-1, ROUGE-2 and ROUGE-L over stems, and the share of equal texts after stripping, to four digits."""
     from corpuskit.functions.text import strip
 
-    one = rouge_n(df, keys, pred, ref, 1).agg(F.avg("score").alias("s")).scalar()
-    two = rouge_n(df, keys, pred, ref, 2).agg(F.avg("score").alias("s")).scalar()
+    tokens = cut_lineage(rouge_table(df, keys, pred, ref, stem), "tokens")
+    one, two = (rouge_n_tokens(tokens, keys, n).agg(F.avg("score").alias("s")).scalar() for n in (1, 2))
+    longest = tokens.agg(F.avg(rouge_l(F.col("pred"), F.col("ref"))).alias("s")).scalar()
     exact = F.avg((strip(F.col(pred)) == strip(F.col(ref))).cast("double"))
-    base = df.agg(F.avg(rouge_l(F.col(pred), F.col(ref))).alias("__l"), exact.alias("__acc"))
+    base = df.agg(exact.alias("__acc"))
     return base.select(
-        F.round(one, 4).alias("rouge1"), F.round(two, 4).alias("rouge2"), F.round("__l", 4).alias("rougeL"), F.round("__acc", 4).alias("acc")
+        F.round(one, 4).alias("rouge1"), F.round(two, 4).alias("rouge2"), F.round(longest, 4).alias("rougeL"), F.round("__acc", 4).alias("acc")
     )
 
 

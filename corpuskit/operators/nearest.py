@@ -12,19 +12,30 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from corpuskit.functions import vectors as vec
 from corpuskit.operators import rows
+from corpuskit.session import cut_lineage
 
 BLOCK_BYTES = 64 << 20  # of float64 vectors on one side of a cell
 SMALL_BLOCK = 2048  # rows below which cutting further only adds copies
 GROUP_BLOCK = 4096  # rows of a group in one block
 QUERY_STEP, CORPUS_STEP = 256, 16384  # rows multiplied at a time inside a cell
+FEW_NUMBERS = 1 << 20  # of all vectors of a table that goes to each task as one array: 8 MB
 DIGITS = 9  # scores equal to this many digits tie, whichever block computed them
 
 
+#: Scores of two vectors side by side, rounded as those of a cell.
+ROW_SCORES = {
+    "dot": lambda a, b: F.round(vec.dot(a, b), DIGITS),
+    "cosine": lambda a, b: F.round(vec.cosine(a, b), DIGITS),
+    "euclidean": lambda a, b: F.round(-F.sqrt(vec.squared_distance(a, b)), DIGITS),
+}
+
+
 def grid(n_queries: int, n_corpus: int, dim: int, tasks: int) -> tuple[int, int]:
     """Blocks per side: small enough for memory, and enough cells for the tasks of the cluster."""
     largest = max(1, BLOCK_BYTES // (8 * max(1, dim)))
@@ -167,7 +178,14 @@ def top_k(
 
 
 def similarity(queries: DataFrame, corpus: DataFrame, metric: str = "dot", cells: tuple[int, int] | None = None) -> DataFrame:
-    """(query, id, score) for every pair, in long form: for two sides whose product is the wanted result."""
+    """(query, id, score) for every pair, in long form: for two sides whose product is the wanted result.
+
+    A small corpus is one array beside each query, and no query is shuffled.
+    """
+    held = few(corpus) if cells is None and metric in ROW_SCORES else None
+    if held is not None:
+        each = _beside(queries, held).select("query", "vector", F.explode("__rows").alias("r"))
+        return each.select("query", F.col("r.id").alias("id"), ROW_SCORES[metric](F.col("vector"), F.col("r.vector")).alias("score"))
     return _cells(queries, corpus, _cell_all(metric), cells)
 
 
@@ -210,17 +228,90 @@ def knn_classes(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "co
     return labelled.groupBy("query").agg(F.mode("label", True).alias("predicted"))
 
 
+def few(corpus: DataFrame) -> Column | None:
+    """The rows (id, vector) of a small table as one sorted array, a value for every task; None above `FEW_NUMBERS` numbers.
+
+    Rows whose vector is null or holds a null are left out.
+    """
+    known = corpus.where(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
+    if (known.agg(F.sum(F.size("vector"))).first()[0] or 0) > FEW_NUMBERS:
+        return None
+    row = F.struct("id", F.col("vector").cast("array<double>").alias("vector"))
+    return known.agg(F.sort_array(F.collect_list(row)).alias("rows")).scalar()
+
+
+def _beside(vectors: DataFrame, rows_: Column) -> DataFrame:
+    """Whole vectors with an array of rows beside each."""
+    return vectors.where(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull())).withColumn("__rows", rows_)
+
+
+def nearest_of(vector: Column, rows_: Column) -> Column:
+    """(distance, id) of the nearest of an array of rows; of equal distances, to nine digits, the smallest id."""
+    away = F.transform(rows_, lambda r: F.struct((-ROW_SCORES["euclidean"](r["vector"], vector)).alias("distance"), r["id"].alias("id")))
+    return F.array_min(away)
+
+
 def assigned(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
-    """(id, cluster): nearest centroid by distance. `centroids` has (id, vector)."""
-    nearest = top_k(vectors.withColumnRenamed("id", "query"), centroids, 1, "euclidean")
-    return nearest.select(F.col("query").alias("id"), F.col("id").alias("cluster"))
+    """(id, cluster): nearest centroid by distance. `centroids` has (id, vector).
+
+    Few centroids are one array and vectors stay where they are; more of them are met in cells, as any corpus is.
+    """
+    held = few(centroids)
+    if held is None:
+        nearest = top_k(vectors.withColumnRenamed("id", "query"), centroids, 1, "euclidean")
+        return nearest.select(F.col("query").alias("id"), F.col("id").alias("cluster"))
+    known = _beside(vectors, held)
+    return known.select("id", nearest_of(F.col("vector"), F.col("__rows"))["id"].alias("cluster")).where(F.col("cluster").isNotNull())
 
 
 def lloyd_step(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
-    """New centroids (id, vector) after one assignment; a centroid without members stays where it was."""
+    """New centroids (id, vector) after one assignment; a centroid without members stays where it was.
+
+    With few centroids a vector is assigned in place and only sums and counts per cluster leave a task.
+    """
     from corpuskit.operators.votes import as_vectors, mean_vectors
 
-    members = vectors.join(assigned(vectors, centroids), "id")
-    moved = as_vectors(mean_vectors(members, "cluster", "vector"), "cluster", name="__v")
+    held = few(centroids)
+    if held is None:
+        members = vectors.join(assigned(vectors, centroids), "id")
+        moved = as_vectors(mean_vectors(members, "cluster", "vector"), "cluster", name="__v")
+    else:
+        size = centroids.select(F.max(F.size("vector"))).first()[0] or 0
+        own = nearest_of(F.col("vector"), F.col("__rows"))["id"]
+        placed = _beside(vectors, held).select(own.alias("cluster"), F.col("vector").cast("array<double>").alias("vector"))
+        sums = [F.avg(F.col("vector")[i]).alias(f"x{i}") for i in range(size)]
+        moved = placed.groupBy("cluster").agg(*sums).select("cluster", F.array(*[f"x{i}" for i in range(size)]).alias("__v"))
     kept = centroids.join(moved.withColumnRenamed("cluster", "id"), "id", "left")
     return kept.select("id", F.coalesce("__v", F.col("vector").cast("array<double>")).alias("vector"))
+
+
+def far_points(vectors: DataFrame, k: int) -> DataFrame:
+    """(id, vector): starts for k-means, numbered from 0: the vector of the smallest id, then each time the one farthest from all before it.
+
+    Only the chosen vectors reach the driver. Fewer distinct vectors than k give fewer starts.
+    """
+    spark = vectors.sparkSession
+    known = vectors.select("id", F.col("vector").cast("array<double>").alias("vector"))
+    known = known.where(F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
+    first = known.agg(F.min_by("vector", "id").alias("vector")).first()["vector"]
+    chosen = [] if first is None else [first]
+    while chosen and len(chosen) < k:
+        held = spark.createDataFrame(list(enumerate(chosen)), "id int, vector array<double>")
+        far = _beside(known, few(held)).select("id", "vector", nearest_of(F.col("vector"), F.col("__rows"))["distance"].alias("d"))
+        best = far.agg(F.min_by(F.struct("vector", "d"), F.struct(-F.col("d"), F.col("id"))).alias("row")).first()["row"]
+        if not best["d"]:
+            break
+        chosen.append(best["vector"])
+    return spark.createDataFrame(list(enumerate(chosen)), "id int, vector array<double>")
+
+
+def kmeans(vectors: DataFrame, k: int, steps: int) -> tuple[DataFrame, DataFrame]:
+    """(centroids (id, vector), members (id, cluster)) after at most `steps` of Lloyd's steps from far points."""
+    centroids = far_points(vectors, k)
+    for _ in range(steps):
+        moved = cut_lineage(lloyd_step(vectors, centroids), "centroids")
+        still = moved.join(centroids.select("id", F.col("vector").alias("was")), "id").where(F.col("vector") != F.col("was")).isEmpty()
+        centroids = moved
+        if still:
+            break
+    return centroids, assigned(vectors, centroids)

@@ -8,6 +8,7 @@ from corpuskit.functions import arrays, prompts
 from corpuskit.functions import text as tx
 from corpuskit.functions.binding import let
 from corpuskit.functions.hashing import draw_int
+from corpuskit.functions.stems import stemmed_sql
 from corpuskit.operators import datasets, metrics
 from corpuskit.plans.datasets import PAIRS_SQL
 from corpuskit.plans.ordered import DRAW
@@ -155,7 +156,52 @@ def _(spark, sf):
     return _rounded(metrics.rouge_n(_generated(spark, sf), ["conv_id", "turn"], "question", "answer", 2), "score")
 
 
-@query("e11_generation_report")
+def _stemmed_sql(questions: str) -> str:
+    """Statements for a table (conv_id, turn, p, r) of stemmed tokens of questions and answers."""
+    tokens = "regexp_extract_all(lower({}), '([a-z0-9]+)', 1)"
+    side = "SELECT conv_id, turn, '{0}' AS side, unnest(range(len({0}))) AS pos, unnest({0}) AS token FROM q"
+    return f"""q AS (SELECT conv_id, turn, question, answer, {tokens.format('question')} AS p, {tokens.format('answer')} AS r FROM {questions}),
+    tok AS ({side.format('p')} UNION ALL {side.format('r')}), voc AS (SELECT DISTINCT token FROM tok),
+    cut AS (SELECT conv_id, turn, side, pos, stem FROM tok JOIN {stemmed_sql('voc', 3)} USING (token)),
+    arr AS (SELECT conv_id, turn, coalesce(list(stem ORDER BY pos) FILTER (WHERE side = 'p'), []) AS p,
+      coalesce(list(stem ORDER BY pos) FILTER (WHERE side = 'r'), []) AS r FROM cut GROUP BY conv_id, turn)"""
+
+
+def _rouge_n_sql(n: int) -> str:
+    """Statements for a table s<n> of scores of the rows of arr."""
+    gram = lambda c: " || ' ' || ".join(f"{c}[i + {j}]" for j in range(n))
+    count = lambda c: f"SELECT conv_id, turn, {gram(c)} AS g, count(*) AS n FROM arr, unnest(range(1, len({c}) - {n - 2})) AS t(i) GROUP BY ALL"
+    return f"""p{n} AS ({count('p')}), r{n} AS ({count('r')}),
+    m{n} AS (SELECT conv_id, turn, sum(least(p{n}.n, r{n}.n)) AS m FROM p{n} JOIN r{n} USING (conv_id, turn, g) GROUP BY conv_id, turn),
+    s{n} AS (SELECT conv_id, turn, coalesce(2 * m / nullif(greatest(len(p) - {n - 1}, 0) + greatest(len(r) - {n - 1}, 0), 0), 0) AS score
+      FROM arr LEFT JOIN m{n} USING (conv_id, turn))"""
+
+
+#: Row by row of the usual table: the longest common subsequence of p with the first i tokens of r, for each length of p.
+LONGEST_SQL = """lcs AS (SELECT conv_id, turn, p, r, 0 AS i, list_transform(p, lambda x: 0) AS line FROM arr
+      UNION ALL SELECT conv_id, turn, p, r, i + 1, list_transform(range(1, len(p) + 1), lambda j: list_max(step[1:j])) FROM (
+        SELECT *, list_transform(range(1, len(p) + 1), lambda j: greatest(line[j], CASE WHEN p[j] = r[i + 1] THEN coalesce(line[j - 1], 0) + 1 ELSE 0 END)) AS step
+        FROM lcs WHERE i < len(r))),
+    sl AS (SELECT conv_id, turn, CASE WHEN len(p) > 0 AND len(r) > 0 THEN 2 * line[len(p)] / (len(p) + len(r)) ELSE 0 END AS score FROM lcs WHERE i = len(r))"""
+
+
+@query(
+    "e11_rouge_l",
+    f"""WITH RECURSIVE {_stemmed_sql(PAIRS_SQL)}, {LONGEST_SQL}
+    SELECT q.conv_id, q.turn, round(coalesce(score, 0), 6) AS score FROM q LEFT JOIN sl USING (conv_id, turn)""",
+)
+def _(spark, sf):
+    tokens = metrics.rouge_table(_generated(spark, sf), ["conv_id", "turn"], "question", "answer", stem=True)
+    return tokens.select("conv_id", "turn", F.round(metrics.rouge_l(F.col("pred"), F.col("ref")), 6).alias("score"))
+
+
+@query(
+    "e11_generation_report",
+    f"""WITH RECURSIVE {_stemmed_sql(PAIRS_SQL)}, {_rouge_n_sql(1)}, {_rouge_n_sql(2)}, {LONGEST_SQL}
+    SELECT round(avg(coalesce(s1.score, 0)), 4) AS rouge1, round(avg(coalesce(s2.score, 0)), 4) AS rouge2, round(avg(coalesce(sl.score, 0)), 4) AS rougeL,
+      round(avg((trim(question) = trim(answer))::INTEGER), 4) AS acc
+    FROM q LEFT JOIN s1 USING (conv_id, turn) LEFT JOIN s2 USING (conv_id, turn) LEFT JOIN sl USING (conv_id, turn)""",
+)
 def _(spark, sf):
     return metrics.generation_report(_generated(spark, sf), ["conv_id", "turn"], "question", "answer")
 

@@ -152,9 +152,27 @@ def _(spark, sf):
     return moved.select("id", F.posexplode("vector").alias("pos", "x")).withColumn("x", F.round("x", 6))
 
 
-@query("v8_kmeans_clusters")
+def kmeans_sql(points: str, k: int, steps: int) -> str:
+    """Statements for a table members (id, c) of points (id, v): far starts and Lloyd's steps, written out."""
+    away = "round(list_distance(pt.v, c.v), 9)"
+    out = [f"pt AS MATERIALIZED (SELECT id, v FROM {points})", "far0 AS MATERIALIZED (SELECT 0 AS c, v FROM pt ORDER BY id LIMIT 1)"]
+    for j in range(1, k):
+        farthest = f"SELECT pt.id, any_value(pt.v) AS v, min({away}) AS d FROM pt, far{j - 1} c GROUP BY pt.id"
+        out.append(f"far{j} AS MATERIALIZED (SELECT c, v FROM far{j - 1} UNION ALL (SELECT {j}, v FROM ({farthest}) WHERE d > 0 ORDER BY d DESC, id LIMIT 1))")
+    nearest_to = "(SELECT pt.id, pt.v, c.c FROM pt, {} c QUALIFY row_number() OVER (PARTITION BY pt.id ORDER BY " + away + ", c.c) = 1)"
+    now = f"far{k - 1}"
+    for s in range(steps):
+        places = f"SELECT c, unnest(range(len(v))) AS pos, unnest(v) AS x FROM {nearest_to.format(now)}"
+        mean = f"SELECT c, list(x ORDER BY pos) AS v FROM (SELECT c, pos, avg(x) AS x FROM ({places}) GROUP BY c, pos) GROUP BY c"
+        out.append(f"step{s} AS MATERIALIZED (SELECT c, coalesce(m.v, o.v) AS v FROM {now} o LEFT JOIN ({mean}) m USING (c))")
+        now = f"step{s}"
+    return ", ".join([*out, f"members AS (SELECT id, c FROM {nearest_to.format(now)})"])
+
+
+@query("v8_kmeans_clusters", f"WITH {kmeans_sql(V, 10, 6)} SELECT c::INTEGER AS cluster, count(*) AS n, min(id) AS first FROM members GROUP BY c")
 def _(spark, sf):
-    return learning.kmeans_clusters(_vectors(spark, sf), 10).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    members = learning.kmeans_clusters(_vectors(spark, sf).select("id", "vector"), 10, 6)
+    return members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
 
 
 @query("v9_text_clusters")
@@ -242,6 +260,56 @@ def _(spark, sf):
     return retrieval.graph_retrieval(cut_lineage(queries, "queries"), cut_lineage(documents, "index"), edges, 20)
 
 
+#: Passages of 20 words of the later turns of a conversation, each in its conversation; the first turn asks.
+ITEM_SQL = f"""w AS (SELECT conv_id, conv_id || '/' || turn AS key, {WORDS} AS words FROM conversations WHERE turn > 0),
+    d AS (SELECT conv_id, key || '/' || chunk AS doc, words[chunk * 20 + 1 : chunk * 20 + 20] AS words
+      FROM (SELECT conv_id, key, unnest(range((len(words) + 19) // 20)) AS chunk, words FROM w)),
+    q AS (SELECT conv_id, conv_id AS query, {WORDS} AS words FROM conversations WHERE turn = 0),
+    dt AS (SELECT conv_id, doc, term, count(*) AS tf FROM (SELECT conv_id, doc, unnest(words) AS term FROM d) GROUP BY ALL),
+    idf AS (SELECT conv_id, term, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf
+      FROM dt JOIN (SELECT conv_id, count(*) AS n FROM d GROUP BY conv_id) USING (conv_id) GROUP BY conv_id, term),
+    dr AS (SELECT conv_id, doc, term, tf * idf AS w FROM dt JOIN idf USING (conv_id, term)),
+    dn AS (SELECT conv_id, doc, sqrt(sum(w * w)) AS n FROM dr GROUP BY ALL), dw AS (SELECT conv_id, doc, term, w / n AS w FROM dr JOIN dn USING (conv_id, doc)),
+    qr AS (SELECT conv_id, term, count(*) * any_value(idf) AS w FROM (SELECT conv_id, unnest(words) AS term FROM q) JOIN idf USING (conv_id, term) GROUP BY ALL),
+    qn AS (SELECT conv_id, sqrt(sum(w * w)) AS n FROM qr GROUP BY ALL), qw AS (SELECT conv_id, term, w / n AS w FROM qr JOIN qn USING (conv_id)),
+    score AS (SELECT conv_id, doc, round(sum(dw.w * qw.w), 9) AS score FROM dw JOIN qw USING (conv_id, term) GROUP BY ALL)"""
+
+
+def _walk_sql(k: int, edges: str) -> str:
+    """Statements for a table walk (conv_id, round, found, last): the rounds of each item as lists. `edges` has (conv_id, src, dst)."""
+    sizes = list(retrieval.ROUND_SIZES)
+    best = f"SELECT conv_id, list(doc ORDER BY score DESC, doc)[1:{min(sizes[0], k)}] AS l FROM score GROUP BY conv_id"
+    step = f"""SELECT w.conv_id, w.round + 1 AS round, any_value(w.found) AS found,
+        list(DISTINCT {{'s': -coalesce(s.score, 0), 'd': e.dst}}) AS fresh, least({sizes}[any_value(w.round) + 2], {k} - len(any_value(w.found))) AS room
+      FROM (SELECT *, unnest(last) AS src FROM walk WHERE round + 1 < {len(sizes)}) w JOIN {edges} e ON e.conv_id = w.conv_id AND e.src = w.src
+      LEFT JOIN score s ON s.conv_id = w.conv_id AND s.doc = e.dst WHERE NOT list_contains(w.found, e.dst) GROUP BY w.conv_id, w.round"""
+    cut = f"SELECT conv_id, round, found, list_transform(list_sort(fresh)[1:room], lambda x: x.d) AS last FROM ({step}) WHERE room > 0"
+    return f"walk AS (SELECT conv_id, 0 AS round, l AS found, l AS last FROM ({best}) UNION ALL SELECT conv_id, round, list_concat(found, last), last FROM ({cut}))"
+
+
+@query(
+    "v13_item_retrieval",
+    f"""WITH RECURSIVE {ITEM_SQL}, x AS (SELECT doc, array_to_string(words, ' ') AS text FROM d),
+    v AS (SELECT conv_id, id, v FROM {word_vectors_sql('x', 'doc', 64)} JOIN d ON d.doc = id),
+    e AS (SELECT a.conv_id, a.id AS src, b.id AS dst FROM v a JOIN v b ON a.conv_id = b.conv_id AND a.id <> b.id
+      QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY round({COSINE}, 9) DESC, b.id) <= 3),
+    {_walk_sql(20, 'e')}
+    SELECT conv_id AS query, unnest(last) AS doc, round::INTEGER AS round, unnest(range(1, len(last) + 1))::INTEGER AS rank FROM walk""",
+)
+def _(spark, sf):
+    turns = table(spark, sf, "conversations")
+    keyed = turns.where("turn > 0").withColumn("key", F.concat_ws("/", "conv_id", "turn"))
+    chunks = retrieval.word_chunks(keyed, "key", tx.words(F.col("text")), 20).join(keyed.select("key", "conv_id"), "key")
+    passages = cut_lineage(chunks.select("conv_id", F.concat_ws("/", "key", "chunk").alias("doc"), "words"), "passages")
+    documents, terms = retrieval.weighted_documents(passages, "doc", F.col("words"), by="conv_id")
+    asked = turns.where("turn = 0").select("conv_id", F.col("conv_id").alias("query"), "text")
+    queries = retrieval.weighted_queries(asked, "query", tx.words(F.col("text")), terms)
+    vectors = encoders.word_vectors(passages, "doc", F.col("words"), 64).withColumnRenamed("doc", "id")
+    items = cut_lineage(vectors.join(passages.select(F.col("doc").alias("id"), "conv_id"), "id"), "vectors")
+    edges = cut_lineage(nearest.knn_graph_by(items, "conv_id", 3).select("src", "dst"), "edges")
+    return retrieval.graph_retrieval(queries, documents, edges, 20)
+
+
 @query(
     "v14_index_round_trip",
     f"""WITH t AS {top_sql(DOT, 3)} SELECT query, id, score, rank FROM t""",

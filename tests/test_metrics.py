@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from corpuskit.functions import stems
 from corpuskit.operators import metrics
 
 
@@ -46,6 +48,38 @@ def test_multi_label(spark):
     assert out["f1_class_1"] == 1.0 and out["f1"] == pytest.approx(5 / 6)
 
 
+# Published examples of the algorithm, and words that pass each of its steps.
+STEMS = (
+    "caresses:caress ponies:poni ties:ti caress:caress cats:cat feed:feed agreed:agre plastered:plaster bled:bled motoring:motor sing:sing "
+    "conflated:conflat troubled:troubl sized:size hopping:hop tanned:tan falling:fall hissing:hiss fizzed:fizz failing:fail filing:file "
+    "happy:happi sky:sky relational:relat conditional:condit rational:ration valenci:valenc hesitanci:hesit digitizer:digit "
+    "conformabli:conform radicalli:radic differentli:differ vileli:vile analogousli:analog vietnamization:vietnam predication:predic "
+    "operator:oper feudalism:feudal decisiveness:decis hopefulness:hope callousness:callous formaliti:formal sensitiviti:sensit "
+    "sensibiliti:sensibl triplicate:triplic formative:form formalize:formal electriciti:electr electrical:electr hopeful:hope goodness:good "
+    "revival:reviv allowance:allow inference:infer airliner:airlin gyroscopic:gyroscop adjustable:adjust defensible:defens irritant:irrit "
+    "replacement:replac adjustment:adjust dependent:depend adoption:adopt homologou:homolog communism:commun activate:activ angulariti:angular "
+    "homologous:homolog effective:effect bowdlerize:bowdler probate:probat rate:rate cease:ceas controll:control roll:roll "
+    "yes:ye youth:youth enjoy:enjoi toying:toi generalizations:gener oscillators:oscil"
+)
+
+
+def test_stems(spark):
+    pairs = [p.split(":") for p in STEMS.split()]
+    df = spark.createDataFrame([(a, b) for a, b in pairs] + [("is", "is"), ("a1", "a1"), ("", "")], "token string, want string")
+    assert {(r["token"], r["stem"]) for r in stems.stemmed(df).collect()} == {(r["token"], r["want"]) for r in df.collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE words AS SELECT unnest($1) AS token", [[a for a, _ in pairs]])
+    assert set(con.execute(f"SELECT token, stem FROM {stems.stemmed_sql('words')}").fetchall()) == {tuple(p) for p in pairs}
+
+
+def test_rouge_over_stems(spark):
+    rows = [(1, "the running dogs", "dog runs the"), (2, None, ""), (3, "cats", "cat")]
+    df = spark.createDataFrame(rows, "k int, p string, r string")
+    table = {r["k"]: (r["pred"], r["ref"]) for r in metrics.rouge_table(df, ["k"], "p", "r", stem=True).collect()}
+    assert table == {1: (["the", "run", "dog"], ["dog", "run", "the"]), 2: ([], []), 3: (["cat"], ["cat"])}
+    assert {r["k"]: r["score"] for r in metrics.rouge_n(df, ["k"], "p", "r", 1, stem=True).collect()} == {1: 1.0, 2: 0.0, 3: 1.0}
+
+
 def test_rouge(spark):
     rows = [(1, "The cat sat on the mat", "the cat the cat"), (2, "same text", "same text"), (3, "", "x"), (4, "a", "b")]
     df = spark.createDataFrame(rows, "k int, p string, r string")
