@@ -6,6 +6,7 @@ work, resume) is DataFrame work and happens before or after.
 
 from __future__ import annotations
 
+import functools
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -25,46 +26,61 @@ RESULT = "result string, status string, attempts int, error string"
 
 @dataclass(frozen=True)
 class CallPolicy:
-    """How one task calls: threads at once, calls per second (None: no limit), tries per row."""
+    """How one task calls: threads at once, calls per second (None: no limit), tries per row.
+
+    Only errors of the types `retry_on` are tried again, after `wait` seconds and twice as long each time; others fail at once.
+    """
 
     concurrency: int = 4
     per_second: float | None = None
     tries: int = 3
+    retry_on: tuple[type[Exception], ...] = (Exception,)
+    wait: float = 0.0
 
 
-def _attempt(fn: Callable[[str], str], text: str, tries: int) -> tuple[str | None, str, int, str | None]:
-    error = None
-    for attempt in range(1, tries + 1):
+def _attempt(call: Callable[[], str], policy: CallPolicy) -> tuple[str | None, str, int, str | None]:
+    error, attempt = None, 0
+    while attempt < policy.tries:
+        if attempt and policy.wait:
+            time.sleep(policy.wait * 2 ** (attempt - 1))
+        attempt += 1
         try:
-            return fn(text), "ok", attempt, None
+            return call(), "ok", attempt, None
         except Exception as e:  # the error text is data: it goes into the result row
             error = f"{type(e).__name__}: {e}"
-    return None, "failed", tries, error
+            if not isinstance(e, policy.retry_on):
+                break
+    return None, "failed", attempt, error
 
 
-def call_rows(df: DataFrame, key: str, text: str, fn: Callable[[str], str], policy: CallPolicy = CallPolicy()) -> DataFrame:
+def call_rows(
+    df: DataFrame, key: str, text: str, fn: Callable[..., str], policy: CallPolicy = CallPolicy(), endpoint: str | None = None
+) -> DataFrame:
     """(key, result, status, attempts, error) for every row. A failing call is a row, not a failed job.
 
     The rate holds per task, so the total rate is `per_second` times the tasks that run at once: set the number of
-    partitions to the concurrency the service allows. Evaluate the result once: write it before using it twice.
+    partitions to the concurrency the service allows. With an `endpoint` column, `fn` gets the text and the endpoint, all rows of an
+    endpoint are one task, and the rate holds per endpoint on the whole cluster. Evaluate the result once: write it before using it twice.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(policy.concurrency) as pool:
-            due = time.monotonic()
+            due: dict = {}  # when an endpoint may be called next
             for batch in batches:
                 futures = []
-                for value in batch[text]:
+                for value, place in zip(batch[text], batch[endpoint] if endpoint else [None] * len(batch), strict=True):
                     if policy.per_second:
-                        time.sleep(max(0.0, due - time.monotonic()))
-                        due = max(due, time.monotonic()) + 1.0 / policy.per_second
-                    futures.append(pool.submit(_attempt, fn, value, policy.tries))
+                        time.sleep(max(0.0, due.get(place, 0.0) - time.monotonic()))
+                        due[place] = max(due.get(place, 0.0), time.monotonic()) + 1.0 / policy.per_second
+                    arguments = (value,) if endpoint is None else (value, place)
+                    futures.append(pool.submit(_attempt, functools.partial(fn, *arguments), policy))
                 out = pd.DataFrame([f.result() for f in futures], columns=["result", "status", "attempts", "error"])
                 out.insert(0, key, batch[key].to_numpy())
                 yield out
 
     key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInPandas(run, f"{key} {key_type}, {RESULT}")
+    asked = df.select(key, text) if endpoint is None else df.select(key, text, endpoint).repartition(endpoint)
+    return asked.mapInPandas(run, f"{key} {key_type}, {RESULT}")
 
 
 def _existing(df: DataFrame, path: str) -> DataFrame | None:

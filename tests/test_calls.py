@@ -24,6 +24,29 @@ def test_failures_are_rows(spark):
     assert out == {1: ("GOOD ONE", "ok", 1, None), 2: (None, "failed", 3, "ValueError: no")}
 
 
+def test_chosen_errors_are_tried_again(spark):
+    def fn(text: str) -> str:
+        raise KeyError("gone") if text.startswith("gone") else TimeoutError("slow")
+
+    df = spark.createDataFrame([(1, "gone for good"), (2, "slow one")], "id int, t string")
+    policy = calls.CallPolicy(tries=3, retry_on=(TimeoutError,), wait=0.2)
+    start = time.monotonic()
+    out = {r["id"]: (r["status"], r["attempts"]) for r in calls.call_rows(df, "id", "t", fn, policy).collect()}
+    assert out == {1: ("failed", 1), 2: ("failed", 3)} and time.monotonic() - start >= 0.6
+
+
+def test_rate_per_endpoint(spark):
+    def fn(text: str, endpoint: int) -> str:
+        return f"{endpoint} {time.time()}"
+
+    df = spark.range(12).select("id", F.lit("some text").alias("t"), (F.col("id") % 2).alias("endpoint")).repartition(6)
+    policy = calls.CallPolicy(per_second=5, concurrency=1)
+    results = [r["result"].split() for r in calls.call_rows(df, "id", "t", fn, policy, endpoint="endpoint").collect()]
+    for endpoint in ("0", "1"):
+        times = sorted(float(t) for e, t in results if e == endpoint)
+        assert len(times) == 6 and all(b - a >= 0.15 for a, b in zip(times, times[1:], strict=False))
+
+
 def test_rate_per_task(spark):
     df = spark.range(6).select("id", F.lit("some text").alias("t")).coalesce(1)
     calls.call_rows(df.limit(1), "id", "t", shout).collect()
