@@ -44,12 +44,19 @@ def _values(pairs: list[tuple[str, str]]) -> str:
     return f"(SELECT sha256({_canonical('t')}) AS digest, min(n) AS license FROM (VALUES {rows}) AS k(n, t) GROUP BY 1)"
 
 
+def _known() -> str:
+    """Digests of whole texts: of those at hand and of those known by their digests alone."""
+    rows = ", ".join(f"('{n}', '{d}')" for n, d in licenses.DIGESTS)
+    return f"""(SELECT digest, min(license) AS license FROM (SELECT * FROM {_values(licenses.TEXTS + licenses.NOTICES)}
+  UNION ALL SELECT d, n FROM (VALUES {rows}) AS k(n, d)) GROUP BY digest)"""
+
+
 OP6 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 lines AS (SELECT r, i, string_split(text, chr(10))[i] AS line FROM d, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i)),
 notices AS (SELECT r, string_agg(license, ',' ORDER BY i) AS notices FROM lines JOIN {_values(licenses.NOTICES)} k
   ON sha256({_canonical('line')}) = k.digest WHERE regexp_matches(line, 'licen[cs]e', 'i') GROUP BY r)
 SELECT doc_id, sha256({_canonical('text')}) AS text_digest, k.license, coalesce(notices, '') AS notices
-FROM d LEFT JOIN {_values(licenses.TEXTS + licenses.NOTICES)} k ON sha256({_canonical('text')}) = k.digest LEFT JOIN notices USING (r)"""
+FROM d LEFT JOIN {_known()} k ON sha256({_canonical('text')}) = k.digest LEFT JOIN notices USING (r)"""
 
 
 def _record(html: str) -> str:

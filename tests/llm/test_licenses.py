@@ -1,8 +1,15 @@
 from __future__ import annotations
 
-from corpuskit.llm import licenses
+import os
+
+import duckdb
+
+from corpuskit.llm import licenses, queries
+from corpuskit.llm.sql import OP6
 from tests.llm import cases
 
+COMMON = "/usr/share/common-licenses"
+
 
 def scanned(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -109,3 +116,14 @@ def test_bsd_texts(spark):
     titled = [f"BSD {n}-Clause License\n\n{notice}{t}" for n, ts in ((2, two), (3, three)) for t in ts]
     got = scanned(spark, [*two, *three, *[notice + t for t in two + three], *titled])
     assert [got[i]["license"] for i in range(12)] == ["BSD-2-Clause", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause"] * 3
+
+
+def test_sql_knows_the_digests_too(spark, tmp_path):
+    texts = [(name, open(f"{COMMON}/{name}", encoding="utf-8").read()) for name in ("Apache-2.0", "GPL-2", "BSD") if os.path.exists(f"{COMMON}/{name}")]
+    rows = [(i, t) for i, (_, t) in enumerate(texts)] + [(90, None), (91, "no licence"), (92, licenses.TEXTS[0][1])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in queries.op6(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(con.execute(OP6).fetchall()) == got
+    assert {r[0] for r in got if r[2]} == {92, *range(len(texts))}
