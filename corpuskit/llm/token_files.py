@@ -18,18 +18,21 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpuskit.llm import codes
+from corpuskit.llm.bpe import ragged
 from corpuskit.llm.frames import partitions, whole
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SEGMENT_TOKENS = 1 << 18
 REMEMBERED = 1_000_000  # words a worker remembers before it starts anew
+PIECE_BYTES = 4 << 20  # of text encoded at a time
 MARKS = b".,!?;:"
 LONGEST = 48  # bytes of a word that is remembered
 
@@ -48,9 +51,20 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+class Memory:
+    """Words that a worker has met: their ids lie one after the other. `parts` holds the ids of their parts."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.parts = pa.array([], pa.string()), {}
+        self.ids, self.lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+
 @functools.cache
-def _memory(path: str) -> dict[bytes, bytes]:
-    return {}
+def _memory(path: str) -> Memory:
+    return Memory()
 
 
 def _as_bytes(ids: list[int]) -> bytes:
@@ -94,36 +108,62 @@ def _encoded_parts(engine: Tokenizer, path: str, parts: list[bytes]) -> dict[byt
     return out | {parts[i]: _as_bytes(e.ids) for i, e in zip(alone, coded, strict=True)}
 
 
-def encode_all(texts: list[str], path: str, end_id: int) -> list[bytes]:
-    """Ids of each text as little-endian numbers of four bytes. The tokenizer drops white space and never joins what it separates,
-    so words that ASCII blanks separate are encoded by themselves, and of each word its parts."""
-    engine, known = tokenizer(path), _memory(path)
-    if len(known) > REMEMBERED:
-        known.clear()
-    split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-    words = [w for w in set().union(*split) if w not in known]
-    parts = [parts_of(w) for w in words]
-    new = [p for p in {p for pair in parts for p in pair} if p not in known]
+def _coded(engine: Tokenizer, path: str, words: list[bytes], known: dict[bytes, bytes]) -> list[bytes]:
+    """Ids of each word, put together from its parts; `known` remembers parts."""
+    pairs = [parts_of(w) for w in words]
+    new = [p for p in {p for pair in pairs for p in pair} if p not in known]
     known.update(_encoded_parts(engine, path, new))
-    known.update((w, known[core] + known[marks]) for w, (core, marks) in zip(words, parts, strict=True))
-    end = _as_bytes([end_id])
-    out = [b"".join(map(known.__getitem__, own)) + end for own in split]
-    for w in (*words, *new):
-        if len(w) > LONGEST:
-            known.pop(w, None)
+    out = [known[core] + known[marks] for core, marks in pairs]
+    for p in new:
+        if len(p) > LONGEST:
+            del known[p]
     return out
 
 
-def _pieces(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
-    held, n = [], 0
-    for t in texts:
-        held.append(t)
-        n += len(t)
-        if n >= size:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def encode_all(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
+    """Ids of each text as little-endian numbers of four bytes. The tokenizer drops white space and never joins what it separates,
+    so words that ASCII blanks separate are encoded by themselves, and of each word its parts.
+
+    Arrow cuts the texts, numbers their words and finds those that are remembered; only new words are handled one by one, and ids are
+    put together by number.
+    """
+    memory = _memory(path)
+    if len(memory.words) > REMEMBERED or len(memory.parts) > REMEMBERED:
+        memory.clear()
+    lists = pc.ascii_split_whitespace(texts)
+    numbered = lists.flatten().dictionary_encode()
+    place = pc.index_in(numbered.dictionary, value_set=memory.words)
+    fresh = numbered.dictionary.filter(pc.is_null(place))
+    coded = _coded(tokenizer(path), path, fresh.cast(pa.binary()).to_pylist(), memory.parts)
+    new_ids, new_lengths = np.frombuffer(b"".join(coded), "<u4"), np.array([len(c) // 4 for c in coded], np.int64)
+    # Remembered words, new ones, and the end of a text as one more word.
+    ids = np.concatenate([memory.ids, new_ids, np.array([end_id], "<u4")])
+    lengths = np.concatenate([memory.lengths, new_lengths, [1]])
+    starts = np.cumsum(lengths) - lengths
+    at = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    at[at < 0] = len(memory.words) + np.arange(len(fresh))
+    bounds = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+    order = np.insert(at[numbered.indices.to_numpy(zero_copy_only=False)], bounds, len(lengths) - 1)
+    raw = ragged(ids, starts[order], lengths[order]).tobytes()
+    ends = 4 * np.cumsum(lengths[order])[bounds + np.arange(len(bounds))]
+    short = pc.less_equal(pc.binary_length(fresh), LONGEST)
+    kept = short.to_numpy(zero_copy_only=False)
+    own = starts[len(memory.words) : -1]
+    memory.ids = np.concatenate([memory.ids, ragged(ids, own[kept], new_lengths[kept])])
+    memory.lengths = np.concatenate([memory.lengths, new_lengths[kept]])
+    memory.words = pa.concat_arrays([memory.words, fresh.filter(short)])
+    return [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+
+def _pieces(texts: pa.Array, size: int = PIECE_BYTES) -> Iterator[pa.Array]:
+    first, held = 0, 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        held += n
+        if held >= size:
+            yield texts.slice(first, i + 1 - first)
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield texts.slice(first)
 
 
 def encoded(df: DataFrame, doc_id: str, text: str, path: str, end_id: int) -> DataFrame:
@@ -131,7 +171,7 @@ def encoded(df: DataFrame, doc_id: str, text: str, path: str, end_id: int) -> Da
 
     @F.arrow_udf(returnType="binary")
     def encode(texts: pa.Array) -> pa.Array:
-        return pa.array([ids for piece in _pieces(texts.to_pylist()) for ids in encode_all(piece, path, end_id)], pa.binary())
+        return pa.array([ids for piece in _pieces(texts) for ids in encode_all(piece, path, end_id)], pa.binary())
 
     return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), encode(whole(df, text)).alias("tokens"))
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
     engine = token_files.tokenizer(token_files.TOKENIZER)
     for text in ("one two three four five", "six seven one", "w" * 100, ""):
-        (ids,) = token_files.encode_all([text], token_files.TOKENIZER, 2)
+        (ids,) = token_files.encode_all(pa.array([text]), token_files.TOKENIZER, 2)
         assert list(np.frombuffer(ids, "<u4")) == [*engine.encode(text, add_special_tokens=False).ids, 2]
 
 
