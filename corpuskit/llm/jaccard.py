@@ -37,7 +37,7 @@ from corpuskit.llm.components import roots
 from corpuskit.llm.frames import bounded_batches, partitions, whole
 from corpuskit.session import cut_lineage
 
-SAMPLES = (0.3, 0.5)  # shares of the tokens that come first in the first and the third order
+SAMPLES = (0.4, 0.5)  # shares of the tokens that come first in the first and the third order
 FEW_MEMBERS = 64  # sets of a token up to which they are paired as they stand
 CELL_TOKENS = 1 << 18  # in one block of a cell
 FEW_ROWS = 500_000  # ids up to which a list of them is broadcast, about 30 MB
@@ -276,17 +276,20 @@ def components(
     hashes = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")]
     marked = docs.select("doc_id", *hashes, _marks(F.col("text"), shingle).alias("m")).select("doc_id", "h1", "h2", "m.*")
     rows = cut_lineage(marked.withColumn("id", F.monotonically_increasing_id()), "marked")
-    sets = rows.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node"), F.min("doc_id").alias("least"))
+    sets = rows.filter("n > 0").groupBy("digest").agg(F.min("id").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     sets = cut_lineage(sets, "sets")
 
-    # First order: all distinct sets.
-    own = rows.filter("n > 0").select(F.col("id").alias("node"), "n", "tokens", "h1", "h2").join(sets.select("node"), "node", "left_semi")
-    first = prefixes(own)
+    # First order: all distinct sets. Rows that repeat a set are named and left out, so that tokens stay where they are while those are few.
+    again = rows.select("id", "digest").join(sets.filter("copies > 1").select("digest", "node"), "digest").filter("id != node")
+    again = _few(cut_lineage(again.select(F.col("id").alias("node")), "again"))
+    first = prefixes(rows.filter("n > 0").select(F.col("id").alias("node"), "n", "tokens").join(again, "node", "left_anti"))
     # The whole sets of those that are left, from one text of each.
-    wanted = rows.join(first.select(F.col("node").alias("id")), "id").select(F.col("id").alias("node"), "n", "h1", "h2")
-    wanted = _few(cut_lineage(wanted, "wanted"))
-    texts = docs.select("text", *hashes).join(wanted, ["h1", "h2"]).select("node", "n", _sets(F.col("text"), shingle).alias("m"))
-    held = cut_lineage(texts.select("node", "n", "m.*").dropDuplicates(["node"]), "held")
+    wanted = rows.join(first.select(F.col("node").alias("id")), "id").select(F.col("id").alias("node"), "n", "h1", "h2", F.col("doc_id").alias("of"))
+    wanted = cut_lineage(wanted, "wanted")
+    texts = docs.select("doc_id", "text", *hashes).join(_few(wanted), ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("of")))
+    held = cut_lineage(texts.select("node", "n", _sets(F.col("text"), shingle).alias("m")).select("node", "n", "m.*"), "held")
+    if held.count() > wanted.count():  # rows that repeat both id and text
+        held = cut_lineage(held.dropDuplicates(["node"]), "held")
     # Second and third order, over what the order before has left.
     second = prefixes(held)
     still = held.join(second.select("node"), "node", "left_semi")
