@@ -32,7 +32,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SEGMENT_TOKENS = 1 << 18
 REMEMBERED = 1_000_000  # words a worker remembers before it starts anew
-PIECE_BYTES = 4 << 20  # of text encoded at a time
+REMEMBERED_PARTS = 250_000
+PIECE_BYTES = 2 << 20  # of text encoded at a time
 MARKS = b".,!?;:"
 LONGEST = 48  # bytes of a word that is remembered
 
@@ -128,8 +129,10 @@ def encode_all(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
     put together by number.
     """
     memory = _memory(path)
-    if len(memory.words) > REMEMBERED or len(memory.parts) > REMEMBERED:
+    if len(memory.words) > REMEMBERED:
         memory.clear()
+    if len(memory.parts) > REMEMBERED_PARTS:
+        memory.parts.clear()
     lists = pc.ascii_split_whitespace(texts)
     numbered = lists.flatten().dictionary_encode()
     place = pc.index_in(numbered.dictionary, value_set=memory.words)
