@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions.binding import let
@@ -30,19 +30,19 @@ def bare_json(c: Column) -> Column:
     return strip(F.when(c.rlike(r"(?s)```.*?```"), inner).otherwise(c))
 
 
-def whole_variant(json: Column) -> Column:
-    """Variant of a text that is exactly one JSON object, else null."""
+def _wrapped(text: Column) -> Column:
+    """The outer object around a text that may be one JSON object, parsed."""
+    outer = F.concat(F.lit('{"v":'), text, F.lit(f',"{SENTINEL}":1}}'))
+    return F.when(F.startswith(text, F.lit("{")) & ~F.contains(text, F.lit(SENTINEL)), F.try_parse_json(outer))
 
-    def read(text: Column) -> Column:
-        wrapped = F.concat(F.lit('{"v":'), text, F.lit(f',"{SENTINEL}":1}}'))
-        plausible = F.startswith(text, F.lit("{")) & ~F.contains(text, F.lit(SENTINEL))
-        parsed = F.when(plausible, F.try_parse_json(wrapped))
-        return let(
-            parsed,
-            lambda p: F.when(F.try_variant_get(p, f"$.{SENTINEL}", "int") == 1, F.try_variant_get(p, "$.v", "variant")),
-        )
 
-    return let(json, read)
+def _unwrapped(parsed: Column) -> Column:
+    return F.when(F.try_variant_get(parsed, f"$.{SENTINEL}", "int") == 1, F.try_variant_get(parsed, "$.v", "variant"))
+
+
+def whole_variant(json: Column) -> Column:
+    """Variant of a text that is exactly one JSON object, else null."""
+    return let(json, lambda text: let(_wrapped(text), _unwrapped))
 
 
 def list_after_think(c: Column) -> Column:
@@ -88,43 +88,46 @@ class Field:
     hi: float | None = None
 
 
-def _field(raw: Column, field: Field) -> Column:
-    """Struct of the value and the error text, one of them null."""
-    present = raw.isNotNull() & ~F.is_variant_null(raw)
-    kind = F.schema_of_variant(raw)
+def _value(raw: Column, kind: Column, field: Field) -> Column:
+    """The field as its type, or null; `kind` is the schema of the raw value."""
     text_kind, list_kind = kind == "STRING", kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
     as_text, as_list = F.try_variant_get(raw, "$", "string"), F.try_variant_get(raw, "$", "array<string>")
     if field.kind == "text":
-        value = F.when(text_kind, as_text)
-    elif field.kind == "list":
-        value = F.when(list_kind, as_list)
-    elif field.kind == "text_or_list":
-        value = F.when(text_kind, F.array(as_text)).when(list_kind, as_list)
-    elif field.kind == "number":
+        return F.when(text_kind, as_text)
+    if field.kind == "list":
+        return F.when(list_kind, as_list)
+    if field.kind == "text_or_list":
+        return F.when(text_kind, F.array(as_text)).when(list_kind, as_list)
+    if field.kind == "number":
         numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
-        value = F.when(numeric, F.try_variant_get(raw, "$", "double"))
-    else:
-        raise ValueError(f"unknown kind {field.kind}")
+        return F.when(numeric, F.try_variant_get(raw, "$", "double"))
+    raise ValueError(f"unknown kind {field.kind}")
+
+
+def _error(raw: Column, value: Column, field: Field) -> Column:
+    """What is wrong with the field, or null."""
+    checks: list[tuple[Column, str]] = [(value.isNull(), "wrong type")]
+    if field.choices is not None:
+        known = F.array(*[F.lit(c) for c in field.choices])
+        named = F.array(value) if field.kind == "text" else value
+        checks.append((F.exists(named, lambda x: ~F.array_contains(known, x)), "not a choice"))
+    if field.lo is not None:
+        checks.append((value < field.lo, "too small"))
+    if field.hi is not None:
+        checks.append((value > field.hi, "too large"))
+    wrong = reduce(
+        lambda rest, check: F.when(check[0], F.lit(f"{field.name}: {check[1]}")).otherwise(rest),
+        reversed(checks),
+        F.lit(None).cast("string"),
+    )
     absent = F.lit(f"{field.name}: missing") if field.required else F.lit(None).cast("string")
+    return F.when(raw.isNotNull() & ~F.is_variant_null(raw), wrong).otherwise(absent)
 
-    def checked(v: Column) -> Column:
-        checks: list[tuple[Column, str]] = [(v.isNull(), "wrong type")]
-        if field.choices is not None:
-            known = F.array(*[F.lit(c) for c in field.choices])
-            named = F.array(v) if field.kind == "text" else v
-            checks.append((F.exists(named, lambda x: ~F.array_contains(known, x)), "not a choice"))
-        if field.lo is not None:
-            checks.append((v < field.lo, "too small"))
-        if field.hi is not None:
-            checks.append((v > field.hi, "too large"))
-        error = reduce(
-            lambda rest, check: F.when(check[0], F.lit(f"{field.name}: {check[1]}")).otherwise(rest),
-            reversed(checks),
-            F.lit(None).cast("string"),
-        )
-        return F.struct(v.alias("value"), F.when(present, error).otherwise(absent).alias("error"))
 
-    return let(value, checked)
+def _field(raw: Column, field: Field) -> Column:
+    """Struct of the value and the error text, one of them null."""
+    value = _value(raw, F.schema_of_variant(raw), field)
+    return let(value, lambda v: F.struct(v.alias("value"), _error(raw, v, field).alias("error")))
 
 
 def typed_record(c: Column, fields: Sequence[Field]) -> Column:
@@ -153,3 +156,24 @@ def typed_record(c: Column, fields: Sequence[Field]) -> Column:
         )
 
     return let(whole_variant(bare_json(c)), from_record)
+
+
+def with_typed_record(df: DataFrame, reply: Column, fields: Sequence[Field], name: str = "record") -> DataFrame:
+    """Add `typed_record` of a reply, one projection per step instead of nested functions.
+
+    A step is used several times by the next one, so Catalyst keeps the projections apart: each text is parsed once and each field
+    read once, inside generated code.
+    """
+    marks = range(len(fields))
+    parsed = df.withColumn("__json", bare_json(reply)).withColumn("__outer", _wrapped(F.col("__json")))
+    found = parsed.withColumn("__object", _unwrapped(F.col("__outer"))).drop("__json", "__outer")
+    raw = found.withColumns({f"__raw{i}": F.try_variant_get("__object", f"$.{fields[i].name}", "variant") for i in marks})
+    kinds = raw.withColumns({f"__kind{i}": F.schema_of_variant(f"__raw{i}") for i in marks})
+    values = kinds.withColumns({f"__value{i}": _value(F.col(f"__raw{i}"), F.col(f"__kind{i}"), fields[i]) for i in marks})
+    wrong = F.array_compact(F.array(*[_error(F.col(f"__raw{i}"), F.col(f"__value{i}"), fields[i]) for i in marks]))
+    broken = F.col("__object").isNull()
+    errors = values.withColumn("__errors", F.when(broken, F.array(F.lit("not one JSON object"))).otherwise(wrong))
+    record = F.struct(
+        (F.size("__errors") == 0).alias("valid"), F.col("__errors").alias("errors"), *[F.col(f"__value{i}").alias(fields[i].name) for i in marks]
+    )
+    return errors.select(*[F.col(c) for c in df.columns if c != name], record.alias(name))

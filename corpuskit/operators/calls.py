@@ -54,21 +54,32 @@ def _attempt(call: Callable[[], str], policy: CallPolicy) -> tuple[str | None, s
 
 
 def call_rows(
-    df: DataFrame, key: str, text: str, fn: Callable[..., str], policy: CallPolicy = CallPolicy(), endpoint: str | None = None
+    df: DataFrame,
+    key: str,
+    text: str,
+    fn: Callable[..., str],
+    policy: CallPolicy = CallPolicy(),
+    endpoint: str | None = None,
+    second: str | None = None,
 ) -> DataFrame:
     """(key, result, status, attempts, error) for every row. A failing call is a row, not a failed job.
 
     The rate holds per task, so the total rate is `per_second` times the tasks that run at once: set the number of
     partitions to the concurrency the service allows. With an `endpoint` column, `fn` gets the text and the endpoint, all rows of an
-    endpoint are one task, and the rate holds per endpoint on the whole cluster. Evaluate the result once: write it before using it twice.
+    endpoint are one task, and the rate holds per endpoint on the whole cluster. With a column `second` (as of `rows.call_slots`) rows are
+    taken in its order, and a call waits until that many seconds after its task began. Evaluate the result once: write it before using it twice.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(policy.concurrency) as pool:
             due: dict = {}  # when an endpoint may be called next
+            began = time.monotonic()
             for batch in batches:
-                futures = []
-                for value, place in zip(batch[text], batch[endpoint] if endpoint else [None] * len(batch), strict=True):
+                futures, nothing = [], [None] * len(batch)
+                asked = zip(batch[text], batch[endpoint] if endpoint else nothing, batch[second] if second else nothing, strict=True)
+                for value, place, slot in asked:
+                    if slot is not None:
+                        time.sleep(max(0.0, began + slot - time.monotonic()))
                     if policy.per_second:
                         time.sleep(max(0.0, due.get(place, 0.0) - time.monotonic()))
                         due[place] = max(due.get(place, 0.0), time.monotonic()) + 1.0 / policy.per_second
@@ -79,7 +90,11 @@ def call_rows(
                 yield out
 
     key_type = df.schema[key].dataType.simpleString()
-    asked = df.select(key, text) if endpoint is None else df.select(key, text, endpoint).repartition(endpoint)
+    asked = df.select(*dict.fromkeys(c for c in (key, text, endpoint, second) if c is not None))
+    if endpoint is not None:
+        asked = asked.repartition(endpoint)
+    if second is not None:
+        asked = asked.sortWithinPartitions(second)
     return asked.mapInPandas(run, f"{key} {key_type}, {RESULT}")
 
 

@@ -12,11 +12,18 @@ from corpuskit.operators import rows
 
 
 def padded_batches(df: DataFrame, key: str, ids: str, batch_size: int, multiple_of: int = 1, pad_id: int = 0) -> DataFrame:
-    """Pad each batch to its own longest row; the window holds `batch_size` rows and no more."""
-    batched = rows.chunked(df, key, batch_size, name="batch")
-    longest = F.max(F.size(ids)).over(Window.partitionBy("batch"))
-    sized = batched.withColumn("width", arrays.padded_length(longest, multiple_of))
-    return sized.select(
+    """Pad each batch to its own longest row; the window holds `batch_size` rows and no more.
+
+    Only keys and sizes are numbered and batched; the arrays meet their width in one join. A key that occurs twice fails the query.
+    """
+    sized = rows.chunked(df.select(key, F.size(ids).alias("__size")), key, batch_size, name="batch")
+    longest = F.max("__size").over(Window.partitionBy("batch"))
+    placed = sized.select(F.col(key).alias("__key"), "batch", arrays.padded_length(longest, multiple_of).alias("width"))
+    counted = placed.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.first("batch").alias("batch"), F.first("width").alias("width"))
+    twice = F.raise_error(F.concat(F.lit(f"{key} occurs twice: "), F.coalesce(F.col("__key").cast("string"), F.lit("null"))))
+    once = counted.where(F.when(F.col("__n") > 1, twice.cast("boolean")).otherwise(True)).drop("__n")
+    joined = df.drop("batch", "width").join(once, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+    return joined.select(
         "*",
         (F.col("width") - F.size(ids)).alias("padding"),
         arrays.pad_right(F.col(ids), F.col("width"), pad_id).alias("input_ids"),

@@ -170,7 +170,7 @@ TYPED_SQL = rf"""(WITH b AS (SELECT event_id, event_type, {strip_sql("CASE WHEN
       coalesce(array_to_string(label, '|'), '') AS label, coalesce(confidence, -1) AS confidence FROM {TYPED_SQL}""",
 )
 def _(spark, sf):
-    read = _records(spark, sf).select("event_id", parsing.typed_record(F.col("reply"), RECORD_FIELDS).alias("p"))
+    read = parsing.with_typed_record(_records(spark, sf), F.col("reply"), RECORD_FIELDS, "p")
     return read.select(
         "event_id",
         F.col("p.valid").cast("int").alias("valid"),
@@ -203,7 +203,7 @@ def _(spark, sf):
       round(count(*) FILTER (WHERE errors = '') / count(*), 6) AS rate FROM {TYPED_SQL} GROUP BY event_type""",
 )
 def _(spark, sf):
-    read = _records(spark, sf).select("event_type", parsing.typed_record(F.col("reply"), RECORD_FIELDS)["valid"].alias("valid"))
+    read = parsing.with_typed_record(_records(spark, sf), F.col("reply"), RECORD_FIELDS, "p").select("event_type", F.col("p.valid").alias("valid"))
     return read.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("valid").alias("valid"),

@@ -7,7 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from corpuskit.operators import calls
+from corpuskit.operators import calls, rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # Python workers cannot import test modules
 
@@ -47,6 +47,19 @@ def test_rate_per_endpoint(spark):
         assert len(times) == 6 and all(b - a >= 0.15 for a, b in zip(times, times[1:], strict=False))
 
 
+def test_calls_wait_for_their_second(spark):
+    def fn(text: str, endpoint: int) -> str:
+        return str(time.time())
+
+    slots = rows.call_slots(spark.range(12), "id", endpoints=2, per_second=3).withColumn("t", F.lit("some text")).repartition(5)
+    called = calls.call_rows(slots, "id", "t", fn, calls.CallPolicy(tries=1), endpoint="endpoint", second="second").collect()
+    at = {r["id"]: float(r["result"]) for r in called}
+    assert len(at) == 12
+    for endpoint in (0, 1):
+        early, late = [at[i] for i in range(6) if i % 2 == endpoint], [at[i] for i in range(6, 12) if i % 2 == endpoint]
+        assert max(early) - min(early) < 0.9 <= min(late) - min(early)
+
+
 def test_rate_per_task(spark):
     df = spark.range(6).select("id", F.lit("some text").alias("t")).coalesce(1)
     calls.call_rows(df.limit(1), "id", "t", shout).collect()
@@ -73,8 +86,8 @@ def _lines(path):
 
 def test_cached_calls_ask_once(spark, tmp_path):
     log, cache = tmp_path / "log", str(tmp_path / "cache")
-    rows = [(1, "alpha road"), (2, "alpha road"), (3, "short"), (4, None), (5, "bad street"), (6, "zeta road")]
-    df = spark.createDataFrame(rows, "id int, t string")
+    texts = [(1, "alpha road"), (2, "alpha road"), (3, "short"), (4, None), (5, "bad street"), (6, "zeta road")]
+    df = spark.createDataFrame(texts, "id int, t string")
     policy = calls.CallPolicy(tries=2)
     out = calls.cached_calls(df, "t", cache, _log(str(log)), quota=2, policy=policy)
     assert _lines(log) == ["alpha road", "bad street", "bad street"]

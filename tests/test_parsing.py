@@ -89,6 +89,9 @@ def test_typed_errors(spark):
     out = df.orderBy("i").select(parsing.typed_record(F.col("c"), fields).alias("p")).collect()
     for row, errors in zip(out, cases.values(), strict=True):
         assert row["p"]["errors"] == errors and row["p"]["valid"] == (not errors)
+    staged = parsing.with_typed_record(df.withColumn("p", F.lit(0)), F.col("c"), fields, "p")
+    assert staged.columns == ["i", "c", "p"]
+    assert [r["p"] for r in staged.orderBy("i").collect()] == [r["p"] for r in out]
 
 
 def test_lon_lat(spark):

@@ -82,6 +82,8 @@ def test_labels_and_padding(spark):
     assert shifted == {0: [6, 7, -100], 1: [], 2: [-100]}
     padded = {r["k"]: r for r in tokens.padded_batches(df, "k", "ids", batch_size=2, multiple_of=4).collect()}
     assert padded[0]["input_ids"] == [5, 6, 7, 0] and padded[1]["labels"] == [-100] * 4 and padded[2]["attention_mask"] == [1, 0, 0, 0]
+    with pytest.raises(Exception, match="k occurs twice: 2"):
+        tokens.padded_batches(df.unionByName(df.where("k = 2")), "k", "ids", batch_size=2).collect()
     cut = {r["k"]: r["ids"] for r in tokens.padded_to(df, "ids", 2).collect()}
     assert cut == {0: [5, 6], 1: [0, 0], 2: [9, 0]}
 
