@@ -1,7 +1,9 @@
 """Personal data: expressions propose spans, checksums confirm them, context words adjust the score.
 
-Base kinds (email, ip, card, phone) follow fixed definitions and are always reported. Two more kinds are reported only if
-they are sure enough: `iban` (mod-97 must hold) and `ssn` (no checksum exists, so it needs a context word nearby).
+Base kinds (email, ip, card, phone) follow fixed definitions and are always reported. Three more kinds are reported only if
+they are sure enough: `iban` (mod-97 must hold), `ssn` (no checksum exists, so it needs a context word before or behind it) and `secret`:
+access keys and tokens of published forms, armoured private keys, and values with letters and digits that are assigned to a name such as
+`password` (the name is their context).
 
 Null and empty texts have no spans. The work is one pass over the rows, without a shuffle; a text is read as a whole, and
 each search takes time in proportion to its length.
@@ -9,6 +11,7 @@ each search takes time in proportion to its length.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import pyarrow as pa
@@ -19,11 +22,11 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 from corpuskit.llm.frames import beside, whole
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn")
+KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
 THRESHOLD = 0.6  # spans of the added kinds need this score
-REACH = 48  # code points before a span that are searched for context words
+REACH = 48  # code points before and behind a span that are searched for context words
 
-PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.85, "ssn": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.85, "ssn": 0.4, "secret": 0.7}
 NEAR = 0.25
 CONTEXT = {
     "email": ("mail", "contact", "kontakt", "correo", "courriel"),
@@ -32,6 +35,7 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "telefon", "appel", "llamar"),
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social", "security", "taxpayer"),
+    "secret": ("key", "token", "secret", "password", "credential", "credentials", "api"),
 }
 _CONTEXT = {kind: re.compile(r"(?<![^\W\d_])(?:" + "|".join(words) + r")(?![^\W\d_])", re.I) for kind, words in CONTEXT.items()}
 
@@ -52,7 +56,20 @@ _IBAN_LENGTHS = {
 }
 _REST_OF = {country: n - 4 for n, countries in _IBAN_LENGTHS.items() for country in countries.split()}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+# The published forms of access keys and tokens.
+_KEY = re.compile(
+    r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[opsur]_[A-Za-z0-9]{36,}+|github_pat_[A-Za-z0-9_]{40,}+|glpat-[A-Za-z0-9_-]{20,}+"
+    r"|xox[abeoprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}+|sk-[A-Za-z0-9_-]{20,}+"
+    r"|eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)"
+)
+_ARMOUR = re.compile(r"-----BEGIN (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----")
+_ARMOUR_END = re.compile(r"-----END (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----")
+_ASSIGNED = re.compile(
+    r"""(?<![a-z0-9])(?:password|passwd|pwd|secret|(?:api|access|secret)[_-]?key|(?:access|auth)[_-]?token|token)["']?[ ]{0,3}[:=][ ]{0,3}["']?([^\s"',;]{8,}+)""",
+    re.I,
+)
 _DIGIT = re.compile("[0-9]")
+_LETTER = re.compile("[A-Za-z]")
 _MARKS = str.maketrans("", "", " -().+")
 
 SPAN = StructType(
@@ -105,6 +122,27 @@ def _ibans(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def _secrets(text: str) -> list[tuple[int, int]]:
+    """Keys of known forms and armoured keys (to the end of the text if the armour does not end), then assigned values apart from those."""
+    known, free = [], 0
+    for m in _ARMOUR.finditer(text):
+        if m.start() >= free:
+            end = _ARMOUR_END.search(text, m.end())
+            free = end.end() if end else len(text)
+            known.append((m.start(), free))
+    armoured = len(known)
+    found = known + [m.span() for m in _KEY.finditer(text) if not _inside(known, armoured, *m.span())]
+    found.sort()
+    values = [m.span(1) for m in _ASSIGNED.finditer(text) if _DIGIT.search(m[1]) and _LETTER.search(m[1])]
+    return sorted(found + [v for v in values if not _inside(found, len(found), *v)])
+
+
+def _inside(spans: list[tuple[int, int]], n: int, start: int, end: int) -> bool:
+    """Whether a span meets one of the first n, which are in order and apart."""
+    at = bisect.bisect_left(spans, (end, 0), 0, n)
+    return at > 0 and spans[at - 1][1] > start
+
+
 def _digits(text: str, start: int, end: int) -> str:
     return text[start:end].translate(_MARKS)
 
@@ -112,24 +150,26 @@ def _digits(text: str, start: int, end: int) -> str:
 def propose(text: str) -> list[tuple[str, int, int]]:
     """Confirmed spans (kind, start, end) in code points, end exclusive, by kind and then by start."""
     found = [("email", *span) for span in _emails(text)] if "@" in text else []
+    secrets = [("secret", *span) for span in _secrets(text)]
     if not _DIGIT.search(text):
-        return found
+        return found + secrets
     found += [("ip", *m.span()) for m in _IP.finditer(text) if all(int(x[-4:]) <= 255 and len(x.lstrip("0")) < 4 for x in m[0].split("."))]
     found += [("card", *m.span()) for m in _CARD.finditer(text) if 13 <= len(d := _digits(text, *m.span())) <= 19 and luhn(d)]
     if "+" in text:
         found += [("phone", *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_digits(text, *m.span())) <= 15]
     found += [("iban", *span) for span in _ibans(text)]
     found += [("ssn", *m.span()) for m in _SSN.finditer(text)]
-    return found
+    return found + secrets
 
 
-def score(text: str, kind: str, start: int) -> float:
-    near = _CONTEXT[kind].search(text[max(0, start - REACH) : start])
+def score(text: str, kind: str, start: int, end: int | None = None) -> float:
+    """How sure a span is; words behind it count where its end is given."""
+    near = _CONTEXT[kind].search(text[max(0, start - REACH) : start]) or (end is not None and _CONTEXT[kind].search(text[end : end + REACH]))
     return min(1.0, PRIOR[kind] + (NEAR if near else 0.0))
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, float]]:
-    scored = [(kind, start, end, score(text, kind, start)) for kind, start, end in propose(text)]
+    scored = [(kind, start, end, score(text, kind, start, end)) for kind, start, end in propose(text)]
     return [s for s in scored if s[0] in BASE_KINDS or s[3] >= THRESHOLD]
 
 
