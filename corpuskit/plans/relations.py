@@ -66,7 +66,7 @@ def _order_pairs(spark, sf):
     LEFT JOIN part x ON x.p_partkey = p.a LEFT JOIN part y ON y.p_partkey = p.b""",
 )
 def _(spark, sf):
-    distinct = _order_pairs(spark, sf).select("a", "b").distinct()
+    distinct = pairs.distinct_pairs(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
     return pairs.with_both_ends(distinct, table(spark, sf, "part"), "p_partkey", ["p_brand", "p_retailprice"])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions import permute
 from corpuskit.operators import lookups, pairs
+from corpuskit.session import PARTITIONS_KEY, cut_lineage
 
 
 def test_hot_group_in_blocks_equals_combinations(spark):
@@ -50,6 +51,22 @@ def test_both_in(spark):
     assert out == {("A", "B"): 1, ("A", "C"): 0}
 
 
+def test_more_pairs_are_more_partitions(spark, monkeypatch):
+    widest = []
+
+    def cut(df, name="stage"):
+        widest.append(int(spark.conf.get(PARTITIONS_KEY)))
+        return cut_lineage(df, name)
+
+    monkeypatch.setattr(pairs, "cut_lineage", cut)
+    before = spark.conf.get(PARTITIONS_KEY)
+    df = spark.range(0, 2_400_000, numPartitions=8).select(F.floor(F.col("id") / 8).alias("g"), (F.col("id") * 7 % 2_400_000).alias("m"))
+    counted = pairs.pair_counts(df, "g", "m")
+    assert counted.count() == 300_000 * 28 and widest[-1] >= 9, "8.4 million pairs are not left to the session's eight partitions"
+    assert pairs.distinct_pairs(df.where("g < 10"), "g", "m").count() == 280
+    assert spark.conf.get(PARTITIONS_KEY) == before
+
+
 def brute_shuffle(seed, key, n):
     a, b = permute.grid(n)
     digits = hashlib.md5(f"{seed}:{key}".encode()).hexdigest()
