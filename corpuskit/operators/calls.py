@@ -14,14 +14,16 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corpuskit.operators import rows
-from corpuskit.session import cut_lineage
+from corpuskit.session import cut_lineage, scratch_path
 from corpuskit.sources import files, keyed
 
 RESULT = "result string, status string, attempts int, error string"
+WAVE_BYTES = 64 << 20  # of an endpoint's texts that one task takes
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,7 @@ def call_rows(
     policy: CallPolicy = CallPolicy(),
     endpoint: str | None = None,
     second: str | None = None,
+    wave_bytes: int = WAVE_BYTES,
 ) -> DataFrame:
     """(key, result, status, attempts, error) for every row. A failing call is a row, not a failed job.
 
@@ -68,12 +71,66 @@ def call_rows(
     partitions to the concurrency the service allows. With an `endpoint` column, `fn` gets the text and the endpoint, all rows of an
     endpoint are one task, and the rate holds per endpoint on the whole cluster. With a column `second` (as of `rows.call_slots`) rows are
     taken in its order, and a call waits until that many seconds after its task began. Evaluate the result once: write it before using it twice.
+
+    Where an endpoint has more than `wave_bytes` of text, its rows are taken in waves, one after the other, each a job with one task per
+    endpoint whose results are written: the rate and the order hold, and no task reads more than a few times that.
     """
+    asked = df.select(*dict.fromkeys(c for c in (key, text, endpoint, second) if c is not None))
+    if endpoint is None:
+        return _called(asked, key, text, fn, policy, None, second)
+    waves = _waves(asked, text, endpoint, second, wave_bytes)
+    if (waves.agg(F.max(F.col("__wave") + F.col("__parts"))).first()[0] or 1) <= 1:
+        return _called(asked, key, text, fn, policy, endpoint, second)
+    place = [F.col(endpoint).eqNullSafe(F.col("__endpoint"))]
+    if second is None:
+        waves = F.broadcast(waves)  # a row per endpoint
+    else:
+        place.append(F.col(second).eqNullSafe(F.col("__second")))
+    part = F.pmod(F.xxhash64(key, text), F.col("__parts"))
+    path = scratch_path(df.sparkSession, "waves")
+    asked.join(waves, place).select(*asked.columns, (F.col("__wave") + part).alias("__wave")).write.partitionBy("__wave").parquet(path)
+    written = df.sparkSession.read.schema(StructType([*asked.schema.fields, StructField("__wave", LongType())])).parquet(path)
+    first = F.min(F.lit(None).cast("bigint") if second is None else F.col(second)).alias("base")
+    origin, out = 0.0, None
+    for row in written.groupBy("__wave").agg(first).orderBy("__wave").collect():
+        base, began = row["base"] or 0, time.time()
+        wave = written.where(F.col("__wave") == row["__wave"]).drop("__wave")
+        done = cut_lineage(_called(wave, key, text, fn, policy, endpoint, second, (origin, base)), "called")
+        origin = max(origin, began - base)
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
+def _waves(asked: DataFrame, text: str, endpoint: str, second: str | None, wave_bytes: int) -> DataFrame:
+    """(__endpoint, __second, __wave, __parts): the first wave of a second's rows, and into how many they are cut by hash. Later seconds have no earlier waves."""
+    at = F.lit(None).cast("bigint") if second is None else F.col(second)
+    size = F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 16).alias("__bytes")
+    sizes = cut_lineage(asked.groupBy(F.col(endpoint).alias("__endpoint"), at.alias("__second")).agg(size), "sizes")
+    before = F.sum("__bytes").over(Window.partitionBy("__endpoint").orderBy("__second").rowsBetween(Window.unboundedPreceding, -1))
+    wave = F.floor(F.coalesce(before, F.lit(0)) / wave_bytes).alias("__wave")
+    return cut_lineage(sizes.select("__endpoint", "__second", wave, F.ceil(F.col("__bytes") / wave_bytes).alias("__parts")), "plan")
+
+
+def _called(
+    asked: DataFrame,
+    key: str,
+    text: str,
+    fn: Callable[..., str],
+    policy: CallPolicy,
+    endpoint: str | None,
+    second: str | None,
+    wave: tuple[float, int] | None = None,
+) -> DataFrame:
+    """The calls of one wave, one task per endpoint. `wave` has the time at which second 0 was, at the earliest, and the wave's first second."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(policy.concurrency) as pool:
             due: dict = {}  # when an endpoint may be called next
             began = time.monotonic()
+            rest = 0.0  # the wave before ended with a call
+            if wave is not None:
+                began += max(wave[0] - time.time(), -wave[1])
+                rest = time.monotonic() + 1.0 / policy.per_second if policy.per_second else 0.0
             for batch in batches:
                 futures, nothing = [], [None] * len(batch)
                 asked = zip(batch[text], batch[endpoint] if endpoint else nothing, batch[second] if second else nothing, strict=True)
@@ -81,16 +138,15 @@ def call_rows(
                     if slot is not None:
                         time.sleep(max(0.0, began + slot - time.monotonic()))
                     if policy.per_second:
-                        time.sleep(max(0.0, due.get(place, 0.0) - time.monotonic()))
-                        due[place] = max(due.get(place, 0.0), time.monotonic()) + 1.0 / policy.per_second
+                        time.sleep(max(0.0, due.get(place, rest) - time.monotonic()))
+                        due[place] = max(due.get(place, rest), time.monotonic()) + 1.0 / policy.per_second
                     arguments = (value,) if endpoint is None else (value, place)
                     futures.append(pool.submit(_attempt, functools.partial(fn, *arguments), policy))
                 out = pd.DataFrame([f.result() for f in futures], columns=["result", "status", "attempts", "error"])
                 out.insert(0, key, batch[key].to_numpy())
                 yield out
 
-    key_type = df.schema[key].dataType.simpleString()
-    asked = df.select(*dict.fromkeys(c for c in (key, text, endpoint, second) if c is not None))
+    key_type = asked.schema[key].dataType.simpleString()
     if endpoint is not None:
         asked = asked.repartition(endpoint)
     if second is not None:

@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import sys
 import time
+from collections import Counter
 
 import pytest
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from corpuskit.operators import calls, rows
@@ -60,6 +61,28 @@ def test_calls_wait_for_their_second(spark):
         assert max(early) - min(early) < 0.9 <= min(late) - min(early)
 
 
+def test_an_endpoint_is_called_in_waves(spark):
+    """More text than a wave holds: smaller tasks one after the other, every row once, seconds and rate kept."""
+
+    def fn(text: str, endpoint: int) -> str:
+        task = TaskContext.get()
+        return f"{time.time()} {task.stageId()} {task.partitionId()}"
+
+    slots = rows.call_slots(spark.range(48), "id", endpoints=2, per_second=8).withColumn("t", F.repeat(F.lit("x"), 84))
+    called = calls.call_rows(slots, "id", "t", fn, calls.CallPolicy(tries=1, per_second=50), endpoint="endpoint", second="second", wave_bytes=500).collect()
+    assert sorted(r["id"] for r in called) == list(range(48)) and {r["status"] for r in called} == {"ok"}
+    tasks = Counter(tuple(r["result"].split()[1:]) for r in called)
+    assert len(tasks) >= 3 and max(tasks.values()) < 24, "no task has all rows of an endpoint"
+    at = {r["id"]: float(r["result"].split()[0]) for r in called}
+    for endpoint in (0, 1):
+        seconds = [[at[i] for i in range(endpoint, 48, 2) if i // 2 // 8 == s] for s in range(3)]
+        assert all(max(a) <= min(b) and min(b) - min(a) >= 0.9 for a, b in zip(seconds, seconds[1:], strict=False))
+        times = sorted(t for s in seconds for t in s)
+        assert all(b - a >= 0.015 for a, b in zip(times, times[1:], strict=False))
+    plain = calls.call_rows(slots, "id", "t", fn, calls.CallPolicy(), endpoint="endpoint", wave_bytes=500).collect()
+    assert sorted(r["id"] for r in plain) == list(range(48))
+
+
 def test_rate_per_task(spark):
     df = spark.range(6).select("id", F.lit("some text").alias("t")).coalesce(1)
     calls.call_rows(df.limit(1), "id", "t", shout).collect()
