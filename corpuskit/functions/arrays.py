@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,3 +55,18 @@ def padded_length(longest: Column, multiple_of: int = 1) -> Column:
 def masked_prefix(ids: Column, prefix_length: Column) -> Column:
     """Replace the ids before `prefix_length` by the ignored label."""
     return F.transform(ids, lambda x, i: F.when(i < prefix_length, F.lit(IGNORED_LABEL)).otherwise(x))
+
+
+def running_sums(numbers: Column) -> Column:
+    """For each number of an `array<int>` without nulls, the sum of the array up to it, in one pass."""
+
+    @F.arrow_udf(returnType="array<int>")
+    def sums(lists: pa.Array) -> pa.Array:
+        sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total = np.append(0, np.cumsum(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)))
+        ends = np.cumsum(sizes)
+        own = total[1:] - np.repeat(total[ends - sizes], sizes)
+        offsets = pa.array(np.append(0, ends).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(own.astype(np.int32)), mask=lists.is_null())
+
+    return sums(numbers)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import islice
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from corpuskit.functions import text as tx
 from corpuskit.functions.arrays import text_array
@@ -14,6 +18,8 @@ from corpuskit.functions.prompts import render
 from corpuskit.operators import rows
 from corpuskit.session import cut_lineage
 
+SWAP_ROWS = 256  # rows whose entities are Python strings at a time
+
 
 def typed_spans(raw: Column) -> Column:
     """`[[start, end, class], ...]` read as strings, with typed fields."""
@@ -133,33 +139,49 @@ def labels_by_class(entities: Column, schema: Sequence[str]) -> Column:
 
 def _successors(known: DataFrame, entity: str, label: str, seed: str) -> DataFrame:
     """(label, entity, replacement): the next entity of the same class and length in a seeded order."""
-    described = known.select(label, F.length(entity).alias("__len"), entity).distinct()
-    numbered = rows.index_by_draw(described, seed, entity, by=[label, "__len"], name="__i")
+    described = cut_lineage(known.select(label, F.length(entity).alias("__len"), entity).distinct(), "described")
+    numbered = cut_lineage(rows.index_by_draw(described, seed, entity, by=[label, "__len"], name="__i"), "numbered")
     sizes = described.groupBy(label, "__len").agg(F.count(F.lit(1)).alias("__n"))
     successor = numbered.join(sizes, [label, "__len"]).withColumn("__next", (F.col("__i") + 1) % F.col("__n"))
     target = numbered.select(label, "__len", F.col("__i").alias("__next"), F.col(entity).alias("replacement"))
     return successor.join(target, [label, "__len", "__next"]).select(label, entity, "replacement")
 
 
+@F.arrow_udf(returnType=StructType([StructField("swapped", IntegerType()), StructField("text", StringType())]))
+def _with_swaps(texts: pa.Array, entities: pa.Array, swaps: pa.Array) -> pa.Array:
+    """Texts with their entities replaced, each read once from start to end, and how many changed. Entities without a swap stay."""
+    changed, out = [], []
+    for first in range(0, len(texts), SWAP_ROWS):
+        lists = [x.slice(first, SWAP_ROWS) for x in (entities, swaps)]
+        sizes = [pc.list_value_length(x).fill_null(0).to_pylist() for x in lists]
+        placed, known = (zip(*(pc.struct_field(x.flatten(), i).to_pylist() for i in (0, 1)), strict=True) for x in lists)
+        for text, n, m in zip(texts.slice(first, SWAP_ROWS).to_pylist(), *sizes, strict=True):
+            to, pieces, end, n_changed = dict(islice(known, m)), [], 0, 0
+            for start, entity in islice(placed, n):
+                old = entity or ""
+                new = to.get(old, old)
+                pieces += (text[end:start], new)
+                n_changed += new != old
+                end = start + len(old)
+            changed.append(n_changed)
+            out.append("".join([*pieces, text[end:]]) if pieces else text)
+    return pa.StructArray.from_arrays([pa.array(changed, pa.int32()), pa.array(out, pa.string())], ["swapped", "text"])
+
+
 def all_entities_swapped(df: DataFrame, key: str, text: str, entities: str, label: str, seed: str) -> DataFrame:
     """Every entity of a text replaced by the next one of its class and length; adds `swapped`, how many of them changed.
 
     `entities` is an array of (start, entity) in the order of the text, without overlaps. Each distinct entity of a text is looked
-    up once; texts themselves are not multiplied. Rows without a class keep their text. `key` tells rows apart.
+    up once; texts themselves are not multiplied, and each is put together in one pass over it. Rows without a class keep their text. `key` tells rows apart.
     """
     own = df.select(F.struct(key).alias("__key"), F.col(label).alias("__label"), F.explode(F.array_distinct(F.col(entities)["entity"])).alias("__entity"))
     held = cut_lineage(own, "entities")
     swaps = cut_lineage(_successors(held.where(F.col("__label").isNotNull()), "__entity", "__label", seed), "swaps")
     named = held.join(swaps, ["__label", "__entity"]).groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("__entity", "replacement"))).alias("__swaps"))
     found = df.withColumn("__key", F.struct(key)).join(named, "__key", "left")
-    each = F.transform(entities, lambda e: F.struct(e["start"].alias("start"), e["entity"].alias("entity"), F.try_element_at("__swaps", e["entity"]).alias("to")))
-    found = found.withColumn("__each", each)
-    ends = F.transform("__each", lambda e: e["start"] + F.length(e["entity"]))
-    gaps = F.zip_with(F.concat(F.array(F.lit(0)), ends), F.concat(F.col("__each")["start"], F.array(F.length(text))), lambda a, b: F.substring(F.col(text), a + 1, b - a))
-    pieces = F.zip_with(gaps, "__each", lambda gap, e: F.concat(gap, F.coalesce(e["to"], e["entity"], F.lit(""))))
-    changed = F.size(F.filter("__each", lambda e: e["to"] != e["entity"]))
-    whole = F.when(F.size(entities) > 0, F.array_join(pieces, "")).otherwise(F.col(text))
-    return found.withColumn("swapped", F.greatest(changed, F.lit(0))).withColumn(text, whole).drop("__key", "__swaps", "__each")
+    placed = F.transform(entities, lambda e: F.struct(e["start"].alias("start"), e["entity"].alias("entity")))
+    found = found.withColumn("__new", _with_swaps(F.col(text), placed, F.map_entries("__swaps")))
+    return found.withColumn("swapped", F.col("__new.swapped")).withColumn(text, F.col("__new.text")).drop("__key", "__swaps", "__new")
 
 
 def entity_swaps(df: DataFrame, key: str, text: str, entity: str, start: str, label: str, seed: str) -> DataFrame:

@@ -367,10 +367,8 @@ def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text", F.regexp_extract_all("text", F.lit(long_word), F.lit(0)).alias("words"))
     # A word starts behind all gaps and words before it.
     gaps = F.slice(F.split("text", long_word, -1), F.lit(1), F.size("words"))
-    sizes = F.zip_with(F.transform(gaps, F.length), F.transform("words", F.length), lambda gap, word: F.struct(gap.alias("gap"), word.alias("word")))
-    starts = F.aggregate(sizes, F.struct(F.array().cast("array<int>").alias("all"), F.lit(0).alias("at")),
-        lambda acc, s: F.struct(F.concat(acc["all"], F.array(acc["at"] + s["gap"])).alias("all"), (acc["at"] + s["gap"] + s["word"]).alias("at")),
-        lambda acc: acc["all"])
-    found = docs.withColumn("found", F.zip_with(starts, "words", lambda start, word: F.struct(start.alias("start"), word.alias("entity"))))
+    ends = arrays.running_sums(F.zip_with(gaps, "words", lambda gap, word: F.length(gap) + F.length(word)))
+    starts = F.zip_with(ends, "words", lambda end, word: end - F.length(word))
+    found = docs.select("doc_id", "lang", "text", F.zip_with(starts, "words", lambda start, word: F.struct(start.alias("start"), word.alias("entity"))).alias("found"))
     swapped = annotations.all_entities_swapped(found, "doc_id", "text", "found", "lang", "swap")
-    return swapped.select("doc_id", F.size("words").alias("entities"), "swapped", "text")
+    return swapped.select("doc_id", F.size("found").alias("entities"), "swapped", "text")

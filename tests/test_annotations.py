@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
+from corpuskit.functions import arrays
 from corpuskit.operators import annotations, datasets
 
 SCHEMA = ["工程", "目标", "数值"]
@@ -123,3 +125,24 @@ def test_tuning_rows_hide_the_prompt(spark):
     df = spark.createDataFrame([(1, ["a", "b"], ["b"]), (2, [], ["zz"]), (3, [], [])], "k int, p array<string>, q array<string>")
     out = {r["k"]: (r["input_ids"], r["labels"]) for r in datasets.tuning_rows(df, ["k"], F.col("p"), F.col("q"), vocab, end_id=2).collect()}
     assert out == {1: ([5, 6, 6, 2], [-100, -100, 6, 2]), 2: ([0, 2], [0, 2]), 3: ([2], [2])}
+
+
+def test_swapping_all_entities_reads_a_long_text_once(spark):
+    """Time in proportion to the words: the old lookups and substrings took the square of them."""
+    n = 40_000
+    words = [f"{'abcdefghij'[i % 10]}{i:05d}" for i in range(n)]
+    starts = [8 * i + 1 for i in range(n)]
+    rows = [(1, "k", " " + "  ".join(words) + "!", list(zip(starts, words, strict=True))), (2, "k", "é none", []), (3, None, "a00000", [(0, "a00000")]), (4, "k", None, None)]
+    df = spark.createDataFrame(rows, "id int, lang string, text string, found array<struct<start: int, entity: string>>")
+    began = time.monotonic()
+    out = {r["id"]: r for r in annotations.all_entities_swapped(df, "id", "text", "found", "lang", "s").collect()}
+    assert time.monotonic() - began < 60
+    new = out[1]["text"][1:-1].split("  ")
+    assert out[1]["swapped"] == n and sorted(new) == sorted(words) and all(a != b for a, b in zip(new, words, strict=True))
+    assert (out[1]["text"][0], out[1]["text"][-1]) == (" ", "!")
+    assert [(out[i]["swapped"], out[i]["text"]) for i in (2, 3, 4)] == [(0, "é none"), (0, "a00000"), (0, None)]
+
+
+def test_running_sums(spark):
+    df = spark.createDataFrame([(1, [3, 0, 4]), (2, []), (3, None), (4, [5])], "id int, n array<int>").repartition(2)
+    assert {r["id"]: r["s"] for r in df.select("id", arrays.running_sums(F.col("n")).alias("s")).collect()} == {1: [3, 3, 7], 2: [], 3: None, 4: [5]}
