@@ -53,7 +53,10 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class Memory:
-    """Words that a worker has met: their ids lie one after the other. `parts` holds the ids of their parts."""
+    """Words that a worker met twice in one piece: their ids lie one after the other. `parts` holds the ids of parts.
+
+    Each piece builds a lookup of all remembered words, so words that are met once are not worth their place.
+    """
 
     def __init__(self):
         self.clear()
@@ -149,12 +152,12 @@ def encode_all(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
     order = np.insert(at[numbered.indices.to_numpy(zero_copy_only=False)], bounds, len(lengths) - 1)
     raw = ragged(ids, starts[order], lengths[order]).tobytes()
     ends = 4 * np.cumsum(lengths[order])[bounds + np.arange(len(bounds))]
-    short = pc.less_equal(pc.binary_length(fresh), LONGEST)
-    kept = short.to_numpy(zero_copy_only=False)
+    often = np.bincount(numbered.indices.to_numpy(zero_copy_only=False), minlength=len(place))[pc.is_null(place).to_numpy(zero_copy_only=False)] > 1
+    kept = often & pc.less_equal(pc.binary_length(fresh), LONGEST).to_numpy(zero_copy_only=False)
     own = starts[len(memory.words) : -1]
     memory.ids = np.concatenate([memory.ids, ragged(ids, own[kept], new_lengths[kept])])
     memory.lengths = np.concatenate([memory.lengths, new_lengths[kept]])
-    memory.words = pa.concat_arrays([memory.words, fresh.filter(short)])
+    memory.words = pa.concat_arrays([memory.words, fresh.filter(pa.array(kept))])
     return [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
 

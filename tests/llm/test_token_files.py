@@ -60,6 +60,17 @@ def test_memory_of_words_is_bounded(monkeypatch):
         assert list(np.frombuffer(ids, "<u4")) == [*engine.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_words_met_once_are_not_remembered():
+    memory = token_files._memory(token_files.TOKENIZER)
+    memory.clear()
+    engine = token_files.tokenizer(token_files.TOKENIZER)
+    for text in ("zebra quince zebra", "quince zebra lilac lilac lilac", "zebra quince"):
+        (ids,) = token_files.encode_all(pa.array([text]), token_files.TOKENIZER, 2)
+        assert list(np.frombuffer(ids, "<u4")) == [*engine.encode(text, add_special_tokens=False).ids, 2]
+    assert memory.words.to_pylist() == ["zebra", "lilac"]
+    assert memory.lengths.sum() == len(memory.ids)
+
+
 def test_empty_table(spark):
     path = scratch_path(spark, "tokens")
     token_files.write(cases.empty(spark), path)
