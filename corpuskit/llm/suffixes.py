@@ -526,8 +526,9 @@ def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[Data
     kept = cut_lineage(found.join(cores, "core", "left_semi"), "kept")
     held = cut_lineage(_with_texts(texts.select("row", _squeezed("text").alias("text")), kept), "held")
     done = cut_lineage(_passed(held, kept.count(), reach), "found")
-    decided = cut_lineage(_decided(_answers(done), parts), "decided")
-    answers = _answers(done)
+    # Written once: the rounds below read the answers several times.
+    answers = cut_lineage(_answers(done), "answers")
+    decided = cut_lineage(_decided(answers, parts), "decided")
     while decided.filter(F.size("open_places") > 0).head(1):
         # Some anchors have more neighbours than were met. All that share a core with one are sorted again, with a longer reach.
         reach *= 16
@@ -536,9 +537,9 @@ def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[Data
         some = cut_lineage(kept.join(again, "core", "left_semi").drop("core"), "again")
         more = cut_lineage(_passed(_with_texts(held.select("row", "text"), some), some.count(), reach), "found")
         # What was decided stays; how far others may agree is told anew.
-        settled = answers.join(some.select("row", "place"), ["row", "place"], "left_semi").withColumn("open", F.lit(0))
-        rest = answers.join(some.select("row", "place"), ["row", "place"], "left_anti")
-        answers = cut_lineage(rest.unionByName(settled).unionByName(_answers(more)), "answers")
+        asked = answers.join(some.select("row", "place", F.lit(True).alias("asked")), ["row", "place"], "left")
+        rest = asked.withColumn("open", F.when(F.col("asked"), F.lit(0)).otherwise(F.col("open"))).drop("asked")
+        answers = cut_lineage(rest.unionByName(_answers(more)), "answers")
         decided = cut_lineage(_decided(answers, parts), "decided")
     return rows, decided.filter(F.size("starts") > 0).select("row", "starts", "ends"), held.select("row", "text")
 

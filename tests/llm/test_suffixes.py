@@ -79,6 +79,22 @@ def test_one_common_passage_on_many_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_answers_are_taken_apart_once(spark, monkeypatch):
+    """Every round reads written answers, so that none takes them apart again."""
+    rng = random.Random(3)
+    common = words(rng, 120)
+    texts = [f"{words(rng, 40)} {common} {words(rng, 40)}" for _ in range(12)]
+    read, decided = [], suffixes._decided
+
+    def noted(answers, parts):
+        read.append(answers)
+        return decided(answers, parts)
+
+    monkeypatch.setattr(suffixes, "_decided", noted)
+    assert result(spark, texts, reach=1) == brute(texts)
+    assert read and all("MapInArrow" not in answers._jdf.queryExecution().toString() for answers in read)
+
+
 def test_odd_rows(spark):
     texts = cases.texts()
     assert result(spark, texts) == brute(texts)
