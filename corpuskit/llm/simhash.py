@@ -92,8 +92,10 @@ def pieces_for(n: int, bits: int) -> int:
 
 
 def _blocked(fingerprints: DataFrame, masks: list[int]) -> DataFrame:
-    keys = [F.struct(F.lit(i).alias("choice"), F.col("f").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]
-    return fingerprints.select("f", F.explode(F.array(*keys)).alias("block")).select("f", "block.choice", "block.key")
+    # One constant, not an expression for each mask: plans and compiled code stay small however many there are.
+    listed = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+    each = fingerprints.select("f", F.posexplode(listed).alias("choice", "mask"))
+    return each.select("f", "choice", F.col("f").bitwiseAND(F.col("mask")).alias("key"))
 
 
 def _pairs(blocks: DataFrame, keys: list[str], bits: int) -> DataFrame:

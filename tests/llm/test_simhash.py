@@ -98,3 +98,12 @@ def test_long_text_counts(spark):
     text = " ".join(f"w{i}" for i in range(70_000))
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert simhash.fingerprinted(df).select(F.col("fingerprint")).first()[0] == signed(brute_print(text, 3))
+
+
+def test_blocks_are_small_plans(spark):
+    """The masks are one constant: 496 expressions took the driver hundreds of MB to compile."""
+    masks = simhash._masks(simhash._cut(list(range(64)), 32), 2)
+    blocks = simhash._blocked(spark.createDataFrame([(5,), (-7,)], "f bigint"), masks)
+    want = {(f, i, f & m) for f in (5, -7) for i, m in enumerate(masks)}
+    assert {tuple(r) for r in blocks.collect()} == want and len(masks) == 496
+    assert blocks._jdf.queryExecution().optimizedPlan().toString().count("&") < 10
