@@ -72,19 +72,22 @@ def core_hashes(raw: np.ndarray) -> np.ndarray:
 
 def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """(text, place, least offset, most offset, core hash) for texts that lie at bounds[i]:bounds[i + 1] of `raw`."""
-    h = core_hashes(raw)
-    n = len(raw) - WINDOW + 1
+    return chosen_places(core_hashes(raw), bounds, WINDOW, PLACES)
+
+
+def chosen_places(h: np.ndarray, bounds: np.ndarray, window: int, places: int) -> tuple[np.ndarray, ...]:
+    """Anchors of windows of `window` units from the hashes of the cores, of which a window holds `places`."""
     none = np.zeros(0, np.int64)
-    if n <= 0:
+    if len(h) < places:
         return none, none, none, none, none.astype(np.uint64)
     least = (h & ~_LOW) | (_LOW - np.arange(len(h), dtype=np.uint64))
     width = 1
-    while 2 * width <= PLACES:
+    while 2 * width <= places:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    least = np.minimum(least[: len(least) - (PLACES - width)], least[PLACES - width :])
+    least = np.minimum(least[: len(least) - (places - width)], least[places - width :])
     lengths = np.diff(bounds)
-    windows = np.maximum(lengths - WINDOW + 1, 0)
+    windows = np.maximum(lengths - window + 1, 0)
     text = np.repeat(np.arange(len(lengths)), windows)
     place = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
     starts = place + bounds[text]
@@ -97,7 +100,7 @@ def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return text[first], a - bounds[text[first]], a - starts[last], a - starts[first], h[a]
 
 
-def _texts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, bounds) of pieces of an Arrow column of texts or bytes."""
     whole_column = column.cast(pa.large_binary())
     _, offsets, data = whole_column.buffers()
@@ -115,7 +118,7 @@ ANCHORS = "row bigint, place int, least int, most int, core bigint"
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column(0).to_numpy()
-        for first, raw, bounds in _texts(batch.column(1)):
+        for first, raw, bounds in text_pieces(batch.column(1)):
             text, place, least, most, core = anchors(raw, bounds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows[first + text]), pa.array(place.astype(np.int32)), pa.array(least.astype(np.int32)),
@@ -488,10 +491,19 @@ def _splitters(joined: DataFrame, n_anchors: int, parts: int) -> list[list[bytes
     return out
 
 
-def _with_texts(texts: DataFrame, kept: DataFrame) -> DataFrame:
-    """(row, text, places, leasts, mosts): texts beside their anchors. A row has as many as its text is long."""
+def numbered(df: DataFrame, text: str = "text") -> DataFrame:
+    """(row, text): whole texts under the numbers of their rows."""
+    return df.select(F.monotonically_increasing_id().alias("row"), whole(df, text).alias("text"))
+
+
+def _with_texts(texts: DataFrame, kept: DataFrame, beside: DataFrame | None = None) -> DataFrame:
+    """(row, text, places, leasts, mosts): texts beside their anchors. A row has as many as its text is long.
+    The rows and columns of `beside` are there too; places are null where a row has no anchors."""
     lists = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "least", "most"))).alias("a"))
-    return texts.join(lists, "row").select("row", "text", *[F.col(f"a.{c}").alias(f"{c}s") for c in ("place", "least", "most")])
+    lists = lists.select("row", *[F.col(f"a.{c}").alias(f"{c}s") for c in ("place", "least", "most")])
+    if beside is not None:
+        lists = lists.join(beside, "row", "full")
+    return texts.join(lists, "row")
 
 
 def _passed(joined: DataFrame, n_anchors: int, reach: int) -> DataFrame:
@@ -513,19 +525,20 @@ def _decided(answers: DataFrame, parts: int) -> DataFrame:
     return ordered.select("row", "place", "least", "most", "low", "high", "order", "open").mapInArrow(_decide, DECIDED)
 
 
-def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[DataFrame, DataFrame, DataFrame]:
+def repeats(df: DataFrame, text: str = "text", reach: int = REACH, beside: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, spans, texts): the rows of `df` with a number `row`; (row, starts, ends) of the bytes to remove, for rows that have any;
-    (row, text) of rows that may have any, compressed."""
+    (row, text) of rows that may have any, compressed. `texts` also has the rows and columns of `beside` (row, ...), so that they need no join of their own."""
     spark = df.sparkSession
     parts = partitions(spark)
     rows = df.withColumn("row", F.monotonically_increasing_id())
-    texts = df.select(F.monotonically_increasing_id().alias("row"), whole(df, text).alias("text"))
+    texts = numbered(df, text)
     found = cut_lineage(texts.mapInArrow(_find_anchors, ANCHORS), "anchors")
     # Written before it is joined: a join of two plain shuffles is one whose large partitions Spark can split.
     cores = cut_lineage(found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores")
     kept = cut_lineage(found.join(cores, "core", "left_semi"), "kept")
-    held = cut_lineage(_with_texts(texts.select("row", _squeezed("text").alias("text")), kept), "held")
-    done = cut_lineage(_passed(held, kept.count(), reach), "found")
+    held = cut_lineage(_with_texts(texts.select("row", _squeezed("text").alias("text")), kept, beside), "held")
+    anchored = held.filter("places is not null").select("row", "text", "places", "leasts", "mosts")
+    done = cut_lineage(_passed(anchored, kept.count(), reach), "found")
     # Written once: the rounds below read the answers several times.
     answers = cut_lineage(_answers(done), "answers")
     decided = cut_lineage(_decided(answers, parts), "decided")
@@ -541,7 +554,7 @@ def repeats(df: DataFrame, text: str = "text", reach: int = REACH) -> tuple[Data
         rest = asked.withColumn("open", F.when(F.col("asked"), F.lit(0)).otherwise(F.col("open"))).drop("asked")
         answers = cut_lineage(rest.unionByName(_answers(more)), "answers")
         decided = cut_lineage(_decided(answers, parts), "decided")
-    return rows, decided.filter(F.size("starts") > 0).select("row", "starts", "ends"), held.select("row", "text")
+    return rows, decided.filter(F.size("starts") > 0).select("row", "starts", "ends"), held.drop("places", "leasts", "mosts")
 
 
 def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
@@ -562,4 +575,4 @@ def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 [pa.array(v, k) for v, k in zip((rows, kept, removed, number), kinds, strict=True)], ["row", "kept", "n_removed", "n_spans"]
             )
 
-    return texts.join(spans, "row").mapInArrow(cut, "row bigint, kept binary, n_removed bigint, n_spans bigint")
+    return texts.select("row", "text").join(spans, "row").mapInArrow(cut, "row bigint, kept binary, n_removed bigint, n_spans bigint")
