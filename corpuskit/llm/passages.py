@@ -101,8 +101,9 @@ def candidates(df: DataFrame, text: str = "text") -> DataFrame:
     groups = kept.groupBy(*key).agg(*span, F.min(F.struct("row", "place")).alias("first"))
     around = cut_lineage(groups.select(*key, "first", (F.col("low") < F.col("high")).alias("shared")), "around")
     open_cores = around.filter("not shared").select("core", F.lit(True).alias("open")).distinct()
+    one_of_shared = F.coalesce("open", F.lit(False)) & (F.struct("row", "place") == F.col("first"))
     told = kept.join(around.join(open_cores, "core", "left"), key).select(
-        "row", "place", "least", "most", "shared", (~F.col("shared") | (F.coalesce("open", F.lit(False)) & (F.struct("row", "place") == F.col("first")))).alias("asks")
+        "row", "place", "least", "most", "shared", (~F.col("shared") | one_of_shared).alias("asks")
     )
     lists = F.sort_array(F.collect_list(F.struct("place", "least", "most", "shared", "asks")))
     return cut_lineage(told.groupBy("row").agg(lists.alias("passages")), "candidates")
