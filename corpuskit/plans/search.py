@@ -13,7 +13,7 @@ from corpuskit.plans.ordered import DRAW
 from corpuskit.plans.registry import query, table
 from corpuskit.plans.scalar import WORDS
 from corpuskit.plans.scores import report_sql
-from corpuskit.session import cut_lineage, scratch_path
+from corpuskit.session import cut_and_free, cut_lineage, scratch_path
 from corpuskit.sources import files
 
 V = "(SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"
@@ -247,9 +247,10 @@ def _(spark, sf):
     SELECT query, doc, score, (rank - 3)::INTEGER AS rank FROM found WHERE rank > 3""",
 )
 def _(spark, sf):
-    documents, queries = (cut_lineage(t, "index") for t in _index(spark, sf))
-    visited = cut_lineage(retrieval.tfidf_top(queries, documents, 3), "visited")
-    return retrieval.tfidf_top(queries, documents, 5, visited)
+    documents, queries = _index(spark, sf)
+    index = retrieval.block_index(documents)
+    visited = cut_and_free(retrieval.tfidf_top(queries, index, 3), "visited")
+    return retrieval.tfidf_top(queries, index, 5, visited)
 
 
 @query("v13_graph_retrieval")
