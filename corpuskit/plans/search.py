@@ -333,10 +333,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     chunks = retrieval.word_chunks(table(spark, sf, "documents"), "doc_id", tx.words(F.col("text")), 100)
-    named = chunks.select(F.concat_ws("/", "doc_id", "chunk").alias("doc"), "words", F.array_join("words", " ").alias("text"))
-    passages = cut_lineage(named, "passages")
+    # Written as texts alone: a word has no blank, so the words of a passage are its text cut at blanks.
+    passages = cut_lineage(chunks.select(F.concat_ws("/", "doc_id", "chunk").alias("doc"), F.array_join("words", " ").alias("text")), "passages")
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), "text")
-    documents, idf = retrieval.weighted_documents(passages, "doc", F.col("words"))
+    documents, idf = retrieval.weighted_documents(passages, "doc", F.split("text", " "))
     found = retrieval.tfidf_top(retrieval.weighted_queries(items, "query", tx.words(F.col("text")), idf), documents, 3)
     return retrieval.retrieval_prompts(found, passages, items, "Use only this:\n{context}\nQuestion: {question}")
 
