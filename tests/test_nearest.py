@@ -44,6 +44,37 @@ def test_top_k_equals_brute_force(data, metric, cells):
     assert lists == _brute(matrix, 7, metric, True)
 
 
+@pytest.mark.parametrize("blocks", [None, 1, 4])
+def test_graph_meets_each_pair_once(spark, blocks):
+    rng = np.random.default_rng(5)
+    matrix = np.round(rng.normal(size=(150, 6)), 2)
+    matrix[::5], matrix[1::20] = matrix[0], 0.0  # copies, and vectors without a length
+    df = spark.createDataFrame([(i // 2 if i > 140 else i, v.tolist()) for i, v in enumerate(matrix)] + [(500, None)], "id bigint, vector array<double>")
+    pairs = {tuple(r) for r in nearest.knn_graph(df, 4, blocks=blocks).collect()}
+    assert pairs == {tuple(r) for r in nearest.top_k(df.withColumnRenamed("id", "query"), df, 4, "cosine", skip_same=True).collect()}
+
+
+def test_float32_products_only_choose(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    matrix = np.repeat(rng.normal(size=(20, 16)), 12, axis=0) + rng.normal(size=(240, 16)) * 1e-7  # neighbours that float32 can't tell apart
+    n = len(matrix)
+    side = np.where(np.arange(n) % 3 == 0, 2, 1)
+    monkeypatch.setattr(nearest, "QUERY_STEP", 8)
+    monkeypatch.setattr(nearest, "OWN_STEP", 24)
+    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    scores = np.round(unit @ unit.T, 9)
+    for sides in (np.zeros(n, int), side):
+        table = pa.table({"cell": pa.array([0] * n, pa.int32()), "side": pa.array(sides, pa.int32()), "id": np.arange(n), "v": matrix.tolist()})
+        got: dict[int, list[int]] = {}
+        for batch in nearest._own_top(3)(iter(table.to_batches())):
+            for r in sorted(batch.to_pylist(), key=lambda r: (-r["score"], r["id"])):
+                got.setdefault(r["query"], []).append(r["id"])
+        want = {q: sorted((j for j in range(n) if j != q and (sides[j] != sides[q] or not sides[q])), key=lambda j: (-scores[q, j], j))[:3] for q in range(n)}
+        assert got == want
+
+
 def test_steps_inside_a_cell_do_not_matter(data, monkeypatch):
     _, df = data
     queries = df.withColumnRenamed("id", "query")
